@@ -70,7 +70,7 @@ _RECIPIENTS = {
         WHEN s.s_suppkey % 4 = 0 AND NOT (s.s_suppkey % 3 = 0 AND y.cycle = 1996)
           THEN 'H' || lpad(CAST(s.s_suppkey AS STRING), 8, '0') || CAST(y.cycle AS STRING)
         WHEN s.s_suppkey % 4 = 1 AND s.s_suppkey % 5 = 0 AND y.cycle = 2002
-          THEN 'S' || lpad(CAST(s.s_suppkey + 1 AS STRING), 8, '0') || CAST(y.cycle AS STRING)
+          THEN 'S' || lpad(CAST(s.s_suppkey + 3 AS STRING), 8, '0') || CAST(y.cycle AS STRING)
         WHEN s.s_suppkey % 4 = 1
           THEN 'S' || lpad(CAST(s.s_suppkey AS STRING), 8, '0') || CAST(y.cycle AS STRING)
         WHEN s.s_suppkey % 4 = 3 AND y.cycle = 1996 THEN NULL

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -27,15 +27,27 @@ def check_columns(found: Iterable[str], spec: DatasetSpec) -> None:
         )
 
 
+def _csv_reader(spark: SparkSession, spec: DatasetSpec) -> DataFrameReader:
+    """Doubled quotes, no escape character. Records are always parsed whole: with
+    column pruning a job that needs few columns, or only a count, would not notice
+    a record with the wrong number of fields."""
+    return spark.read.options(
+        header=True,
+        encoding=spec.encoding,
+        quote='"',
+        escape='"',
+        multiLine=spec.multi_line,
+        columnPruning=False,
+    )
+
+
 def read_csv_text(spark: SparkSession, path: str, spec: DatasetSpec) -> DataFrame:
     """Raw CSV with every column as text, in the order of the file.
 
     Only the header line is read here. A record with too few or too many fields
     fails the job that reads it.
     """
-    reader = spark.read.options(
-        header=True, encoding=spec.encoding, quote='"', escape='"', multiLine=spec.multi_line
-    )
+    reader = _csv_reader(spark, spec)
     names = reader.csv(path).columns
     check_columns(names, spec)
     text = T.StructType([T.StructField(n, T.StringType()) for n in names])
@@ -43,16 +55,14 @@ def read_csv_text(spark: SparkSession, path: str, spec: DatasetSpec) -> DataFram
 
 
 def read_csv_rejects(spark: SparkSession, path: str, spec: DatasetSpec) -> DataFrame:
-    """The malformed records of a CSV file, as text, for a report."""
-    reader = spark.read.options(
-        header=True, encoding=spec.encoding, quote='"', escape='"', multiLine=spec.multi_line
-    )
+    """The malformed records of a CSV file: the raw ``record`` beside what could be read of it."""
+    reader = _csv_reader(spark, spec)
     text = [T.StructField(n, T.StringType()) for n in reader.csv(path).columns]
-    corrupt = T.StructField("__record", T.StringType())
+    corrupt = T.StructField("record", T.StringType())
     rows = reader.schema(T.StructType([*text, corrupt])).options(
-        mode="PERMISSIVE", columnNameOfCorruptRecord="__record"
+        mode="PERMISSIVE", columnNameOfCorruptRecord="record"
     )
-    return rows.csv(path).where("__record IS NOT NULL").select(F.col("__record").alias("record"))
+    return rows.csv(path).where("record IS NOT NULL")
 
 
 def mark_nulls(text: DataFrame, spec: DatasetSpec) -> DataFrame:
