@@ -103,8 +103,9 @@ def _(spark, sf):
             ),
         }
     )
-    # Without quoting the extra comma becomes an extra field.
-    rows.write.options(header=True, quote="").csv(path)
+    # One column under another separator: its commas turn into fields when read.
+    text = [F.coalesce(F.col(n).cast("string"), F.lit("")) for n in rows.columns]
+    rows.select(F.concat_ws(",", *text).alias(",".join(rows.columns))).write.options(header=True, sep="|").csv(path)
     return readers.read_csv_rejects(spark, path, VOTES).select("icpsr", "record")
 
 

@@ -27,13 +27,15 @@ def fec_lookup(legislators: DataFrame) -> DataFrame:
 def recipients_with_person(recipients: DataFrame, legislators: DataFrame) -> DataFrame:
     """Distinct (bonica.rid, bioguide_id) pairs; unlinked recipients keep a NULL person.
 
-    The prefix test stays inside the join condition: as a filter it would drop
-    the recipients that cannot link.
+    A recipient's ids of several years become one before the join. The prefix
+    test stays inside the join condition: as a filter it would drop the recipients
+    that cannot link.
     """
-    usable = c("ICPSR").isNotNull() & has_year_suffix(c("ICPSR"))
-    left = recipients.where(usable).select(c("bonica.rid"), c("ICPSR")).distinct()
+    icpsr = c("ICPSR").cast("string")
+    usable = icpsr.isNotNull() & has_year_suffix(icpsr)
+    left = recipients.where(usable).select(c("bonica.rid"), strip_year(icpsr).alias("id")).distinct()
     right = fec_lookup(legislators)
-    matches = (strip_year(c("ICPSR")) == F.col("fec_id")) & is_fec_style(c("ICPSR"))
+    matches = (F.col("id") == F.col("fec_id")) & is_fec_style(F.col("id"))
     return left.join(right, matches, "left").select(c("bonica.rid"), "bioguide_id").distinct()
 
 

@@ -11,9 +11,11 @@ def make_session() -> SparkSession:
         SparkSession.builder.master("local[8]")
         .appName("polfin-tests")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.driver.memory", "8g")
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.sql.maxMetadataValueLength", "2000")
         .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="polfin-tests-"))
         .config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="polfin-warehouse-"))
         .getOrCreate()
