@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from polfin.catalog import sql_parts as sql
 from polfin.catalog.registry import money_sql, query, rounded
 from polfin.catalog.standins import load, select, table, terms
+from polfin.catalog.stored import contributions_root
 from polfin.functions import congress as congresses
 from polfin.functions import scalars
 from polfin.functions.columns import asc, c, desc
@@ -175,7 +176,7 @@ _CAPPED = """
 
 @query("o04_limit_by_cycle", _CAPPED)
 def _(spark, sf):
-    rows = load(spark, sf, "contributions", ["cycle", "transaction.id", "amount"])
+    rows = select(spark.read.parquet(contributions_root(spark, sf)), "cycle", "transaction.id", "amount")
     limit = rows.count() * 2 // 5
     return limit_by_cycle(rows, limit, p.ALL_CYCLES).groupBy("cycle").agg(F.count("*").alias("rows"))
 

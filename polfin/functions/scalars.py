@@ -37,6 +37,7 @@ CONTRIBUTOR_TYPE_NAMES = {
 }
 DIME_BLANK_WORDS = ("nan",)
 PLAIN_BLANK_WORDS = ("nan", "n/a", "na", "null")
+WHITESPACE = " \t\n\r\x0b\x0c\x1c\x1d\x1e\x1f\x85\xa0"
 
 VALUE_TOLERANCE = 1e-6
 SUM_TOLERANCE = 0.01
@@ -71,14 +72,18 @@ def is_fec_style(col: Column) -> Column:
     return starts_with_any(col, FEC_PREFIXES)
 
 
-def iso_date(col: Column) -> Column:
-    """Date from the first ten characters of ISO text, NULL when invalid."""
-    return F.try_to_date(F.substring(col, 1, 10), "yyyy-MM-dd")
+def whole_iso_date(col: Column) -> Column:
+    """Date from text that is an ISO date and nothing else, NULL otherwise.
+
+    A cast alone would also take '2020' or '2020-1-3', and parsing by a format
+    raises and catches an exception for every bad value.
+    """
+    return F.when(col.rlike("^[0-9]{4}-[0-9]{2}-[0-9]{2}$"), col.try_cast("date"))
 
 
-def whole_iso_date(col: Column) -> Column:
-    """Date from text that is an ISO date and nothing else, NULL otherwise."""
-    return F.when(F.length(col) == 10, F.try_to_date(col, "yyyy-MM-dd"))
+def iso_date(col: Column) -> Column:
+    """Date from the first ten characters of ISO text, NULL when invalid."""
+    return whole_iso_date(F.substring(col, 1, 10))
 
 
 def first_filled(*candidates: Column) -> Column:
@@ -108,8 +113,8 @@ def blank_to_null(col: Column, markers: Iterable[str]) -> Column:
 
 def normal_text(col: Column, markers: Iterable[str] = ("",), words: Iterable[str] = PLAIN_BLANK_WORDS) -> Column:
     """Text ready for comparison: markers and null words become NULL, blanks are trimmed."""
-    trimmed = F.regexp_replace(col, r"^\s+|\s+$", "")
-    return F.when(col.isin(*markers) | F.lower(trimmed).isin(*words), F.lit(None)).otherwise(trimmed)
+    trimmed = F.btrim(col, F.lit(WHITESPACE))
+    return F.when(~col.isin(*markers) & ~F.lower(trimmed).isin(*words), trimmed)
 
 
 def normal_number(col: Column) -> Column:

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from polfin.functions.columns import c
 from polfin.functions.scalars import has_year_suffix, is_fec_style, non_empty_array, strip_year
 from polfin.operators.joins import lookup_join
+from polfin.sources.sinks import stored_copy
 
 LINK_MODES = ("all", "best")
 
@@ -67,7 +68,11 @@ def ambiguous_recipients(recipients: DataFrame, legislators: DataFrame) -> DataF
 
 
 def link(df: DataFrame, recipients: DataFrame, legislators: DataFrame, mode: str = "all") -> DataFrame:
-    """Add ``bioguide_id`` in front; rows without a person keep NULL."""
-    table = link_table(recipients, legislators, mode)
+    """Add ``bioguide_id`` in front; rows without a person keep NULL.
+
+    The link table is computed once and stored, because it is first measured and
+    then joined.
+    """
+    table = stored_copy(link_table(recipients, legislators, mode), "links")
     names = df.columns
     return lookup_join(df, table, ["bonica.rid"], "left").select("bioguide_id", *[c(n) for n in names])

@@ -12,6 +12,7 @@ from polfin.functions.columns import c, cols
 from polfin.operators.limits import limit_by_cycle
 from polfin.operators.predicates import Predicate, valid_cycles, where_all
 from polfin.plans import dimensions, marts, quality
+from polfin.session import new_work_path
 from polfin.sources import readers, sinks
 from polfin.sources.specs import DEFAULT_CONTRIBUTION_COLUMNS, DatasetSpec
 
@@ -34,11 +35,8 @@ class IngestResult:
 def conversion_report(source: DataFrame, output: DataFrame, spec: DatasetSpec, keep_one_in: int = 1) -> DataFrame:
     """Row count, checksums and row-by-row equality of a converted file."""
     text = readers.mark_nulls(source, spec)
-    return (
-        quality.check_row_count(source, output)
-        .unionByName(quality.check_checksums(text, output, spec.sum_column, spec.key_columns))
-        .unionByName(quality.check_rows(source, output, spec, keep_one_in))
-    )
+    totals = quality.check_totals(text, output, spec.sum_column, spec.key_columns)
+    return totals.unionByName(quality.check_rows(source, output, spec, keep_one_in))
 
 
 def ingest(
@@ -53,20 +51,27 @@ def ingest(
 ) -> IngestResult:
     """Convert a raw CSV file (or a folder of them) to typed Parquet and prove the result.
 
-    A compressed or multi-line file is read by one task, so rows are spread over
-    ``partitions`` tasks right behind the read. Rows are counted in the writing
-    stage, whose tasks count once however often one is retried.
+    A compressed or multi-line file is read by one task, so its records are
+    spread over ``partitions`` tasks right behind the parser, and all further work
+    is done there. To be validated the records are stored as text first: the file
+    is parsed once, and conversion and checks read the stored text in parallel.
+    Rows are counted in the writing stage, whose tasks count once however often
+    one is retried.
     """
-    typed = readers.read_csv(spark, source, spec)
-    spread = typed.repartition(partitions or spark.sparkContext.defaultParallelism)
-    out = sinks.counted(spread)
+    raw = readers.read_csv_text(spark, source, spec)
+    text = raw.repartition(partitions or spark.sparkContext.defaultParallelism)
+    staging = new_work_path(spark, f"{spec.name}-text")
+    if validate:
+        sinks.write_parquet(text, staging)
+        text = spark.read.schema(text.schema).parquet(staging)
+    out = sinks.counted(readers.cast_columns(readers.mark_nulls(text, spec), spec))
     sinks.write_parquet(out.df, output)
     if not validate:
         return IngestResult(out.rows, None)
-    raw = readers.read_csv_text(spark, source, spec)
-    report = conversion_report(raw, spark.read.parquet(output), spec, keep_one_in)
-    quality.raise_for_status(report)
-    return IngestResult(out.rows, report)
+    report = conversion_report(text, spark.read.parquet(output), spec, keep_one_in)
+    settled = quality.raise_for_status(report)
+    sinks.remove(spark, staging)
+    return IngestResult(out.rows, settled)
 
 
 # ------------------------------------------------------------------ dimensions
@@ -257,8 +262,7 @@ def build_mart(
     report = None
     if validate:
         stored = spark.read.parquet(output_root).where(F.col("cycle").isin(*todo))
-        report = mart_report(kind, source, stored, mode, sample)
-        quality.raise_for_status(report)
+        report = quality.raise_for_status(mart_report(kind, source, stored, mode, sample))
     return MartResult(kind, todo, skipped, missing, report)
 
 

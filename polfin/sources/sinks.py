@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from polfin.functions.columns import c, cols, sanitize
+from polfin.session import new_work_path
 
 # Fixed values.
 ZSTD_LEVEL = 3
@@ -118,6 +119,24 @@ def stored_bytes(spark: SparkSession, path: str) -> int:
     return fs.getContentSummary(target).getLength()
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a dataset this library wrote for its own use."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def stored_copy(df: DataFrame, label: str) -> DataFrame:
+    """The same rows, computed once and kept in the shared folder.
+
+    Later jobs read the copy, so neither several uses nor a lost executor
+    computes the rows again.
+    """
+    spark = df.sparkSession
+    path = new_work_path(spark, label)
+    write_parquet(df, path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def table_info(spark: SparkSession, path: str) -> dict:
     """Row count, columns with types, and size of a stored dataset."""
     df = spark.read.parquet(path)

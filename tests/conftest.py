@@ -15,7 +15,7 @@ def make_session() -> SparkSession:
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.driver.memory", "8g")
         .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.sql.maxMetadataValueLength", "2000")
+        .config("spark.sql.maxMetadataStringLength", "2000")
         .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="polfin-tests-"))
         .config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="polfin-warehouse-"))
         .getOrCreate()

@@ -56,7 +56,7 @@ def test_ranking_keeps_one_row_per_task_before_the_shuffle(spark, skewed):
     expected = {r["the.key"]: r["m"] for r in skewed.groupBy(c("the.key")).agg(F.min("v").alias("m")).collect()}
     assert found == expected
     plan = first._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("WindowGroupLimit") == 2
+    assert plan.count("WindowGroupLimit") >= 2
 
 
 def test_latest_per_key(spark):
