@@ -111,10 +111,27 @@ def blank_to_null(col: Column, markers: Iterable[str]) -> Column:
     return F.when(col.isin(*markers), F.lit(None)).otherwise(col)
 
 
+def strip(col: Column) -> Column:
+    """Text without blanks at its ends.
+
+    Trimming a set of characters is slow, so it is left to the few texts that
+    start or end with one of them.
+    """
+
+    def blank(char: Column) -> Column:
+        return char.between(1, 32) | char.isin(0x85, 0xA0)
+
+    ragged = blank(F.ascii(col)) | blank(F.ascii(F.substring(col, -1, 1)))
+    return F.when(ragged, F.btrim(col, F.lit(WHITESPACE))).otherwise(col)
+
+
 def normal_text(col: Column, markers: Iterable[str] = ("",), words: Iterable[str] = PLAIN_BLANK_WORDS) -> Column:
     """Text ready for comparison: markers and null words become NULL, blanks are trimmed."""
-    trimmed = F.btrim(col, F.lit(WHITESPACE))
-    return F.when(~col.isin(*markers) & ~F.lower(trimmed).isin(*words), trimmed)
+    words = list(words)
+    trimmed = strip(col)
+    short = F.octet_length(trimmed) <= max(len(w) for w in words)
+    no_value = col.isin(*markers) | (short & F.lower(trimmed).isin(*words))
+    return F.when(~no_value, trimmed)
 
 
 def normal_number(col: Column) -> Column:
