@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from polfin.catalog import sql_parts as sql
 from polfin.catalog.registry import money_sql, query, rounded
 from polfin.catalog.standins import load, select, terms
-from polfin.functions.columns import asc, c, desc
+from polfin.functions.columns import asc, desc
 from polfin.operators.joins import lookup_join
 from polfin.operators.limits import sample_keys, top_k
 from polfin.operators.linking import ambiguous_recipients, link, link_table, recipients_with_person

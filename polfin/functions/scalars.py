@@ -35,7 +35,7 @@ CONTRIBUTOR_TYPE_NAMES = {
     "U": "Union",
     "P": "PAC",
 }
-DIME_BLANK_WORDS = ("nan",)
+EXPORT_BLANK_WORDS = ("nan",)
 PLAIN_BLANK_WORDS = ("nan", "n/a", "na", "null")
 WHITESPACE = " \t\n\r\x0b\x0c\x1c\x1d\x1e\x1f\x85\xa0"
 

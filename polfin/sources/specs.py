@@ -6,7 +6,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import types as T
 
-from polfin.functions.scalars import DIME_BLANK_WORDS, PLAIN_BLANK_WORDS
+from polfin.functions.scalars import EXPORT_BLANK_WORDS, PLAIN_BLANK_WORDS
 
 
 @dataclass(frozen=True)
@@ -62,7 +62,7 @@ CONTRIBUTIONS = DatasetSpec(
     sum_column="amount",
     key_columns=("transaction.id", "bonica.cid", "contributor.name", "amount"),
     null_markers=("\\N", ""),
-    blank_words=DIME_BLANK_WORDS,
+    blank_words=EXPORT_BLANK_WORDS,
     encoding="ISO-8859-1",
 )
 
@@ -89,7 +89,7 @@ RECIPIENTS = DatasetSpec(
     sum_column="recipient.cfscore",
     key_columns=("bonica.rid", "bonica.cid", "name"),
     null_markers=("\\N", ""),
-    blank_words=DIME_BLANK_WORDS,
+    blank_words=EXPORT_BLANK_WORDS,
     encoding="ISO-8859-1",
 )
 
@@ -113,7 +113,7 @@ CONTRIBUTORS = DatasetSpec(
     sum_column="contributor.cfscore",
     key_columns=("bonica.cid", "most.recent.contributor.name"),
     null_markers=("\\N", ""),
-    blank_words=DIME_BLANK_WORDS,
+    blank_words=EXPORT_BLANK_WORDS,
     encoding="ISO-8859-1",
 )
 

@@ -112,7 +112,7 @@ def test_same_value(spark, a, b, same):
 def test_normal_values(spark):
     text = [("  x ",), ("NaN",), ("n/a",), ("",), ("\\N",), (None,), ("null",)]
     assert values(spark, s.normal_text(F.col("x")), text, "x string") == ["x", None, None, None, "\\N", None, None]
-    dime = s.normal_text(F.col("x"), ("\\N", ""), s.DIME_BLANK_WORDS)
+    dime = s.normal_text(F.col("x"), ("\\N", ""), s.EXPORT_BLANK_WORDS)
     assert values(spark, dime, text, "x string") == ["x", None, "n/a", None, None, None, "null"]
     numbers = [(float("nan"),), (1.23456789,), (-0.0,), (None,)]
     assert values(spark, s.normal_number(F.col("x")), numbers, "x double") == [None, 1.234568, 0.0, None]
