@@ -7,10 +7,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from polfin.llm import op2_quality as op2
 from polfin.llm import op3_url_filter as op3
 from polfin.llm import op5_mixing as op5
 from polfin.llm import op6_sharding as op6
 from polfin.llm import op7_line_dedup as op7
+from polfin.llm import op8_license_scan as op8
 from polfin.llm import op9_simhash as op9
 from polfin.llm.common import table
 
@@ -149,3 +151,96 @@ def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = op9.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", op9.fingerprint_hex(F.col("fp")).alias("fingerprint"), "component_id")
+
+
+_QUALITY_SQL = r"""
+WITH words AS (
+  SELECT doc_id, lang, source, coalesce(text, '') AS body, regexp_extract_all(coalesce(text, ''), '[^ \t\n\x0B\f\r]+') AS w FROM documents),
+windows AS (
+  SELECT doc_id, i, array_to_string(w[i:i + 4], ' ') AS win
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - 3)) AS i FROM words WHERE len(w) >= 5)),
+hits AS (SELECT doc_id, i FROM windows QUALIFY count(*) OVER (PARTITION BY doc_id, win) > 1),
+repeats AS (
+  SELECT doc_id, sum(least(5, coalesce(nxt - i, 5)))::BIGINT AS n_repeat_words
+  FROM (SELECT doc_id, i, lead(i) OVER (PARTITION BY doc_id ORDER BY i) AS nxt FROM hits) GROUP BY doc_id),
+measured AS (
+  SELECT doc_id, lang, source, len(w)::BIGINT AS n_words, length(array_to_string(w, ''))::BIGINT AS word_chars,
+    len(regexp_extract_all(body, '[#*$%&|<>]'))::BIGINT AS n_symbols, len(ls)::BIGINT AS n_lines,
+    (len(ls) - len(list_distinct(ls)))::BIGINT AS n_dup_lines, coalesce(n_repeat_words, 0) AS n_repeat_words
+  FROM (SELECT *, list_filter(string_split(body, chr(10)), lambda l: regexp_matches(l, '[^ \t\n\x0B\f\r]')) AS ls FROM words)
+  LEFT JOIN repeats USING (doc_id)),
+judged AS (
+  SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed,
+    CASE WHEN n_words > 0 THEN word_chars * 1000 // n_words ELSE 0 END AS m1,
+    CASE WHEN word_chars > 0 THEN n_symbols * 1000000 // word_chars ELSE 0 END AS m2,
+    CASE WHEN n_lines > 0 THEN n_dup_lines * 1000000 // n_lines ELSE 0 END AS m3,
+    CASE WHEN n_words > 0 THEN n_repeat_words * 1000000 // n_words ELSE 0 END AS m4
+  FROM measured),
+each AS (
+  SELECT lang, source, unnest([1, 2, 3, 4]) AS m, unnest([m1, m2, m3, m4]) AS v FROM judged WHERE NOT base_failed),
+rough AS (
+  SELECT lang, source, m, (v >> greatest(length(bin(v)) - 6, 0)) << greatest(length(bin(v)) - 6, 0) AS v FROM each),
+levels AS (
+  SELECT 2 AS level, lang, source, m, v FROM rough UNION ALL SELECT 1, lang, NULL, m, v FROM rough
+  UNION ALL SELECT 0, NULL, NULL, m, v FROM rough),
+quart AS (
+  SELECT level, lang, source, m, count(*) AS docs,
+    list_sort(list(v))[(count(*) + 3) // 4] AS q1, list_sort(list(v))[(3 * count(*) + 3) // 4] AS q3
+  FROM levels GROUP BY level, lang, source, m),
+picked AS (
+  SELECT g.lang, g.source, q.m, q.q1, q.q3 FROM (SELECT DISTINCT lang, source FROM rough) g JOIN quart q
+    ON (q.level = 2 AND q.lang IS NOT DISTINCT FROM g.lang AND q.source IS NOT DISTINCT FROM g.source)
+    OR (q.level = 1 AND q.lang IS NOT DISTINCT FROM g.lang) OR q.level = 0
+  WHERE q.docs >= 50 OR q.level = 0
+  QUALIFY row_number() OVER (PARTITION BY g.lang, g.source, q.m ORDER BY q.level DESC) = 1),
+bounds AS (
+  SELECT lang, source, m, q3 + 3 * greatest(q3 - q1, least_spread) AS high, q1 - 3 * greatest(q3 - q1, least_spread) AS low
+  FROM picked JOIN (VALUES (1, 500), (2, 20000), (3, 100000), (4, 50000)) s(m, least_spread) USING (m)),
+wide AS (
+  SELECT lang, source, max(high) FILTER (WHERE m = 1) AS h1, max(low) FILTER (WHERE m = 1) AS l1, max(high) FILTER (WHERE m = 2) AS h2,
+    max(high) FILTER (WHERE m = 3) AS h3, max(high) FILTER (WHERE m = 4) AS h4 FROM bounds GROUP BY lang, source)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+  NOT base_failed AND coalesce(m1 BETWEEN l1 AND h1 AND m2 <= h2 AND m3 <= h3 AND m4 <= h4, true) AS kept
+FROM judged j LEFT JOIN wide b ON j.lang IS NOT DISTINCT FROM b.lang AND j.source IS NOT DISTINCT FROM b.source"""
+
+
+@query("op2_quality_rules", _QUALITY_SQL)
+def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op2.judge(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"
+    )
+
+
+_TEMPLATE_ROWS = ", ".join(f"('{t.label}', {t.words!r}, {t.needed})" for t in op8.TEMPLATES)
+_LICENSE_SQL = (
+    r"""
+WITH templates(label, tw, needed) AS (VALUES """
+    + _TEMPLATE_ROWS
+    + r"""),
+phrases(label, p) AS (VALUES ('mit', ['mit', 'license']), ('apache', ['apache', 'license']), ('gpl', ['general', 'public', 'license'])),
+low AS (
+  SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS body FROM documents),
+words AS (SELECT doc_id, regexp_extract_all(body, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM low),
+places AS (
+  SELECT doc_id, label, i - 1 AS place FROM (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS i FROM words) JOIN phrases ON w[i:i + len(p) - 1] = p),
+base AS (
+  SELECT doc_id, count(*) AS n_base, min(place) AS first_word, max(place) AS last_word, list(DISTINCT label) AS base_labels
+  FROM places GROUP BY doc_id),
+blocks AS (
+  SELECT doc_id, list_distinct(regexp_extract_all(unnest(string_split(body, chr(10))), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS bw FROM low),
+matches AS (
+  SELECT doc_id, label, len(list_intersect(bw, tw)) / len(tw) AS containment FROM blocks JOIN templates ON len(list_intersect(bw, tw)) >= needed),
+more AS (SELECT doc_id, list(DISTINCT label) AS more, max(containment) AS best FROM matches GROUP BY doc_id)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_base, 0) AS n_base, first_word, last_word,
+  array_to_string(list_sort(coalesce(base_labels, [])), ',') AS base_labels,
+  array_to_string(list_sort(list_distinct(list_concat(coalesce(base_labels, []), coalesce(more, [])))), ',') AS labels,
+  CASE WHEN n_base > 0 THEN 1.0 ELSE coalesce(best, 0.0) END::DOUBLE AS score
+FROM words LEFT JOIN base USING (doc_id) LEFT JOIN more USING (doc_id)"""
+)
+
+
+@query("op8_license_scan", _LICENSE_SQL)
+def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = op8.scan(table(spark, sf_dir, "documents"))
+    comma = lambda name: F.array_join(name, ",").alias(name)
+    return found.select("doc_id", "n_words", "n_base", "first_word", "last_word", comma("base_labels"), comma("labels"), "score")
