@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from polfin.llm import op2_quality as op2
+from polfin.llm import op10_decontaminate as op10
 from polfin.llm import op3_url_filter as op3
 from polfin.llm import op5_mixing as op5
 from polfin.llm import op6_sharding as op6
@@ -244,3 +245,9 @@ def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = op8.scan(table(spark, sf_dir, "documents"))
     comma = lambda name: F.array_join(name, ",").alias(name)
     return found.select("doc_id", "n_words", "n_base", "first_word", "last_word", comma("base_labels"), comma("labels"), "score")
+
+
+@query("op10_decontaminate")
+def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = op10.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "item_id", "n_words", "n_covered", "n_slots", "n_changed")
