@@ -142,7 +142,7 @@ def filter_urls(pages: DataFrame, rules: Sequence[Rule], default: str = "allow",
     """
     new = ("host", "path", "rule", "verdict")
     rest = [c for c in pages.columns if c.lower() not in new or c == url]
-    address, h, p = fresh(pages.columns, "_url", "_host", "_path")
+    address, h, p, rule_host, rule_path, found = fresh(pages.columns, "_url", "_host", "_path", "_rh", "_rp", "_best")
     host, path = url_parts(F.col(address))
     base = pages.select(*[F.col(f"`{c}`") for c in rest], F.col(f"`{url}`").alias(address)).select(
         *[f"`{c}`" for c in rest], host.alias(h), path.alias(p)
@@ -152,12 +152,12 @@ def filter_urls(pages: DataFrame, rules: Sequence[Rule], default: str = "allow",
         nothing = F.lit(None).cast("string").alias("rule")
         return base.select(*kept, F.col(h).alias("host"), F.col(p).alias("path"), nothing, F.lit(default).alias("verdict"))
     best = longest_rules(base.select(F.col(h).alias("host"), F.col(p).alias("path")), rules)
-    best = best.select(F.col("host").alias("_rh"), F.col("path").alias("_rp"), F.struct("rule", "verdict").alias("_best"))
-    joined = base.join(best, (F.col(h) == F.col("_rh")) & (F.col(p) == F.col("_rp")), "left")
+    best = best.select(F.col("host").alias(rule_host), F.col("path").alias(rule_path), F.struct("rule", "verdict").alias(found))
+    joined = base.join(best, (F.col(h) == F.col(rule_host)) & (F.col(p) == F.col(rule_path)), "left")
     return joined.select(
         *kept,
         F.col(h).alias("host"),
         F.col(p).alias("path"),
-        F.col("_best.rule").alias("rule"),
-        F.coalesce("_best.verdict", F.lit(default)).alias("verdict"),
+        F.col(f"{found}.rule").alias("rule"),
+        F.coalesce(f"{found}.verdict", F.lit(default)).alias("verdict"),
     )

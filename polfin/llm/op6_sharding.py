@@ -84,7 +84,9 @@ def hilbert_shards(docs: DataFrame, shards: int = 40, text: str = "text") -> Dat
     """
     new = ("size", "curve", "shard", "slot")
     rest = [c for c in docs.columns if c.lower() not in new]
-    s, l, d1, d2, d3, piece, mix, crc = fresh(rest, "_s", "_l", "_d1", "_d2", "_d3", "_piece", "_mix", "_crc")
+    s, l, d1, d2, d3, mix, crc, pieces, piece, n, start, total, place = fresh(
+        [*rest, *new], *"_s _l _d1 _d2 _d3 _mix _crc _pieces _piece _n _start _total _place".split()
+    )
     body = F.encode(F.coalesce(F.col(f"`{text}`"), F.lit("")), "UTF-8")
     rows = docs.select(*[f"`{c}`" for c in rest], (F.octet_length(body) + 16).cast("long").alias("size"), F.crc32(body).alias(crc))
 
@@ -97,30 +99,26 @@ def hilbert_shards(docs: DataFrame, shards: int = 40, text: str = "text") -> Dat
         .withColumn(d3, _log_grid(F.col("size")))
         .withColumn(mix, F.xxhash64("doc_id"))
     )
-    cells = stored(rows.groupBy(d1, d2, d3).agg(F.count(F.lit(1)).alias("n")), "shard-cells")
-    cells = stored(
-        cells.select(
-            d1, d2, d3, _curve(d1, d2, d3).alias("curve"), F.ceil(F.col("n") / ROWS_PER_PIECE).alias("pieces")
-        ),
-        "shard-curve",
-    )
-    rows = rows.join(cells, [d1, d2, d3]).withColumn(piece, F.pmod(F.col(mix), F.col("pieces")))
+    cells = stored(rows.groupBy(d1, d2, d3).agg(F.count(F.lit(1)).alias(n)), "shard-cells")
+    curve = _curve(d1, d2, d3).alias("curve")
+    cells = stored(cells.select(d1, d2, d3, curve, F.ceil(F.col(n) / ROWS_PER_PIECE).alias(pieces)), "shard-curve")
+    rows = rows.join(cells, [d1, d2, d3]).withColumn(piece, F.pmod(F.col(mix), F.col(pieces)))
     order = Window.orderBy("curve", piece)
-    before = F.coalesce(F.sum("n").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    before = F.coalesce(F.sum(n).over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     starts = stored(
         rows.groupBy("curve", piece)
-        .agg(F.count(F.lit(1)).alias("n"))
-        .select("curve", piece, before.alias("start"), F.sum("n").over(Window.partitionBy()).alias("total")),
+        .agg(F.count(F.lit(1)).alias(n))
+        .select("curve", piece, before.alias(start), F.sum(n).over(Window.partitionBy()).alias(total)),
         "shard-starts",
     )
     within = Window.partitionBy("curve", piece).orderBy(mix, "doc_id", crc, "size")
-    place = (
+    placed = (
         rows.join(starts, ["curve", piece])
-        .withColumn("place", F.col("start") + F.row_number().over(within) - 1)
-        .withColumn("shard", F.floor(F.col("place") * shards / F.col("total")).cast("int"))
+        .withColumn(place, F.col(start) + F.row_number().over(within) - 1)
+        .withColumn("shard", F.floor(F.col(place) * shards / F.col(total)).cast("int"))
     )
-    first = F.floor((F.col("shard") * F.col("total") + (shards - 1)) / shards)
-    return place.select(*[f"`{c}`" for c in rest], "size", "curve", "shard", (F.col("place") - first).alias("slot"))
+    first = F.floor((F.col("shard") * F.col(total) + (shards - 1)) / shards)
+    return placed.select(*[f"`{c}`" for c in rest], "size", "curve", "shard", (F.col(place) - first).alias("slot"))
 
 
 def write_shards(sharded: DataFrame, path: str) -> None:

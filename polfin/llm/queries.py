@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from polfin.llm import op2_quality as op2
 from polfin.llm import op10_decontaminate as op10
 from polfin.llm import op3_url_filter as op3
+from polfin.llm import op4_language_id as op4
 from polfin.llm import op5_mixing as op5
 from polfin.llm import op6_sharding as op6
 from polfin.llm import op7_line_dedup as op7
@@ -251,3 +252,8 @@ def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = op10.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.select("doc_id", "item_id", "n_words", "n_covered", "n_slots", "n_changed")
+
+
+@query("op4_language_id")
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op4.languages(table(spark, sf_dir, "documents"))
