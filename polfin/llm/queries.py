@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from polfin.llm import op1_suffix_dedup as op1
 from polfin.llm import op2_quality as op2
 from polfin.llm import op10_decontaminate as op10
 from polfin.llm import op3_url_filter as op3
@@ -257,3 +258,8 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op4_language_id")
 def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op4.languages(table(spark, sf_dir, "documents"))
+
+
+@query("op1_suffix_dedup")
+def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op1.summary(table(spark, sf_dir, "documents"))
