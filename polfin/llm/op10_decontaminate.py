@@ -86,17 +86,22 @@ def item_windows(benchmark: DataFrame) -> DataFrame:
     """(item_id, n_words, size, at, hash, slots) of every window that may be looked for.
 
     An item shorter than ``WINDOW`` is one window of its own size. ``slots`` are the
-    places of placeholders, counted from the start of the item.
+    places of placeholders, counted from the start of the item. The first window comes
+    in a second form, with a name for its first word, which looks like one where the
+    item stands inside a sentence.
     """
     items = benchmark.select("item_id", template_only(F.col("text")).alias("words")).withColumn("n_words", F.size("words"))
     items = items.where(F.col("n_words") >= MIN_ITEM).distinct()
     size = F.least(F.col("n_words"), F.lit(WINDOW))
+    inside = F.concat(F.array(F.lit(f"{_OPEN}name{_CLOSE}")), F.slice("words", F.lit(2), F.col("n_words")))
     parts = []
     for s in range(MIN_ITEM, WINDOW + 1):
-        hashes = items.where(size == s).select(
-            "item_id", "n_words", "words", F.posexplode(_window_hashes(F.col("words"), s)).alias("at", "hash")
-        )
-        parts.append(hashes.withColumn("size", F.lit(s)))
+        of_size = items.where(size == s)
+        every = F.posexplode(_window_hashes(F.col("words"), s)).alias("at", "hash")
+        first = F.get(_window_hashes(F.col("inside"), s), F.lit(0)).alias("hash")
+        of_inside = of_size.where(~_is_slot(F.get("words", F.lit(0)))).withColumn("inside", inside)
+        parts.append(of_size.select("item_id", "n_words", "words", every).withColumn("size", F.lit(s)))
+        parts.append(of_inside.select("item_id", "n_words", "words", F.lit(0).alias("at"), first).withColumn("size", F.lit(s)))
     window = F.slice("words", F.col("at") + 1, F.col("size"))
     places = F.filter(F.transform(window, lambda w, i: F.when(_is_slot(w), i + F.col("at"))), lambda x: x.isNotNull())
     # Windows of short items need fewer literal words, in proportion.
