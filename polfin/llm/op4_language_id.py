@@ -42,6 +42,7 @@ _TEXT_BYTES_AT_ONCE = 1 << 21
 _LETTER = re.compile(r"[^\W\d_]")
 # ASCII characters that are no letters become blanks.
 _BLANKED = bytes(c if c >= 128 or chr(c).isalpha() else 32 for c in range(256))
+_DRAWS = 1 << 30
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -243,25 +244,23 @@ def _one_run(text: pd.Series, pick: pd.Series) -> pd.Series:
 def train(docs: DataFrame, sequences: int = TRAIN_SEQUENCES) -> Model:
     """A model from the rows of ``docs`` with a language that are not held out.
 
-    Of each language the documents with the smallest hash of id and text are taken, one
-    run of words from each: ``sequences`` runs in all, or 20 per language if that is more.
+    Of each language the documents with the smallest hash of the id are taken, one run of
+    words from each: ``sequences`` runs in all at most, or 20 per language if that is more.
     Without labelled rows the model knows no language.
     """
     labelled = docs.where(F.col("lang").isNotNull() & ~held_out(F.col("doc_id")))
     named = labelled.select("lang", F.xxhash64("doc_id").alias("pick"), "text")
-    n_langs = named.select("lang").distinct().count()
-    each = max(20, sequences // max(1, n_langs))
-    order = Window.partitionBy("lang").orderBy("pick")
-    chosen = named.select("lang", "pick").withColumn("n", F.row_number().over(order)).where(F.col("n") <= each)
-    last = stored(chosen.groupBy("lang").agg(F.max("pick").alias("upto")).withColumnRenamed("lang", "_lang"), "lang-sample")
-    sample = (
-        named.join(F.broadcast(last), F.col("lang") == F.col("_lang"))  # one row per language
-        .where(F.col("pick") <= F.col("upto"))
-        .select("lang", "pick", _one_run("text", F.pmod("pick", F.lit(1 << 30))).alias("run"))
-        .orderBy("pick", "lang", "run")
-        .limit(each * max(1, n_langs))
-        .collect()
-    )
+    sizes = stored(named.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).withColumnRenamed("lang", "_lang"), "lang-sizes")
+    n_langs = max(1, sizes.count())
+    each = max(20, sequences // n_langs)
+    # A first cut by the hash alone leaves about twice as many as are wanted, wherever they stand; then the smallest are taken.
+    drawn = named.join(F.broadcast(sizes), F.col("lang") == F.col("_lang"))  # one row per language
+    draw = F.pmod("pick", F.lit(_DRAWS)).alias("draw")
+    few = drawn.select("*", draw).where(F.col("draw") <= F.lit(2.0 * each * _DRAWS) / F.col("n"))
+    runs = few.select("lang", "draw", "pick", _one_run("text", "draw").alias("run"))
+    order = Window.partitionBy("lang").orderBy("draw", "pick", "run")
+    chosen = runs.withColumn("nth", F.row_number().over(order)).where(F.col("nth") <= each)
+    sample = sorted(chosen.select("lang", "draw", "pick", "run").collect())
     return fit([r.run for r in sample], [r.lang for r in sample])
 
 

@@ -21,7 +21,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from polfin.llm.common import lower_ascii, stored, text_key
+from polfin.llm.common import stored, text_key
 
 THRESHOLD_PERCENT = 80
 # ASCII letters (lower-cased before) and digits, and everything beyond ASCII.
@@ -61,22 +61,38 @@ TEMPLATES = (
 PHRASES = ((("mit", "license"), "mit"), (("apache", "license"), "apache"), (("general", "public", "license"), "gpl"))
 
 
-def phrase_places(docs: DataFrame) -> DataFrame:
-    """(doc_id, text_key, n_words, n_base, first_word, last_word, base_labels as array), one row per row.
+def _lowered(text: Column) -> Column:
+    """Lower case. Only ASCII letters can make a word equal to one that is looked for, except the
+    Kelvin sign, whose lower case is a plain k; it is put out of the way."""
+    return F.lower(F.replace(F.coalesce(text, F.lit("")), F.lit("\u212a"), F.lit("\u00e9")))
 
-    Word lists are only built for texts that hold the word shared by all phrases.
+
+def tokenized(docs: DataFrame, vocabulary: Sequence[str]) -> DataFrame:
+    """(doc_id, text_key, n_words, words, blocks), one row per row; every text is cut into words once.
+
+    ``words`` are all words of texts that hold the word shared by all phrases, else NULL.
+    ``blocks`` lists lines with words of the vocabulary: number of the line, distinct words.
     """
-    lowered = docs.select("doc_id", text_key(F.col("text")).alias("text_key"), lower_ascii(F.coalesce("text", F.lit(""))).alias("body"))
-    shared = set.intersection(*(set(p) for p, _ in PHRASES))
+    body = docs.select("doc_id", text_key(F.col("text")).alias("text_key"), _lowered(F.col("text")).alias("body"))
+    cut = body.select(
+        "doc_id", "text_key", "body", F.transform(F.split("body", "\n", -1), lambda x: F.regexp_extract_all(x, F.lit(WORD8), 0)).alias("lines")
+    )
     maybe = F.lit(True)
-    for word in sorted(shared):
+    for word in sorted(set.intersection(*(set(p) for p, _ in PHRASES))):
         maybe = maybe & F.col("body").contains(word)
-    listed = lowered.select(
+    known = lambda line: F.array_distinct(F.filter(line, lambda w: w.isin(list(vocabulary))))
+    blocks = F.transform("lines", lambda line, i: F.struct(i.alias("block"), known(line).alias("words")))
+    return cut.select(
         "doc_id",
         "text_key",
-        F.regexp_count("body", F.lit(WORD8)).cast("long").alias("n_words"),
-        F.when(maybe, F.regexp_extract_all("body", F.lit(WORD8), 0)).alias("words"),
+        F.aggregate("lines", F.lit(0).cast("long"), lambda n, line: n + F.size(line)).alias("n_words"),
+        F.when(maybe, F.flatten("lines")).alias("words"),
+        F.filter(blocks, lambda x: F.size(x["words"]) > 0).alias("blocks"),
     )
+
+
+def phrase_places(cut: DataFrame) -> DataFrame:
+    """``cut`` with n_base, first_word, last_word and base_labels (an array) in place of ``words``."""
     w = F.col("words")
 
     def stands(phrase: Sequence[str]) -> Column:
@@ -88,13 +104,14 @@ def phrase_places(docs: DataFrame) -> DataFrame:
 
         return F.array_compact(F.transform(w, at))
 
-    found = listed.select("doc_id", "text_key", "n_words", *[stands(p).alias(f"at{i}") for i, (p, _) in enumerate(PHRASES)])
+    found = cut.select("*", *[stands(p).alias(f"at{i}") for i, (p, _) in enumerate(PHRASES)])
     places = F.coalesce(F.concat(*[F.col(f"at{i}") for i in range(len(PHRASES))]), F.array().cast("array<int>"))
     labels = F.array_compact(F.array(*[F.when(F.size(f"at{i}") > 0, F.lit(label)) for i, (_, label) in enumerate(PHRASES)]))
     return found.withColumn("places", places).select(
         "doc_id",
         "text_key",
         "n_words",
+        "blocks",
         F.size("places").cast("long").alias("n_base"),
         F.array_min("places").cast("long").alias("first_word"),
         F.array_max("places").cast("long").alias("last_word"),
@@ -102,18 +119,8 @@ def phrase_places(docs: DataFrame) -> DataFrame:
     )
 
 
-def _blocks(docs: DataFrame, vocabulary: Sequence[str]) -> DataFrame:
-    """(doc_id, text_key, block, words): template words of each line, for lines that have any."""
-    lines = docs.select(
-        "doc_id",
-        text_key(F.col("text")).alias("text_key"),
-        F.posexplode(F.split(lower_ascii(F.coalesce("text", F.lit(""))), "\n", -1)).alias("block", "line"),
-    )
-    known = F.array(*[F.lit(w) for w in vocabulary])
-    words = lines.select(
-        "doc_id", "text_key", "block", F.array_intersect(F.regexp_extract_all("line", F.lit(WORD8), 0), known).alias("words")
-    )
-    return words.where(F.size("words") > 0)
+def vocabulary_of(templates: Sequence[Template]) -> list[str]:
+    return sorted({w for t in templates for w in t.words})
 
 
 def license_blocks(docs: DataFrame, templates: Sequence[Template] = TEMPLATES) -> DataFrame:
@@ -123,9 +130,14 @@ def license_blocks(docs: DataFrame, templates: Sequence[Template] = TEMPLATES) -
     ``templates`` is a list kept by hand; their words are the only ones that are looked
     at. Lines of any length count; a NULL text is one empty line.
     """
-    spark = docs.sparkSession
-    vocabulary = sorted({w for t in templates for w in t.words})
-    blocks = stored(_blocks(docs, vocabulary), "license-blocks")
+    return _matches(stored(tokenized(docs, vocabulary_of(templates)).drop("words"), "license-words"), templates)
+
+
+def _matches(cut: DataFrame, templates: Sequence[Template]) -> DataFrame:
+    """Matching blocks of a stored table with a ``blocks`` column."""
+    spark = cut.sparkSession
+    vocabulary = vocabulary_of(templates)
+    blocks = cut.select("doc_id", "text_key", F.explode("blocks").alias("b")).select("doc_id", "text_key", "b.*")
     counts = blocks.select(F.explode("words").alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
     often = {r.word: r.n for r in counts.collect()}  # one row per template word
     order = sorted(vocabulary, key=lambda w: (often.get(w, 0), w))
@@ -151,7 +163,7 @@ def license_blocks(docs: DataFrame, templates: Sequence[Template] = TEMPLATES) -
         "doc_id", "text_key", "block", "mine", "c", F.posexplode(F.slice("mine", F.lit(1), F.col("c") - least + 1)).alias("p0", "rank")
     ).withColumn("p", F.col("p0") + 1)
     meet = (
-        probes.join(prefixes, "rank")
+        probes.join(F.broadcast(prefixes), "rank")  # as many rows as template words
         .where("c >= needed AND p <= c - needed + 1 AND least(t - q, c - p) + 1 >= needed")
         .withColumn("overlap", F.size(F.array_intersect("mine", "ranks")))
         .where("overlap >= needed")
@@ -169,9 +181,9 @@ def scan(docs: DataFrame, templates: Sequence[Template] = TEMPLATES) -> DataFram
     empty text has no words, no labels, score 0. Rows that repeat doc_id and text each
     get the same result. Further columns are ignored.
     """
-    base = phrase_places(docs)
+    base = stored(phrase_places(tokenized(docs, vocabulary_of(templates))), "license-words")
     per_doc = (
-        license_blocks(docs, templates)
+        _matches(base, templates)
         .groupBy("doc_id", "text_key")
         .agg(F.collect_set("label").alias("more"), F.max("containment").alias("best"))
         .toDF("_doc", "_key", "more", "best")
