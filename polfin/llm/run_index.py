@@ -68,14 +68,14 @@ class RunIndex:
         while width < 4 and 2 * width <= self.length and base**2 < 1 << 62:
             key = key * base + (_shifted(key, width) + 0).clip(0)
             base, width = base**2, 2 * width
-        order = np.argsort(key, kind="stable")
+        order = np.argsort(key)
         rank = _ranks(order, key)
         half = None
         while width <= longest:
             if width <= self.length < 2 * width:
                 half = (rank, width)
             nxt = _shifted(rank, width)
-            order = np.argsort(rank * (len(rank) + 1) + nxt + 1, kind="stable")
+            order = np.argsort(rank * (len(rank) + 1) + nxt + 1)
             rank = _ranks(order, rank, nxt)
             width *= 2
         if half is None and width <= self.length < 2 * width:
