@@ -11,6 +11,7 @@ from polfin.session import new_work_path
 
 # A word is a run of anything but space, tab, line feed, vertical tab, form feed and carriage return.
 WORD = r"[^\x20\x09-\x0D]+"
+TEXT_BATCH_BYTES = "4m"
 BLANKS = " \t\n\x0b\f\r"
 ASCII_UPPER, ASCII_LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -52,3 +53,11 @@ def text_key(text: Column) -> Column:
 
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def text_batches(spark: SparkSession) -> None:
+    """Sends texts to Python workers in small batches, whatever their length, which bounds the workers' memory.
+
+    A setting of the session, since plans run later; number batches stay as they are.
+    """
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", TEXT_BATCH_BYTES)

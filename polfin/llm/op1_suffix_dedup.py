@@ -35,7 +35,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from polfin.llm.common import fresh, partitions, stored, text_key
+from polfin.llm.common import fresh, partitions, stored, text_batches, text_key
 from polfin.llm.run_index import RunIndex
 
 LENGTH = 100
@@ -285,6 +285,7 @@ def repeated_runs(docs: DataFrame) -> DataFrame:
     """(doc, text_key, at, n): runs of starts of strings that also start earlier; ``doc`` is doc_id, or the
     smallest number for NULL. Runs of a document may touch and overlap."""
     named = docs.select(F.coalesce("doc_id", F.lit(_NO_ID)).alias("doc"), text_key(F.col("text")).alias("text_key"), "text")
+    text_batches(docs.sparkSession)
     p = partitions(docs.sparkSession)
     rows = named.mapInArrow(_stretch_rows, _ROW)
     met = stored(

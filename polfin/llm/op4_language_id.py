@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from polfin.llm.common import stored
+from polfin.llm.common import stored, text_batches
 
 # Runs of words the model is fitted on, shared equally among the languages (but 20 each at least).
 TRAIN_SEQUENCES = 4000
@@ -37,7 +37,7 @@ LEXICON = 20_000
 UNKNOWN = "und"
 # Rows of the weight table for n-grams; the lexicon has its own rows behind them.
 TABLE_BITS = 17
-_TEXT_BYTES_AT_ONCE = 1 << 21
+_TEXT_BYTES_AT_ONCE = 1 << 18
 
 _LETTER = re.compile(r"[^\W\d_]")
 # ASCII characters that are no letters become blanks.
@@ -270,6 +270,7 @@ def identify(docs: DataFrame, model: Model, *, text: str = "text") -> Column:
     A text that is NULL, empty or has no letter is ``und`` with score 0; so is every text
     if the model knows no language.
     """
+    text_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
     schema = T.StructType([T.StructField("lang", T.StringType()), T.StructField("score", T.DoubleType())])
 

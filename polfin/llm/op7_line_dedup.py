@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from polfin.llm.common import BLANKS, fresh, partitions, stored, text_key
+from polfin.llm.common import BLANKS, fresh, partitions, stored, text_batches, text_key
 
 _BLANKS = BLANKS.encode()
 _DROP, _OPEN, _COUNT = 0, 1, 2
@@ -205,6 +205,7 @@ def keep_bitmaps(docs: DataFrame, min_docs: int = 10, min_chars: int = 1, keep_f
     Rows that repeat doc_id and text are one document; rows that share only the doc_id
     are several. Further columns are ignored.
     """
+    text_batches(docs.sparkSession)
     named = docs.select("doc_id", text_key(F.col("text")).alias("text_key"), "text")
     lines = named.select(
         "doc_id", "text_key", F.size(F.split(F.coalesce("text", F.lit("")), "\n", -1)).cast("long").alias("n_lines")

@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from polfin.llm.common import fresh, partitions, stored, text_key
+from polfin.llm.common import fresh, partitions, stored, text_batches, text_key
 from polfin.llm.components import components
 
 SEED = 42
@@ -226,6 +226,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     fingerprint. A class of NULL ids alone has a NULL component_id. Further columns are
     ignored.
     """
+    text_batches(docs.sparkSession)
     prints = stored(
         docs.select("doc_id", text_key(F.col("text")).alias("text_key"), fingerprint("text").alias("fp")), "simhash-prints"
     )
