@@ -9,9 +9,9 @@ from polfin.catalog import sql_parts as sql
 from polfin.catalog.q_joins import people, recipients
 from polfin.catalog.registry import money_sql, query, rounded
 from polfin.catalog.standins import load, select
-from polfin.catalog.stored import contributions_root
-from polfin.operators.predicates import ALL_CYCLES, AmountBetween, CycleIn, federal_races
-from polfin.plans import dimensions, marts, pipelines
+from polfin.catalog.stored import contributions_root, shifted_root
+from polfin.operators.predicates import AmountBetween, CycleIn, federal_races
+from polfin.plans import analytics, dimensions, marts, pipelines
 from polfin.session import new_work_path
 from polfin.sources import readers, sinks
 from polfin.streaming import incremental
@@ -37,7 +37,6 @@ def _(spark, sf):
         spark,
         contributions_root(spark, sf),
         out,
-        ALL_CYCLES,
         recipients=recipients(spark, sf),
         legislators=people(spark, sf),
     )
@@ -69,12 +68,53 @@ def _(spark, sf):
     return spark.table(name)
 
 
+_SHIFTED = "CASE cycle WHEN 1996 THEN 2023 WHEN 1998 THEN 2026 ELSE cycle END"
+
+
+@query("m11_all_cycles", f"SELECT {_SHIFTED} AS cycle, COUNT(*) AS rows FROM contributions GROUP BY 1")
+def _(spark, sf):
+    path = new_work_path(spark, "all-cycles")
+    done = pipelines.load_subset(
+        spark, shifted_root(spark, sf), lambda df: sinks.write_parquet(df, path), columns=["cycle", "transaction.id"]
+    )
+    counts = pipelines.rows_per_cycle(spark.read.parquet(path))
+    return counts.where(F.col("cycle").isin(*done.cycles))
+
+
+@query(
+    "m12_all_cycles",
+    f"""SELECT {_SHIFTED} AS cycle, COUNT(*) AS rows FROM contributions WHERE {_GIVEN} GROUP BY 1""",
+)
+def _(spark, sf):
+    out = new_work_path(spark, "published-all")
+    frames = {"organizational": marts.organizational(spark.read.parquet(shifted_root(spark, sf)))}
+    pipelines.publish(frames, lambda df, name: sinks.write_parquet(df, f"{out}/{name}"), datasets="organizational")
+    return pipelines.rows_per_cycle(spark.read.parquet(f"{out}/organizational"))
+
+
+@query(
+    "k13_refresh_summary",
+    f"""SELECT politician_id, industry, COUNT(*) AS contribution_count, SUM(amount) AS total_amount, {money_sql("AVG(amount)")} AS avg_amount
+        FROM gifts JOIN politicians ON recipient_id = politician_id GROUP BY politician_id, industry""",
+)
+def _(spark, sf):
+    root = new_work_path(spark, "summary")
+    gifts = load(spark, sf, "gifts")
+    for batch, part in enumerate(("election_cycle < 1996", "election_cycle >= 1996 AND amount < 30000", "election_cycle >= 1996 AND amount >= 30000")):
+        for _again in range(2):  # a repeated batch changes nothing
+            analytics.refresh_summary(gifts.where(part), root, batch)
+    kept = analytics.stored_summary(spark, root, load(spark, sf, "politicians"))
+    return rounded(kept.withColumn("avg_amount", F.col("avg_amount").cast("double")), "avg_amount").withColumn(
+        "total_amount", F.col("total_amount").cast("decimal(24,2)")
+    )
+
+
 _PUBLISHED = f"""
     SELECT 'legislators' AS dataset, COUNT(*) AS rows FROM ({sql.DISTINCT_PEOPLE})
     UNION ALL SELECT 'crosswalk', COUNT(*) FROM ({sql.CROSSWALK})
     UNION ALL SELECT 'organizational', least(5000, COUNT(*)) FROM contributions
-              WHERE {_GIVEN} AND cycle IN (1996, 1998, 2000)
-    UNION ALL SELECT 'recipient_aggregates', COUNT(*) FROM ({sql.AGGREGATES}) WHERE cycle IN (1996, 1998, 2000)"""
+              WHERE {_GIVEN}
+    UNION ALL SELECT 'recipient_aggregates', least(5000, COUNT(*)) FROM ({sql.AGGREGATES})"""
 
 
 def _publish(spark, sf, sink) -> DataFrame:
@@ -85,7 +125,7 @@ def _publish(spark, sf, sink) -> DataFrame:
         "organizational": marts.organizational(rows),
         "recipient_aggregates": marts.recipient_aggregates(rows),
     }
-    counts = pipelines.publish(frames, sink, datasets="all", cycles=[1996, 1998, 2000], limit=5000)
+    counts = pipelines.publish(frames, sink, datasets="all", limit=5000)
     return spark.createDataFrame(list(counts.items()), "dataset string, rows bigint")
 
 
@@ -99,7 +139,7 @@ def _(spark, sf):
     "k06_publish_tables",
     """SELECT cycle, bonica_rid, contribution_count FROM (
          SELECT cycle, "bonica.rid" AS bonica_rid, COUNT(*) AS contribution_count FROM contributions
-         WHERE cycle IN (1996, 1998) GROUP BY cycle, "bonica.rid")""",
+         GROUP BY cycle, "bonica.rid")""",
 )
 def _(spark, sf):
     out = new_work_path(spark, "tables")
@@ -108,7 +148,6 @@ def _(spark, sf):
         {"recipient_aggregates": marts.recipient_aggregates(rows)},
         lambda df, name: sinks.write_parquet(df, f"{out}/{name}"),
         datasets=["recipient_aggregates"],
-        cycles=[1996, 1998],
         tables={"recipient_aggregates": "totals"},
     )
     return spark.read.parquet(f"{out}/totals").select("cycle", "bonica_rid", "contribution_count")

@@ -17,7 +17,7 @@ from polfin.functions.columns import asc, c, desc
 from polfin.operators import predicates as p
 from polfin.operators.limits import limit_by_cycle, sample_keys, sample_rows, top_k
 from polfin.operators.linking import fec_lookup
-from polfin.operators.sets import difference, union_tagged
+from polfin.operators.sets import difference, key_counts, union_tagged
 from polfin.plans import dimensions, marts
 
 ALL = 'SELECT "transaction.id", {columns} FROM contributions WHERE {where}'
@@ -181,6 +181,17 @@ def _(spark, sf):
     return limit_by_cycle(rows, limit, p.ALL_CYCLES).groupBy("cycle").agg(F.count("*").alias("rows"))
 
 
+@query(
+    "o04_capped_rows",
+    """WITH n AS (SELECT COUNT(*) * 2 // 5 AS cap FROM contributions) SELECT cap AS rows, cap AS found FROM n""",
+)
+def _(spark, sf):
+    """Each capped row is one of the table, and comes no more often than there."""
+    rows = select(spark.read.parquet(contributions_root(spark, sf)), "cycle", "transaction.id", "amount")
+    counts = key_counts(limit_by_cycle(rows, rows.count() * 2 // 5), rows, rows.columns)
+    return counts.agg(F.sum("in_left").alias("rows"), F.sum(F.least("in_left", "in_right")).alias("found"))
+
+
 @query(
     "o07_row_sample",
     "SELECT least(100, COUNT(*)) AS drawn, least(100, COUNT(*)) AS found FROM orders",
@@ -273,12 +284,16 @@ def _(spark, sf):
 
 @query(
     "d03_tolerant_cast",
-    """SELECT full_name, CASE WHEN regexp_matches(icpsr_id, '^[0-9]+$') THEN CAST(icpsr_id AS BIGINT) END AS icpsr
-       FROM legislators_current""",
+    r"""SELECT full_name, CASE WHEN regexp_matches(t, '^[0-9]+([.][0-9]+)?$') THEN CAST(round(CAST(t AS DECIMAL(28,10))) AS BIGINT) END AS icpsr
+       FROM (SELECT full_name, CASE length(full_name) % 3 WHEN 0 THEN icpsr_id || '.7' WHEN 1 THEN icpsr_id || '.2' ELSE icpsr_id END AS t
+             FROM (SELECT full_name, icpsr_id FROM legislators_current UNION ALL SELECT full_name, icpsr_id FROM legislators_historical))""",
 )
 def _(spark, sf):
-    rows = load(spark, sf, "legislators_current", ["full_name", "icpsr_id"])
-    return rows.select("full_name", scalars.to_bigint(F.col("icpsr_id")).alias("icpsr"))
+    rows = load(spark, sf, "legislators_current", ["full_name", "icpsr_id"]).unionByName(
+        load(spark, sf, "legislators_historical", ["full_name", "icpsr_id"])
+    )
+    text = F.expr("CASE length(full_name) % 3 WHEN 0 THEN icpsr_id || '.7' WHEN 1 THEN icpsr_id || '.2' ELSE icpsr_id END")
+    return rows.select("full_name", scalars.to_bigint(text).alias("icpsr"))
 
 
 @query("d04_congress_number", f"SELECT bioguide_id, day, {sql.congress('day')} AS congress FROM ({sql.TERM_DAYS})")

@@ -8,18 +8,21 @@ from pyspark.sql import functions as F
 
 from polfin.catalog.registry import query
 from polfin.catalog.standins import load, select, table
-from polfin.catalog.stored import contributions_root, csv_path, terms_path
+from polfin.catalog.stored import contributions_root, csv_path, shifted_root, terms_path
 from polfin.functions.columns import c, sanitize
-from polfin.operators.predicates import AmountBetween, CycleIn, Organizational
+from polfin.operators.predicates import CycleIn, Organizational
 from polfin.plans import marts, pipelines
 from polfin.plans.dimensions import combined_legislators, crosswalk_pairs, unified_legislators
 from polfin.session import new_work_path
 from polfin.sources import readers, sinks
 from polfin.sources.specs import (
     CONTRIBUTIONS,
+    CONTRIBUTORS,
     DEFAULT_CONTRIBUTION_COLUMNS,
     LEGISLATORS,
     MEMBERS,
+    RECIPIENTS,
+    ROLLCALLS,
     VOTES,
 )
 
@@ -43,6 +46,14 @@ def _(spark, sf):
     return readers.query_cycles(spark, contributions_root(spark, sf), sql, [1996, 1998])
 
 
+_SHIFTED = "CASE cycle WHEN 1996 THEN 2023 WHEN 1998 THEN 2026 ELSE cycle END"
+
+
+@query("s02_all_cycles", f"SELECT {_SHIFTED} AS cycle, COUNT(*) AS n FROM contributions GROUP BY 1")
+def _(spark, sf):
+    return readers.query_cycles(spark, shifted_root(spark, sf), "SELECT cycle, COUNT(*) AS n FROM contributions GROUP BY cycle")
+
+
 @query("s03_dimension_scan", "SELECT s_suppkey, s_name FROM supplier")
 def _(spark, sf):
     return readers.read_parquet(spark, f"{sf}/supplier.parquet", ["s_suppkey", "s_name"])
@@ -51,12 +62,12 @@ def _(spark, sf):
 @query(
     "s04_mart_scan",
     """SELECT "transaction.id", "contributor.type", amount FROM contributions
-       WHERE cycle = 2000 AND "contributor.type" <> 'I'""",
+       WHERE "contributor.type" <> 'I'""",
 )
 def _(spark, sf):
     out = new_work_path(spark, "organizational")
-    pipelines.build_mart(spark, "organizational", contributions_root(spark, sf), out, [1998, 2000])
-    return select(readers.read_cycles(spark, out, [CycleIn([2000])]), "transaction.id", "contributor.type", "amount")
+    pipelines.build_mart(spark, "organizational", contributions_root(spark, sf), out)
+    return select(readers.read_cycles(spark, out), "transaction.id", "contributor.type", "amount")
 
 
 @query("s08_terms_json", "SELECT bioguide, start1, end1, start2, end2 FROM term_rows")
@@ -138,6 +149,44 @@ def _(spark, sf):
     return select(spark.read.parquet(out), *_INGESTED)
 
 
+@query(
+    "m01_ingest_recipients",
+    """SELECT election, "bonica.rid", nullif("bonica.cid", '') AS "bonica.cid", name, party, nullif("ICPSR", '') AS "ICPSR" FROM recipients""",
+)
+def _(spark, sf):
+    rows = load(spark, sf, "recipients")
+    source = csv_path(spark, rows, "recipients-csv", encoding="ISO-8859-1", null="\\N", gzip=True)
+    out = new_work_path(spark, "recipients-parquet")
+    pipelines.ingest(spark, RECIPIENTS, source, out)
+    return select(spark.read.parquet(out), "election", "bonica.rid", "bonica.cid", "name", "party", "ICPSR")
+
+
+@query("m01_ingest_contributors", "SELECT * FROM contributors")
+def _(spark, sf):
+    rows = load(spark, sf, "contributors")
+    source = csv_path(spark, rows, "contributors-csv", encoding="ISO-8859-1", null="\\N", gzip=True)
+    out = new_work_path(spark, "contributors-parquet")
+    pipelines.ingest(spark, CONTRIBUTORS, source, out)
+    return spark.read.parquet(out)
+
+
+def _rollcalls_csv(spark, sf):
+    return csv_path(spark, load(spark, sf, "rollcalls"), "rollcalls-csv", encoding="UTF-8", null="N/A", gzip=False)
+
+
+@query("m02_ingest_rollcalls", "SELECT * FROM rollcalls")
+def _(spark, sf):
+    out = new_work_path(spark, "rollcalls-parquet")
+    pipelines.ingest(spark, ROLLCALLS, _rollcalls_csv(spark, sf), out)
+    return spark.read.parquet(out)
+
+
+@query("s13_raw_count", "SELECT COUNT(*) AS records FROM rollcalls")
+def _(spark, sf):
+    counted = readers.raw_record_count(spark, _rollcalls_csv(spark, sf))
+    return spark.range(1).select(F.lit(counted).cast("bigint").alias("records"))
+
+
 @query("m02_ingest_members", "SELECT * FROM members")
 def _(spark, sf):
     source = csv_path(spark, load(spark, sf, "members"), "members-csv", encoding="UTF-8", null="N/A", gzip=False)
@@ -184,12 +233,12 @@ def _(spark, sf):
 
 @query(
     "k03_append_twice",
-    "SELECT cycle, 2 * COUNT(*) AS rows FROM contributions WHERE amount >= 60000 GROUP BY cycle",
+    "SELECT cycle, 2 * COUNT(*) AS rows FROM contributions GROUP BY cycle",
 )
 def _(spark, sf):
     path = new_work_path(spark, "appended")
     name = "t" + path.rsplit("-", 1)[1]
-    rows = readers.read_cycles(spark, contributions_root(spark, sf), [AmountBetween(low=60_000)])
+    rows = readers.read_cycles(spark, contributions_root(spark, sf))
     rows = select(rows, "cycle", "transaction.id", "amount")
     sinks.append_table(rows, name, path)
     sinks.append_table(rows, name, path)
@@ -243,12 +292,11 @@ def _(spark, sf):
 @query(
     "k12_table_info",
     """SELECT COUNT(*) AS row_count, 'cycle' AS "column", 'int' AS "type", 1 AS position FROM contributions
-       WHERE amount > 90000
-       UNION ALL SELECT COUNT(*), 'amount', 'double', 0 FROM contributions WHERE amount > 90000""",
+       UNION ALL SELECT COUNT(*), 'amount', 'double', 0 FROM contributions""",
 )
 def _(spark, sf):
     out = new_work_path(spark, "described")
-    rows = contributions(spark, sf, columns=["amount", "cycle"]).where("amount > 90000")
+    rows = contributions(spark, sf, columns=["amount", "cycle"])
     sinks.write_parquet(rows, out)
     return sinks.table_info_frame(spark, out)
 
@@ -273,14 +321,14 @@ def _(spark, sf):
 _DEFAULT = ", ".join(f'"{n}"' for n in DEFAULT_CONTRIBUTION_COLUMNS)
 
 
-@query("p01_default_projection", f"SELECT {_DEFAULT} FROM contributions WHERE cycle = 1996")
+@query("p01_default_projection", f"SELECT {_DEFAULT} FROM contributions")
 def _(spark, sf):
-    return pipelines.subset(contributions(spark, sf), [CycleIn([1996])])
+    return pipelines.subset(contributions(spark, sf))
 
 
-@query("p02_all_columns", "SELECT * FROM contributions WHERE amount > 100000 AND \"contributor.type\" <> 'I'")
+@query("p02_all_columns", "SELECT * FROM contributions WHERE \"contributor.type\" <> 'I'")
 def _(spark, sf):
-    return marts.organizational(contributions(spark, sf)).where("amount > 100000")
+    return marts.organizational(contributions(spark, sf))
 
 
 @query(

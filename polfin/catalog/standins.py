@@ -123,6 +123,31 @@ _VOTES = {
     "prob": "CASE WHEN e.event_id % 8 = 0 THEN CAST(NULL AS DOUBLE) ELSE e.value / 1000 END",
     "chamber": "CASE WHEN e.event_type IN ('click', 'view') THEN 'House' ELSE 'Senate' END",
 }
+_ROLLCALLS = {
+    "congress": "CAST(90 + day(e.ts) AS SMALLINT)",
+    "chamber": "CASE WHEN e.event_type IN ('click', 'view') THEN 'House' ELSE 'Senate' END",
+    "rollnumber": "CAST(e.event_id AS INT)",
+    "date": "CAST(CAST(e.ts AS DATE) AS STRING)",
+    "session": "CASE WHEN e.event_id % 6 = 0 THEN CAST(NULL AS DOUBLE) ELSE CAST(e.event_id % 2 + 1 AS DOUBLE) END",
+    "yea_count": "CAST(e.event_id % 435 AS INT)",
+    "nay_count": "CAST(e.event_id % 100 AS INT)",
+    "nominate_mid_1": "e.value / 1000",
+    "bill_number": "CASE WHEN e.event_id % 4 = 0 THEN NULL ELSE 'HR' || CAST(e.event_id % 900 AS STRING) END",
+    "vote_desc": """CASE e.event_id % 4 WHEN 0 THEN 'To amend "' || e.event_type || '"' || chr(10) || chr(10) || 'and more, of it'
+                    WHEN 1 THEN 'plain' WHEN 2 THEN '"' ELSE 'a' || chr(10) || '"b"' END""",
+    "dtl_desc": "CASE WHEN e.event_id % 3 = 0 THEN 'two' || chr(10) || 'lines' ELSE NULL END",
+}
+_CONTRIBUTORS = {
+    "bonica.cid": "CAST(c.c_custkey AS STRING)",
+    "contributor.type": "CASE WHEN c.c_custkey % 2 = 0 THEN 'I' ELSE 'C' END",
+    "most.recent.contributor.name": "c.c_name || ', \"Jr\"'",
+    "most.recent.contributor.state": "n.n_name",
+    "most.recent.contributor.employer": "CASE WHEN c.c_custkey % 5 = 0 THEN NULL ELSE c.c_mktsegment END",
+    "num.distinct": "CAST(c.c_custkey % 40 AS DOUBLE)",
+    "contributor.cfscore": "CASE WHEN c.c_custkey % 9 = 0 THEN CAST(NULL AS DOUBLE) ELSE c.c_acctbal / 10000 END",
+    "first_cycle_active": "CAST(1980 + 2 * (c.c_custkey % 10) AS DOUBLE)",
+    "amount.1996": "c.c_acctbal",
+}
 _TERMS = {
     "bioguide": "CASE WHEN e.user_id % 10 = 9 THEN NULL ELSE 'U' || lpad(CAST(e.user_id AS STRING), 6, '0') END",
     "start1": "CAST(1930 + e.event_id % 50 AS STRING) || '-01-0' || CAST(1 + e.event_id % 4 AS STRING)",
@@ -219,6 +244,10 @@ STANDINS = {
     "legislators_historical": _legislators("", "WHERE c.c_custkey % 3 < 2"),
     "members": StandIn(_complete(_MEMBERS, SPECS["members"]), "events e"),
     "rollcall_casts": StandIn(_VOTES, "events e"),
+    "rollcalls": StandIn(_complete(_ROLLCALLS, SPECS["rollcalls"]), "events e"),
+    "contributors": StandIn(
+        _complete(_CONTRIBUTORS, SPECS["contributors"]), "customer c JOIN nation n ON c.c_nationkey = n.n_nationkey"
+    ),
     "term_rows": StandIn(_TERMS, "events e"),
     "politicians": StandIn(
         _POLITICIANS,

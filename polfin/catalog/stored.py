@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from polfin.catalog.standins import load, terms
 from polfin.session import new_work_path
@@ -27,6 +28,17 @@ def contributions_root(spark: SparkSession, sf_dir: str) -> str:
     )
 
 
+def shifted_root(spark: SparkSession, sf_dir: str) -> str:
+    """The same with two cycles moved: one beyond the published range, one to an odd year."""
+    shifted = F.expr("CASE cycle WHEN 1996 THEN 2023 WHEN 1998 THEN 2026 ELSE cycle END").cast("int")
+    return _once(
+        spark,
+        sf_dir,
+        "contributions-shifted",
+        lambda path: write_cycles(load(spark, sf_dir, "contributions").withColumn("cycle", shifted), path),
+    )
+
+
 def csv_path(spark: SparkSession, df: DataFrame, label: str, *, encoding: str, null: str, gzip: bool) -> str:
     """A frame as CSV files with headers, doubled quotes and the given null marker."""
     path = new_work_path(spark, label)

@@ -102,8 +102,8 @@ def non_empty_array(col: Column) -> Column:
 
 
 def to_bigint(col: Column) -> Column:
-    """Whole number from text, NULL where the text is not one."""
-    return col.try_cast("bigint")
+    """Whole number from text, a fraction being rounded; NULL where the text is no number or out of range."""
+    return F.coalesce(col.try_cast("bigint"), F.round(col.try_cast("decimal(38,10)")).try_cast("bigint"))
 
 
 def blank_to_null(col: Column, markers: Iterable[str]) -> Column:

@@ -10,10 +10,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from polfin.functions.columns import c
+from polfin.sources.sinks import stored_copy
 
 BROADCAST_BYTES = 64 * 1024 * 1024
 ROW_OVERHEAD_BYTES = 32
-SALTS = 32
 
 
 def measured_bytes(df: DataFrame) -> int:
@@ -29,19 +29,15 @@ def lookup_join(
     keys: Sequence[str],
     how: str = "left",
     max_bytes: int = BROADCAST_BYTES,
-    salts: int = SALTS,
+    is_stored: bool = False,
 ) -> DataFrame:
     """Join on equal keys, where any key may dominate the big side.
 
-    A lookup measured to fit is broadcast and the big side is not moved. A larger
-    one is shuffled with salted keys: the rows of one key spread over ``salts``
-    tasks according to the input partition they come from, and the lookup is
-    repeated once per salt. Valid for inner, left, left_semi and left_anti.
+    The lookup is computed once, into a stored copy (unless it is one already), and
+    measured there. One that fits is broadcast and the big side is not moved. A larger
+    one is joined by a shuffle, in which adaptive execution splits the partitions of
+    dominant keys and no others. Valid for inner, left, left_semi and left_anti.
     """
-    keys = list(keys)
-    if measured_bytes(lookup) <= max_bytes:
-        return big.join(F.broadcast(lookup), keys, how)
-    salted_big = big.withColumn("__salt", F.spark_partition_id() % salts)
-    every_salt = F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
-    salted_lookup = lookup.withColumn("__salt", every_salt)
-    return salted_big.join(salted_lookup, [*keys, "__salt"], how).drop("__salt")
+    table = lookup if is_stored else stored_copy(lookup, "lookup")
+    fits = measured_bytes(table) <= max_bytes
+    return big.join(F.broadcast(table) if fits else table.hint("merge"), list(keys), how)

@@ -9,9 +9,11 @@ from pyspark.sql import functions as F
 
 from polfin.functions.columns import c, cols
 from polfin.operators.sets import all_present
+from polfin.sources.sinks import stored_copy
 
 BUCKET_ROWS = 100_000
-MAX_BUCKETS = 65_536
+# Buckets summed together when the one with the cut is looked for.
+BUCKET_GROUP = 4096
 
 
 def top_k(df: DataFrame, order: Sequence[Column], k: int) -> DataFrame:
@@ -19,29 +21,43 @@ def top_k(df: DataFrame, order: Sequence[Column], k: int) -> DataFrame:
     return df.orderBy(*order).limit(k)
 
 
+def _bucket_of_cut(sizes: DataFrame, n: int) -> tuple[int, int]:
+    """The bucket in which the n-th row falls, and the rows before it.
+
+    Buckets are summed in groups first, so neither step orders more than a small
+    part of them in one task.
+    """
+    def cut(rows: DataFrame, key: str, n: int) -> tuple[int, int]:
+        upto = F.sum("n").over(Window.orderBy(key))
+        row = rows.withColumn("upto", upto).where(F.col("upto") >= n).orderBy(key).first()
+        return row[key], row["upto"] - row["n"]
+
+    of_group = sizes.withColumn("group", F.expr(f"bucket div {BUCKET_GROUP}"))
+    group, before = cut(of_group.groupBy("group").agg(F.sum("n").alias("n")), "group", n)
+    bucket, within = cut(of_group.where(F.col("group") == group).select("bucket", "n"), "bucket", n - before)
+    return bucket, before + within
+
+
 def _first_rows(df: DataFrame, n: int, total: int) -> DataFrame:
-    """Exactly ``n`` of ``total`` rows, the same ones on every run.
+    """Exactly ``n`` of ``total`` rows; beyond ``BUCKET_ROWS`` the same ones on every run.
 
-    Rows are laid out over hash buckets of about ``BUCKET_ROWS`` rows. Whole
-    buckets are kept by a filter; only the bucket in which the cap falls is
-    sorted. Equal rows travel through it as one row with a count, so that a row
-    repeated millions of times stays one row until it is written out again.
+    A small cap takes rows where they are found first. For a large one rows are laid out
+    over hash buckets of about ``BUCKET_ROWS`` rows. Whole buckets are kept by a filter;
+    only the bucket in which the cap falls is sorted. Equal rows travel through it as one
+    row with a count, so that a row repeated millions of times stays one row until it is
+    written out again.
     """
-    buckets = max(1, min(MAX_BUCKETS, total // BUCKET_ROWS))
+    if n <= BUCKET_ROWS:
+        return df.limit(n)
+    buckets = max(1, total // BUCKET_ROWS)
     names = df.columns
     bucket = F.pmod(F.xxhash64(*cols(names)), F.lit(buckets))
-    running = Window.orderBy("bucket")
-    sizes = df.groupBy(bucket.alias("bucket")).agg(F.count("*").alias("n"))
-    cut = (
-        sizes.withColumn("upto", F.sum("n").over(running))
-        .where(F.col("upto") >= n)
-        .orderBy("bucket")
-        .first()
-    )
-    whole = df.where(bucket < cut["bucket"])
-    room = n - (cut["upto"] - cut["n"])
+    sizes = stored_copy(df.groupBy(bucket.alias("bucket")).agg(F.count("*").alias("n")), "bucket-sizes")
+    cut, before_cut = _bucket_of_cut(sizes, n)
+    whole = df.where(bucket < cut)
+    room = n - before_cut
 
-    copies = df.where(bucket == cut["bucket"]).groupBy(*cols(names)).agg(F.count("*").alias("__n"))
+    copies = df.where(bucket == cut).groupBy(*cols(names)).agg(F.count("*").alias("__n"))
     before = Window.orderBy(*cols(names)).rowsBetween(Window.unboundedPreceding, -1)
     taken = F.least(F.col("__n"), F.lit(room) - F.coalesce(F.sum("__n").over(before), F.lit(0)))
     chosen = copies.withColumn("__take", taken).where("__take > 0")
@@ -56,23 +72,29 @@ def _first_rows(df: DataFrame, n: int, total: int) -> DataFrame:
     return whole.unionByName(partial)
 
 
-def limit_by_cycle(df: DataFrame, limit: int | None, cycles: Sequence[int]) -> DataFrame:
-    """At most ``limit`` rows, used up cycle by cycle in the given order.
+def rows_by_cycle(df: DataFrame) -> dict[int, int]:
+    """Rows of each cycle, in one job; cycles are a few dozen."""
+    counts = df.where(F.col("cycle").isNotNull()).groupBy("cycle").agg(F.count("*").alias("n")).collect()
+    return {r["cycle"]: r["n"] for r in sorted(counts)}
 
-    Cycles are counted one after the other until the cap is reached, so later
-    cycles are never read. Only the cycle in which the cap falls needs a choice.
+
+def limit_by_cycle(df: DataFrame, limit: int | None, cycles: Sequence[int] | None = None) -> DataFrame:
+    """At most ``limit`` rows, used up cycle by cycle in the given order, or from the earliest on.
+
+    One job counts the cycles. Whole cycles are kept by a filter on the cycle; only
+    the one in which the cap falls needs a choice.
     """
     if limit is None:
-        return df.where(F.col("cycle").isin(*cycles))
+        return df if cycles is None else df.where(F.col("cycle").isin(*cycles))
+    counts = rows_by_cycle(df)
     left, complete = limit, []
     partial = None
-    for cycle in cycles:
+    for cycle in counts if cycles is None else [x for x in cycles if x in counts]:
         if left <= 0:
             break
-        of_cycle = df.where(F.col("cycle") == cycle)
-        n = of_cycle.count()
+        n = counts[cycle]
         if n > left:
-            partial = _first_rows(of_cycle, left, n)
+            partial = _first_rows(df.where(F.col("cycle") == cycle), left, n)
             break
         complete.append(cycle)
         left -= n
@@ -80,13 +102,26 @@ def limit_by_cycle(df: DataFrame, limit: int | None, cycles: Sequence[int]) -> D
     return result if partial is None else result.unionByName(partial)
 
 
+def _drawn(df: DataFrame, draw: Column, n: int, order: Sequence[Column]) -> DataFrame:
+    """About, or for small ``n`` exactly, ``n`` rows with the smallest draws (uniform 64-bit numbers).
+
+    Up to ``BUCKET_ROWS`` rows are a top-k. More are taken by a threshold on the draw,
+    where the rows stand.
+    """
+    drawn = df.withColumn("__draw", draw)
+    if n <= BUCKET_ROWS:
+        return drawn.orderBy("__draw", *order).limit(n).drop("__draw")
+    total = df.count()
+    threshold = min(2**63 - 1, -(2**63) + n * 2**64 // max(1, total))
+    return drawn.where(F.col("__draw") <= threshold).drop("__draw")
+
+
 def sample_rows(df: DataFrame, n: int, seed: int = 0) -> DataFrame:
-    """``n`` rows chosen uniformly; a top-k on random numbers, not a full sort."""
-    return df.withColumn("__r", F.rand(seed)).orderBy("__r").limit(n).drop("__r")
+    """``n`` rows chosen uniformly; of more than ``BUCKET_ROWS``, about ``n``."""
+    return _drawn(df, F.xxhash64(F.rand(seed)), n, [])
 
 
 def sample_keys(df: DataFrame, keys: Sequence[str], n: int, seed: int = 0) -> DataFrame:
-    """``n`` distinct keys in an order fixed by the seed, so re-runs agree."""
-    draw = F.xxhash64(F.lit(seed), *cols(keys))
+    """``n`` distinct keys chosen by the seed, so re-runs agree; of more than ``BUCKET_ROWS``, about ``n``."""
     distinct = df.select(*cols(keys)).where(all_present(keys)).distinct()
-    return distinct.orderBy(draw, *[c(k) for k in keys]).limit(n)
+    return _drawn(distinct, F.xxhash64(F.lit(seed), *cols(keys)), n, [c(k) for k in keys])

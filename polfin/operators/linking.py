@@ -67,12 +67,18 @@ def ambiguous_recipients(recipients: DataFrame, legislators: DataFrame) -> DataF
     return pairs.groupBy(c("bonica.rid")).agg(F.count("*").alias("persons")).where("persons > 1")
 
 
-def link(df: DataFrame, recipients: DataFrame, legislators: DataFrame, mode: str = "all") -> DataFrame:
+def link(
+    df: DataFrame,
+    recipients: DataFrame | None,
+    legislators: DataFrame | None,
+    mode: str = "all",
+    links: DataFrame | None = None,
+) -> DataFrame:
     """Add ``bioguide_id`` in front; rows without a person keep NULL.
 
-    The link table is computed once and stored, because it is first measured and
-    then joined.
+    ``links`` is a stored link table to be used; without one it is computed here,
+    once, and stored.
     """
-    table = stored_copy(link_table(recipients, legislators, mode), "links")
+    table = stored_copy(link_table(recipients, legislators, mode), "links") if links is None else links
     names = df.columns
-    return lookup_join(df, table, ["bonica.rid"], "left").select("bioguide_id", *[c(n) for n in names])
+    return lookup_join(df, table, ["bonica.rid"], "left", is_stored=True).select("bioguide_id", *[c(n) for n in names])

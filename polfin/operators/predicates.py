@@ -105,8 +105,9 @@ class DateBetween(Predicate):
         if self.start:
             tests += [text >= self.start.isoformat(), day >= F.lit(self.start)]
         if self.end:
-            after = self.end + dt.timedelta(days=1)
-            tests += [text < after.isoformat(), day <= F.lit(self.end)]
+            if self.end < dt.date.max:
+                tests.append(text < (self.end + dt.timedelta(days=1)).isoformat())
+            tests.append(day <= F.lit(self.end))
         return reduce(and_, tests)
 
 
@@ -153,7 +154,7 @@ class AnyOf(Predicate):
     parts: Sequence[Predicate]
 
     def to_column(self) -> Column:
-        return reduce(or_, (F.coalesce(p.to_column(), F.lit(False)) for p in self.parts))
+        return reduce(or_, (F.coalesce(p.to_column(), F.lit(False)) for p in self.parts), F.lit(False))
 
 
 def recent_cycles(n: int = 4, latest: int = MAX_CYCLE) -> CycleIn:
@@ -199,7 +200,10 @@ def valid_cycles(cycles: Iterable[int], strict: bool = False) -> list[int]:
 
 
 def requested_cycles(predicates: Iterable[Predicate]) -> list[int] | None:
-    """Cycles every cycle predicate agrees on, or None when none restricts them."""
+    """Cycles every cycle predicate agrees on, or None when none restricts them.
+
+    Whether there is data for them is another matter; a range stands for all its years.
+    """
     chosen: set[int] | None = None
     for p in predicates:
         if isinstance(p, AllOf):
@@ -207,7 +211,7 @@ def requested_cycles(predicates: Iterable[Predicate]) -> list[int] | None:
         elif isinstance(p, CycleIn):
             found = list(p.cycles)
         elif isinstance(p, CycleBetween):
-            found = [x for x in ALL_CYCLES if p.first <= x <= p.last]
+            found = list(range(p.first, p.last + 1))
         else:
             found = None
         if found is not None:
@@ -215,6 +219,15 @@ def requested_cycles(predicates: Iterable[Predicate]) -> list[int] | None:
     return None if chosen is None else sorted(chosen)
 
 
+def named_cycles(predicates: Iterable[Predicate]) -> list[int] | None:
+    """Cycles the predicates list one by one and all agree on, or None when there is no list."""
+    predicates = list(predicates)
+    listed = any(
+        isinstance(p, CycleIn) or (isinstance(p, AllOf) and named_cycles(p.parts) is not None) for p in predicates
+    )
+    return requested_cycles(predicates) if listed else None
+
+
 def where_all(df: DataFrame, predicates: Iterable[Predicate]) -> DataFrame:
     """Keep the rows that satisfy every predicate."""
     return df.where(AllOf(list(predicates)).to_column())

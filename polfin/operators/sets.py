@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from polfin.functions.columns import asc, c, cols
+from polfin.sources.sinks import stored_copy
 
 
 def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
@@ -74,3 +75,22 @@ def missing_keys(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Data
 def difference(left: DataFrame, right: DataFrame) -> DataFrame:
     """Distinct rows of the left side that the right side lacks, NULLs being equal."""
     return left.subtract(right)
+
+
+def distinct_rows(df: DataFrame) -> DataFrame:
+    """DISTINCT that moves wide rows only where it must.
+
+    Rows are fingerprinted (64 bits) and fingerprints seen more than once are stored.
+    Rows with another fingerprint are unique and pass where they stand; only the rest is
+    shuffled and compared in full. Input made by a costly plan should be stored first,
+    since it is read three times.
+    """
+    names = df.columns
+    print_ = F.xxhash64(*cols(names)).alias("__print")
+    repeated = stored_copy(
+        df.select(print_).groupBy("__print").agg(F.count("*").alias("n")).where("n > 1").select("__print"), "repeated"
+    )
+    marked = df.withColumn("__print", print_)
+    unique = marked.join(repeated, "__print", "left_anti").select(*cols(names))
+    several = marked.join(repeated, "__print", "left_semi").select(*cols(names)).distinct()
+    return unique.unionByName(several)

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from polfin.functions.columns import asc, c, cols, desc
 from polfin.operators.linking import link
 from polfin.operators.predicates import INDIVIDUAL, Organizational
+from polfin.operators.sets import distinct_rows
 
 RECIPIENT_KEY = (
     "bonica.rid",
@@ -51,6 +52,7 @@ def organizational(
     *,
     mode: str = "all",
     distinct: bool = True,
+    links: DataFrame | None = None,
 ) -> DataFrame:
     """Contributions not made by individuals, all columns.
 
@@ -61,20 +63,21 @@ def organizational(
     that link to several people are compared once.
     """
     rows = contributions.where(Organizational().to_column())
-    if legislators is None:
+    if legislators is None and links is None:
         return rows
     if distinct:
-        rows = rows.distinct()
-    return link(rows, recipients, legislators, mode)
+        rows = distinct_rows(rows)
+    return link(rows, recipients, legislators, mode, links)
 
 
 def organizational_detail(
     contributions: DataFrame,
-    recipients: DataFrame,
-    legislators: DataFrame,
+    recipients: DataFrame | None,
+    legislators: DataFrame | None,
     *,
     mode: str = "all",
     distinct: bool = True,
+    links: DataFrame | None = None,
 ) -> DataFrame:
     """Ten-column form of the linked organizational contributions."""
     rows = contributions.where(Organizational().to_column()).select(
@@ -82,8 +85,8 @@ def organizational_detail(
     )
     rows = rows.withColumn("cycle", F.col("cycle").cast("bigint"))
     if distinct:
-        rows = rows.distinct()
-    return link(rows, recipients, legislators, mode)
+        rows = distinct_rows(rows)
+    return link(rows, recipients, legislators, mode, links)
 
 
 def _sum_if(condition: Column, value: Column, nothing: Column) -> Column:
@@ -97,6 +100,7 @@ def recipient_aggregates(
     *,
     mode: str = "all",
     by_cycle: bool = True,
+    links: DataFrame | None = None,
 ) -> DataFrame:
     """Totals per recipient, split into individual and organizational money.
 
@@ -122,9 +126,9 @@ def recipient_aggregates(
             _sum_if(from_organization, F.lit(1), F.lit(0)).alias("organizational_count"),
         )
     )
-    if legislators is None:
+    if legislators is None and links is None:
         return grouped
-    return link(grouped, recipients, legislators, mode)
+    return link(grouped, recipients, legislators, mode, links)
 
 
 def by_total(df: DataFrame) -> DataFrame:

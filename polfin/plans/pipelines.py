@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+import warnings
 from collections.abc import Callable, Iterable, Mapping, Sequence
 from dataclasses import dataclass, field
 
@@ -9,11 +11,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from polfin.functions.columns import c, cols
-from polfin.operators.limits import limit_by_cycle
+from polfin.operators.limits import limit_by_cycle, rows_by_cycle
+from polfin.operators.linking import link_table
 from polfin.operators.predicates import Predicate, valid_cycles, where_all
 from polfin.plans import dimensions, marts, quality
 from polfin.session import new_work_path
 from polfin.sources import readers, sinks
+from polfin.sources.sinks import stored_copy
 from polfin.sources.specs import DEFAULT_CONTRIBUTION_COLUMNS, DatasetSpec
 
 MART_KINDS = ("organizational", "recipient_aggregates", "raw_organizational")
@@ -33,10 +37,10 @@ class IngestResult:
 
 
 def conversion_report(source: DataFrame, output: DataFrame, spec: DatasetSpec, keep_one_in: int = 1) -> DataFrame:
-    """Row count, checksums and row-by-row equality of a converted file."""
-    text = readers.mark_nulls(source, spec)
-    totals = quality.check_totals(text, output, spec.sum_column, spec.key_columns)
-    return totals.unionByName(quality.check_rows(source, output, spec, keep_one_in))
+    """Row count, checksums and row-by-row equality of a converted file, each side being read once if all is well."""
+    sums = [stored_copy(quality.conversion_sums(side, spec, keep_one_in), "conversion") for side in (source, output)]
+    totals = quality.totals_of_sums(*sums, spec)
+    return totals.unionByName(quality.check_rows(source, output, spec, keep_one_in, sums))
 
 
 def ingest(
@@ -47,31 +51,33 @@ def ingest(
     *,
     validate: bool = True,
     keep_one_in: int = 1,
-    partitions: int | None = None,
+    multi_line: bool | None = None,
 ) -> IngestResult:
     """Convert a raw CSV file (or a folder of them) to typed Parquet and prove the result.
 
-    A compressed or multi-line file is read by one task, so its records are
-    spread over ``partitions`` tasks right behind the parser, and all further work
-    is done there. To be validated the records are stored as text first: the file
-    is parsed once, and conversion and checks read the stored text in parallel.
-    Rows are counted in the writing stage, whose tasks count once however often
-    one is retried.
+    A compressed or multi-line file is read by one task, so its records are spread
+    in pieces of the advisory size right behind the parser, and all further work is
+    done there. To be validated the records are stored as text first: the file is parsed
+    once, and conversion and checks read the stored text in parallel. The raw file is
+    read a second time only to count its records by lines and quotes. Rows are counted in
+    the writing stage, whose tasks count once however often one is retried. Columns
+    keep the order of the file.
     """
-    raw = readers.read_csv_text(spark, source, spec)
-    text = raw.repartition(partitions or spark.sparkContext.defaultParallelism)
+    text = readers.read_csv_text(spark, source, spec, multi_line).hint("rebalance")
     staging = new_work_path(spark, f"{spec.name}-text")
-    if validate:
-        sinks.write_parquet(text, staging)
-        text = spark.read.schema(text.schema).parquet(staging)
-    out = sinks.counted(readers.cast_columns(readers.mark_nulls(text, spec), spec))
-    sinks.write_parquet(out.df, output)
-    if not validate:
-        return IngestResult(out.rows, None)
-    report = conversion_report(text, spark.read.parquet(output), spec, keep_one_in)
-    settled = quality.raise_for_status(report)
-    sinks.remove(spark, staging)
-    return IngestResult(out.rows, settled)
+    try:
+        if validate:
+            sinks.write_parquet(text, staging)
+            text = spark.read.schema(text.schema).parquet(staging)
+        out = sinks.counted(readers.cast_columns(readers.mark_nulls(text, spec), spec))
+        sinks.write_parquet(out.df, output)
+        if not validate:
+            return IngestResult(out.rows, None)
+        report = conversion_report(text, spark.read.parquet(output), spec, keep_one_in)
+        raw = quality.check_raw_count(spark, readers.raw_record_count(spark, source), out.rows)
+        return IngestResult(out.rows, quality.raise_for_status(raw.unionByName(report)))
+    finally:
+        sinks.remove(spark, staging)
 
 
 # ------------------------------------------------------------------ dimensions
@@ -187,6 +193,7 @@ class MartResult:
     skipped: list[int]
     missing: list[int]
     report: DataFrame | None = field(default=None, repr=False)
+    warnings: list[str] = field(default_factory=list)
 
 
 def mart(
@@ -195,15 +202,16 @@ def mart(
     recipients: DataFrame | None = None,
     legislators: DataFrame | None = None,
     mode: str = "all",
+    links: DataFrame | None = None,
 ) -> DataFrame:
     if kind == "organizational":
-        return marts.organizational(contributions, recipients, legislators, mode=mode)
+        return marts.organizational(contributions, recipients, legislators, mode=mode, links=links)
     if kind == "recipient_aggregates":
-        return marts.recipient_aggregates(contributions, recipients, legislators, mode=mode)
+        return marts.recipient_aggregates(contributions, recipients, legislators, mode=mode, links=links)
     if kind == "raw_organizational":
         if legislators is None:
             raise ValueError("the detailed mart needs legislators")
-        return marts.organizational_detail(contributions, recipients, legislators, mode=mode)
+        return marts.organizational_detail(contributions, recipients, legislators, mode=mode, links=links)
     raise ValueError(f"mart must be one of {MART_KINDS}")
 
 
@@ -214,18 +222,32 @@ def mart_report(kind: str, contributions: DataFrame, output: DataFrame, mode: st
     their totals are compared after removing that repetition.
     """
     if kind != "recipient_aggregates":
+        if "bioguide_id" in output.columns and mode == "all":
+            return quality.check_organizational(contributions, output, rows=quality.rows_before_link(output))
         return quality.check_organizational(contributions, output)
     if "bioguide_id" in output.columns and mode == "all":
         output = output.drop("bioguide_id").distinct()
     return quality.check_aggregates(contributions, output, sample)
 
 
+def _cycles_to_build(spark: SparkSession, root: str, cycles: Iterable[int] | None) -> tuple[list[int], list[int]]:
+    """Cycles that are there, and known ones asked for that are not; a year that is neither is an error."""
+    there = readers.existing_cycles(spark, root)
+    if cycles is None:
+        return there, []
+    wanted = list(cycles)
+    absent = [x for x in wanted if x not in there]
+    if absent:
+        valid_cycles(absent, strict=True)
+    return [x for x in wanted if x in there], absent
+
+
 def build_mart(
     spark: SparkSession,
     kind: str,
     contributions_root: str,
     output_root: str,
-    cycles: Iterable[int],
+    cycles: Iterable[int] | None = None,
     *,
     recipients: DataFrame | None = None,
     legislators: DataFrame | None = None,
@@ -233,66 +255,84 @@ def build_mart(
     skip_existing: bool = False,
     validate: bool = True,
     sample: int | None = None,
+    links: DataFrame | None = None,
 ) -> MartResult:
-    """One mart for many cycles in one job.
+    """One mart for many cycles, all of the source by default, in one job.
 
-    Cycles without source data are reported, not fatal. With ``skip_existing``
-    cycles already stored are left alone; a cycle folder appears only once its
-    job has committed, so a run that broke off is simply repeated.
+    Cycles are staged below the output folder, out of sight of readers, and checked
+    there; only then do they take the place of the old ones. So a cycle that is there has
+    passed, ``skip_existing`` can go by that, and a run that failed is simply repeated. A
+    cycle whose result is empty loses its old rows. Cycles without source data are
+    reported, not fatal.
     """
-    wanted = valid_cycles(cycles, strict=True)
-    present, missing = readers.split_by_presence(wanted, readers.existing_cycles(spark, contributions_root))
+    present, missing = _cycles_to_build(spark, contributions_root, cycles)
     done = readers.existing_cycles(spark, output_root) if skip_existing else []
     todo = [x for x in present if x not in done]
     skipped = [x for x in present if x in done]
     if not todo:
         return MartResult(kind, [], skipped, missing)
     source = spark.read.parquet(contributions_root).where(F.col("cycle").isin(*todo))
-    out = mart(kind, source, recipients, legislators, mode)
-    # A plain filter keeps the layout of its input; grouped and linked rows are gathered anew.
-    gather = kind != "organizational" or legislators is not None
-    within = ["total_amount"] if kind == "recipient_aggregates" else []
-    if within:
-        laid_out = out.hint("rebalance", F.col("cycle")).sortWithinPartitions(
-            "cycle", F.col("total_amount").desc_nulls_last()
-        )
-        sinks.write_cycles(laid_out, output_root, gather=False)
-    else:
-        sinks.write_cycles(out, output_root, gather=gather)
-    report = None
-    if validate:
-        stored = spark.read.parquet(output_root).where(F.col("cycle").isin(*todo))
-        report = quality.raise_for_status(mart_report(kind, source, stored, mode, sample))
-    return MartResult(kind, todo, skipped, missing, report)
+    own_links = None
+    if legislators is not None and links is None:
+        own_links = links = stored_copy(link_table(recipients, legislators, mode), "links")
+    out = mart(kind, source, recipients, legislators, mode, links)
+    staging = f"{output_root}/_staging-{uuid.uuid4().hex}"
+    report, notes = None, []
+    try:
+        if kind == "recipient_aggregates":
+            largest_first = [F.col("cycle"), F.col("total_amount").desc_nulls_last()]
+            laid_out = out.hint("rebalance", F.col("cycle")).sortWithinPartitions(*largest_first)
+            sinks.write_cycles(laid_out, staging, gather=False)
+        else:
+            # A plain filter keeps the layout of its input; linked rows are gathered anew.
+            sinks.write_cycles(out, staging, gather=legislators is not None)
+        if validate:
+            stored = spark.read.schema(out.schema).parquet(staging).where(F.col("cycle").isin(*todo))
+            report = quality.raise_for_status(mart_report(kind, source, stored, mode, sample))
+            notes = quality.warnings_of(report)
+        sinks.publish_cycles(spark, staging, output_root, todo)
+    finally:
+        sinks.remove(spark, staging)
+        if own_links is not None:
+            sinks.drop_copy(own_links)
+    return MartResult(kind, todo, skipped, missing, report, notes)
 
 
 def build_marts(
     spark: SparkSession,
     contributions_root: str,
     output_root: str,
-    cycles: Iterable[int],
+    cycles: Iterable[int] | None = None,
     *,
     kinds: Sequence[str] = MART_KINDS,
     recipients: DataFrame | None = None,
     legislators: DataFrame | None = None,
     **options,
 ) -> dict[str, MartResult]:
-    """Several marts below one folder; the detailed one only with legislators."""
-    cycles = list(cycles)
+    """Several marts below one folder, with one link table; the detailed one only with legislators."""
+    cycles = None if cycles is None else list(cycles)
     chosen = [k for k in kinds if k != "raw_organizational" or legislators is not None]
-    return {
-        kind: build_mart(
-            spark,
-            kind,
-            contributions_root,
-            f"{output_root}/{kind}",
-            cycles,
-            recipients=recipients,
-            legislators=legislators,
-            **options,
-        )
-        for kind in chosen
-    }
+    links = None
+    if legislators is not None:
+        links = stored_copy(link_table(recipients, legislators, options.get("mode", "all")), "links")
+    try:
+        return {
+            kind: build_mart(
+                spark,
+                kind,
+                contributions_root,
+                f"{output_root}/{kind}",
+                cycles,
+                recipients=recipients,
+                legislators=legislators,
+                links=links,
+                **options,
+            )
+            for kind in chosen
+        }
+    finally:
+        if links is not None:
+            sinks.drop_copy(links)
 
 
 # --------------------------------------------------------------- load, publish
@@ -312,14 +352,18 @@ def subset(
     limit: int | None = None,
     cycles: Sequence[int] | None = None,
 ) -> DataFrame:
-    """Filtered, projected and capped contributions; the cap fills in cycle order."""
-    chosen = list(cycles) if cycles is not None else readers.cycles_to_load(predicates)
-    rows = where_all(contributions, predicates).where(F.col("cycle").isin(*chosen))
+    """Filtered, projected and capped contributions; the cap fills in cycle order.
+
+    Without ``cycles`` all cycles count that the rows have and the predicates leave.
+    """
+    rows = where_all(contributions, predicates)
+    if cycles is not None:
+        rows = rows.where(F.col("cycle").isin(*cycles))
     names = list(columns or DEFAULT_CONTRIBUTION_COLUMNS)
     if limit is None:
         return rows.select(*cols(names))
     kept = rows.select(*cols(dict.fromkeys(["cycle", *names])))
-    return limit_by_cycle(kept, limit, chosen).select(*cols(names))
+    return limit_by_cycle(kept, limit, cycles).select(*cols(names))
 
 
 def load_subset(
@@ -331,9 +375,12 @@ def load_subset(
     columns: Sequence[str] | None = None,
     limit: int | None = None,
 ) -> LoadResult:
-    """Load part of the contributions through any sink, such as ``append_table`` or ``write_jdbc``."""
-    wanted = readers.cycles_to_load(predicates)
-    present, missing = readers.split_by_presence(wanted, readers.existing_cycles(spark, root))
+    """Load part of the contributions through any sink, such as ``append_table`` or ``write_jdbc``.
+
+    All cycles on disk are loaded that the predicates leave; cycles named in a predicate
+    and not on disk are reported.
+    """
+    present, missing = readers.cycles_to_load(predicates, readers.existing_cycles(spark, root))
     rows = subset(spark.read.parquet(root), predicates, columns, limit, present)
     out = sinks.counted(rows)
     sink(out.df)
@@ -366,16 +413,25 @@ def publish(
     """Send datasets to a sink and return the rows of each.
 
     Dimensions always go out whole; a cap and a choice of cycles apply to the
-    per-cycle datasets only. Dots leave the column names here.
+    per-cycle datasets only, of which all cycles go out by default. A warning names
+    chosen cycles that a dataset does not have. Dots leave the column names here.
     """
     counts = {}
     for name in dataset_names(datasets):
-        df = frames[name]
+        df, copy = frames[name], None
         if name in CYCLE_DATASETS:
-            chosen = valid_cycles(cycles) if cycles is not None else readers.cycles_to_load(())
-            df = limit_by_cycle(df.where(F.col("cycle").isin(*chosen)), limit, chosen)
+            if limit is not None and name == "recipient_aggregates":
+                df = copy = stored_copy(df, name)  # counted and read: sums are formed once
+            if cycles is not None:
+                there = rows_by_cycle(df)
+                absent = [x for x in cycles if x not in there]
+                if absent:
+                    warnings.warn(f"{name} has no rows of the cycles {absent}", stacklevel=2)
+            df = limit_by_cycle(df, limit, cycles)
             df = df.select("cycle", *[c(n) for n in df.columns if n != "cycle"])
         out = sinks.counted(sinks.sanitize(df))
         sink(out.df, (tables or {}).get(name, name))
         counts[name] = out.rows
+        if copy is not None:
+            sinks.drop_copy(copy)
     return counts

@@ -10,12 +10,13 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from polfin.functions.columns import c, cols
 from polfin.functions.scalars import (
+    blank_to_null,
     filled,
     non_empty_array,
     normal_number,
@@ -26,16 +27,20 @@ from polfin.functions.scalars import (
     within_relative,
     without_nan,
 )
+from polfin.operators.joins import lookup_join
 from polfin.operators.limits import sample_keys, sample_rows
 from polfin.operators.predicates import INDIVIDUAL
 from polfin.operators.sets import duplicate_keys, key_counts, latest_per_key, missing_keys
 from polfin.plans.dimensions import LATEST_TIES, crosswalk_pairs, served
+from polfin.sources.sinks import stored_copy
 from polfin.sources.specs import DatasetSpec
 
 # Plausible sizes of the unified legislator table.
 FILTERED_BOUNDS = (500, 5_000)
 UNFILTERED_BOUNDS = (10_000, 15_000)
 DIAGNOSTIC_ROWS = 10
+# Buckets in which row hashes are summed for a first comparison; a power of two.
+SUM_BUCKETS = 4096
 
 
 class QualityError(Exception):
@@ -155,6 +160,12 @@ def check_totals(
     return report(sums, [row_count, *compare_checksums(sum_column, key_columns)])
 
 
+def check_raw_count(spark: SparkSession, raw: int, rows: int) -> DataFrame:
+    """Records counted in the raw file against rows written."""
+    counts = spark.range(1).select(F.lit(raw).cast("bigint").alias("raw"), F.lit(rows).cast("bigint").alias("rows"))
+    return report(counts, [equal("raw_count", "raw", "rows")])
+
+
 def check_checksums(
     source: DataFrame, output: DataFrame, sum_column: str | None, key_columns: Sequence[str]
 ) -> DataFrame:
@@ -184,24 +195,123 @@ def row_fingerprint(df: DataFrame, spec: DatasetSpec) -> DataFrame:
     return cells.select(F.xxhash64(*parts).alias("h1"), F.xxhash64(F.lit(spec.name), *parts).alias("h2"))
 
 
-def row_differences(source: DataFrame, output: DataFrame, spec: DatasetSpec, keep_one_in: int = 1) -> DataFrame:
-    """Row fingerprints that occur a different number of times on the two sides.
+def _typed(df: DataFrame, f: T.StructField, spec: DatasetSpec) -> Column:
+    """A cell as the conversion makes it: null marks gone, declared type, nothing trimmed or rounded."""
+    if df.schema[f.name].dataType == f.dataType:
+        plain = c(f.name)
+    else:
+        plain = blank_to_null(c(f.name).cast("string"), spec.null_markers).try_cast(f.dataType)
+    return blank_to_null(plain, spec.null_markers) if isinstance(f.dataType, T.StringType) else plain
+
+
+def _sampled(df: DataFrame, spec: DatasetSpec, keep_one_in: int) -> DataFrame:
+    """A stable sample of records, drawn by their key columns."""
+    if keep_one_in <= 1:
+        return df
+    keys = [_comparable(spec.schema[k], spec) for k in spec.key_columns]
+    return df.where(F.pmod(F.xxhash64(*keys), F.lit(keep_one_in)) == 0)
+
+
+def _typed_hash(df: DataFrame, spec: DatasetSpec) -> Column:
+    """One hash of a row as converted. NULLs, which hashing skips, are told by a mask in front."""
+    cells = [_typed(df, f, spec) for f in spec.schema]
+    masks = [
+        reduce(lambda a, b: a + b, [F.when(x.isNull(), F.lit(1 << i)).otherwise(F.lit(0)).cast("bigint") for i, x in enumerate(part)])
+        for part in (cells[k : k + 60] for k in range(0, len(cells), 60))
+    ]
+    return F.xxhash64(*masks, *cells)
+
+
+def _bucket(h: Column) -> Column:
+    """Never NULL by its type, and met by a join: about a condition that holds all columns,
+    even that they are not NULL, the optimizer reasons very long."""
+    return h.bitwiseAND(F.lit(SUM_BUCKETS - 1).cast("bigint"))
 
-    ``keep_one_in`` restricts the comparison to a stable sample of records, drawn
-    by their key columns. (A condition on the fingerprint itself would hold all
-    columns, and the optimizer takes very long to reason about it.)
+
+def conversion_sums(df: DataFrame, spec: DatasetSpec, keep_one_in: int = 1) -> DataFrame:
+    """Rows, sums of row hashes, and checksums, for each of ``SUM_BUCKETS`` buckets of row hashes.
+
+    With a sample the hashes of other records are left out; rows and checksums always
+    count all. Both sides of a conversion have equal sums unless a row differs before
+    any trimming and rounding.
     """
-    if keep_one_in > 1:
-        keys = [_comparable(spec.schema[k], spec) for k in spec.key_columns]
-        chosen = F.pmod(F.xxhash64(*keys), F.lit(keep_one_in)) == 0
-        source, output = source.where(chosen), output.where(chosen)
-    counts = key_counts(row_fingerprint(source, spec), row_fingerprint(output, spec), ["h1", "h2"])
-    return counts.where("in_left != in_right")
+    number = _typed(df, spec.schema[spec.sum_column], spec).cast("double") if spec.sum_column else F.lit(None).cast("double")
+    keys = [_comparable(spec.schema[k], spec) for k in spec.key_columns]
+    chosen = F.pmod(F.xxhash64(*keys), F.lit(keep_one_in)) == 0 if keep_one_in > 1 else F.lit(True)
+    rows = df.select(
+        _typed_hash(df, spec).alias("h"),
+        chosen.alias("chosen"),
+        number.alias("number"),
+        *[_typed(df, spec.schema[k], spec).isNotNull().alias(f"is {i}") for i, k in enumerate(spec.key_columns)],
+    )
+    low = F.col("h").bitwiseAND(F.lit(0xFFFFFFFF))
+    return rows.groupBy(_bucket(F.col("h")).alias("bucket")).agg(
+        F.count("*").alias("rows"),
+        F.count_if("chosen").alias("n"),
+        F.sum(F.when(F.col("chosen"), low)).alias("low"),
+        F.sum(F.when(F.col("chosen"), F.shiftright("h", 32))).alias("high"),
+        F.coalesce(F.sum(without_nan(F.col("number"))), F.lit(0.0)).alias("total"),
+        F.count_if(F.isnan("number")).alias("nans"),
+        *[F.count_if(f"`is {i}`").alias(f"filled {k}") for i, k in enumerate(spec.key_columns)],
+    )
+
+
+def totals_of_sums(source: DataFrame, output: DataFrame, spec: DatasetSpec) -> DataFrame:
+    """Row count and checksums of both sides from their ``conversion_sums``."""
+    names = ["rows", "total", "nans", *[f"filled {k}" for k in spec.key_columns]]
+    wanted = [F.coalesce(F.sum(c(n)), F.lit(0)).alias(n) for n in names]
+    sums = _pair(source.agg(*wanted), output.agg(*wanted))
+    row_count = equal("row_count", "source_rows", "output_rows")
+    return report(sums, [row_count, *compare_checksums(spec.sum_column, spec.key_columns)])
 
 
-def check_rows(source: DataFrame, output: DataFrame, spec: DatasetSpec, keep_one_in: int = 1) -> DataFrame:
+def _uneven_buckets(source: DataFrame, output: DataFrame) -> list[int]:
+    """Buckets whose rows or hash sums differ; at most ``SUM_BUCKETS`` numbers."""
+    names = ["n", "low", "high"]
+    a = source.select("bucket", *[F.coalesce(n, F.lit(0)).alias(n) for n in names])
+    b = output.select("bucket", *[(-F.coalesce(n, F.lit(0))).alias(n) for n in names])
+    off = a.unionByName(b).groupBy("bucket").agg(*[F.sum(n).alias(n) for n in names]).where("n <> 0 OR low <> 0 OR high <> 0")
+    return sorted(r["bucket"] for r in off.collect())
+
+
+def row_differences(
+    source: DataFrame,
+    output: DataFrame,
+    spec: DatasetSpec,
+    keep_one_in: int = 1,
+    sums: Sequence[DataFrame] | None = None,
+) -> DataFrame:
+    """Normalised row fingerprints that occur a different number of times on the two sides.
+
+    Hash sums per bucket are compared first (``sums``, or computed here). Rows are
+    normalised and compared one by one only in buckets that differ: a row that is equal
+    as it stands is never moved. ``keep_one_in`` restricts the comparison to a
+    sample of records.
+    """
+    left, right = sums or [conversion_sums(side, spec, keep_one_in) for side in (source, output)]
+    uneven = _uneven_buckets(left, right)
+    if not uneven:
+        return source.sparkSession.createDataFrame([], "h1 bigint, h2 bigint, in_left bigint, in_right bigint")
+
+    spark = source.sparkSession
+    off = F.broadcast(spark.createDataFrame([(b,) for b in uneven], "__bucket bigint"))  # SUM_BUCKETS rows at most
+
+    def suspects(side: DataFrame) -> DataFrame:
+        marked = side.withColumn("__bucket", _bucket(_typed_hash(side, spec)))
+        return row_fingerprint(_sampled(marked.join(off, "__bucket", "left_semi"), spec, keep_one_in), spec)
+
+    return key_counts(suspects(source), suspects(output), ["h1", "h2"]).where("in_left != in_right")
+
+
+def check_rows(
+    source: DataFrame,
+    output: DataFrame,
+    spec: DatasetSpec,
+    keep_one_in: int = 1,
+    sums: Sequence[DataFrame] | None = None,
+) -> DataFrame:
     """Every source row is in the output exactly as often, and nothing else is."""
-    differing = row_differences(source, output, spec, keep_one_in).agg(
+    differing = row_differences(source, output, spec, keep_one_in, sums).agg(
         F.coalesce(F.sum(F.greatest(F.col("in_left") - F.col("in_right"), F.lit(0))), F.lit(0)).alias("lost"),
         F.coalesce(F.sum(F.greatest(F.col("in_right") - F.col("in_left"), F.lit(0))), F.lit(0)).alias("gained"),
     )
@@ -211,8 +321,30 @@ def check_rows(source: DataFrame, output: DataFrame, spec: DatasetSpec, keep_one
 # --------------------------------------------------------------- contributions
 
 
-def check_organizational(source: DataFrame, output: DataFrame) -> DataFrame:
-    """Fewer rows than the source and no individual among them.
+def rows_before_link(output: DataFrame) -> DataFrame:
+    """Rows of a linked mart before the link repeated them, as a one-row frame.
+
+    Every row of a recipient is repeated once per person linked to it.
+    """
+    pairs = output.groupBy(c("bonica.rid"), "bioguide_id").agg(F.count("*").alias("n"))
+    each = pairs.groupBy(c("bonica.rid")).agg(F.expr("sum(n) div count(*)").alias("n"))
+    return each.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("rows"))
+
+
+def warnings_of(checks: DataFrame) -> list[str]:
+    """What a passed report of a mart is still worth saying."""
+    rows = {r["check"]: r for r in checks.collect()}
+    count = rows.get("row_count")
+    if "filter" in rows and count and count["expected"] == count["actual"]:
+        return ["the source has no contributions of individuals"]
+    return []
+
+
+def check_organizational(source: DataFrame, output: DataFrame, rows: DataFrame | None = None) -> DataFrame:
+    """No more rows than the source and no individual among them.
+
+    Equal row counts pass, as a source may hold no individuals; ``warnings_of`` tells.
+    ``rows`` gives the rows to be counted where the output repeats them.
 
     Both spellings of the type column are understood; without one the filter
     check passes unexamined.
@@ -221,9 +353,11 @@ def check_organizational(source: DataFrame, output: DataFrame) -> DataFrame:
     persons = F.count_if(c(spelling) == INDIVIDUAL) if spelling else F.lit(0).cast("bigint")
     metrics = _pair(
         source.agg(F.count("*").alias("rows"), F.lit(0).cast("bigint").alias("persons")),
-        output.agg(F.count("*").alias("rows"), persons.alias("persons")),
+        output.agg(F.count("*").alias("rows"), persons.alias("persons"))
+        if rows is None
+        else rows.crossJoin(output.agg(persons.alias("persons"))),  # two one-row frames
     )
-    fewer = F.col("output_rows") < F.col("source_rows")
+    fewer = F.col("output_rows") <= F.col("source_rows")
     return report(
         metrics,
         [
@@ -242,9 +376,9 @@ def aggregate_differences(
     source = contributions.where(rid.isNotNull())
     output = aggregates.where(rid.isNotNull())
     if sample is not None:
-        chosen = F.broadcast(sample_keys(output, ["bonica.rid"], sample, seed))
-        source = source.join(chosen, ["bonica.rid"], "left_semi")
-        output = output.join(chosen, ["bonica.rid"], "left_semi")
+        chosen = stored_copy(sample_keys(output, ["bonica.rid"], sample, seed), "sample")
+        source = lookup_join(source, chosen, ["bonica.rid"], "left_semi", is_stored=True)
+        output = lookup_join(output, chosen, ["bonica.rid"], "left_semi", is_stored=True)
     a = source.groupBy(*cols(keys)).agg(
         F.count("*").alias("expected_count"), F.sum("amount").alias("expected_total")
     )

@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable, Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from polfin.functions.columns import c, cols
 from polfin.functions.scalars import blank_to_null
-from polfin.operators.predicates import ALL_CYCLES, Predicate, requested_cycles, where_all
+from polfin.operators.predicates import Predicate, named_cycles, requested_cycles, where_all
 from polfin.sources.specs import TERMS_SCHEMA, DatasetSpec
 
 
@@ -27,7 +30,7 @@ def check_columns(found: Iterable[str], spec: DatasetSpec) -> None:
         )
 
 
-def _csv_reader(spark: SparkSession, spec: DatasetSpec) -> DataFrameReader:
+def _csv_reader(spark: SparkSession, spec: DatasetSpec, multi_line: bool | None = None) -> DataFrameReader:
     """Doubled quotes, no escape character. Records are always parsed whole: with
     column pruning a job that needs few columns, or only a count, would not notice
     a record with the wrong number of fields."""
@@ -36,18 +39,19 @@ def _csv_reader(spark: SparkSession, spec: DatasetSpec) -> DataFrameReader:
         encoding=spec.encoding,
         quote='"',
         escape='"',
-        multiLine=spec.multi_line,
+        multiLine=spec.multi_line if multi_line is None else multi_line,
         columnPruning=False,
     )
 
 
-def read_csv_text(spark: SparkSession, path: str, spec: DatasetSpec) -> DataFrame:
+def read_csv_text(spark: SparkSession, path: str, spec: DatasetSpec, multi_line: bool | None = None) -> DataFrame:
     """Raw CSV with every column as text, in the order of the file.
 
     Only the header line is read here. A record with too few or too many fields
-    fails the job that reads it.
+    fails the job that reads it. A plain file known to hold no line breaks inside
+    fields is split over tasks with ``multi_line=False``.
     """
-    reader = _csv_reader(spark, spec)
+    reader = _csv_reader(spark, spec, multi_line)
     names = reader.csv(path).columns
     check_columns(names, spec)
     text = T.StructType([T.StructField(n, T.StringType()) for n in names])
@@ -71,8 +75,8 @@ def mark_nulls(text: DataFrame, spec: DatasetSpec) -> DataFrame:
 
 
 def cast_columns(text: DataFrame, spec: DatasetSpec) -> DataFrame:
-    """Cast by name to the declared types; a value that does not fit is an error."""
-    return text.select(*[c(f.name).cast(f.dataType).alias(f.name) for f in spec.schema])
+    """Cast by name to the declared types, in the order of the input; a value that does not fit is an error."""
+    return text.select(*[c(n).cast(spec.schema[n].dataType).alias(n) for n in text.columns])
 
 
 def read_csv(spark: SparkSession, path: str, spec: DatasetSpec) -> DataFrame:
@@ -80,6 +84,51 @@ def read_csv(spark: SparkSession, path: str, spec: DatasetSpec) -> DataFrame:
     return cast_columns(mark_nulls(read_csv_text(spark, path, spec), spec), spec)
 
 
+def _count_records(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Per file piece: records if the piece starts outside quotes, or inside, and whether it ends the other way."""
+    pieces: dict[tuple[str, int], list[int]] = {}
+    for b in batches:
+        quotes = pc.count_substring(b.column(0), '"').to_numpy(zero_copy_only=False)
+        empty = pc.equal(pc.binary_length(b.column(0)), 0).to_numpy(zero_copy_only=False)
+        names, starts = b.column(1).to_pylist(), b.column(2).to_pylist()
+        at = 0
+        while at < len(names):
+            end = at
+            while end < len(names) and names[end] == names[at] and starts[end] == starts[at]:
+                end += 1
+            n = pieces.setdefault((names[at], starts[at]), [0, 0, 0])
+            odd = (n[2] + np.cumsum(quotes[at:end])) % 2
+            before = np.concatenate([[n[2]], odd[:-1]])
+            # A line ends a record if no quote is open behind it; an empty line outside quotes is none.
+            n[0] += int(((odd == 0) & ~((before == 0) & empty[at:end])).sum())
+            n[1] += int(((odd == 1) & ~((before == 1) & empty[at:end])).sum())
+            n[2] = int(odd[-1])
+            at = end
+    rows = [(f, s, *n) for (f, s), n in pieces.items()]
+    columns = list(zip(*rows)) or [()] * 5
+    types = [pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.int64()]
+    yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(columns, types)], names=["file", "start", "outside", "inside", "flips"])
+
+
+def raw_record_count(spark: SparkSession, path: str) -> int:
+    """Records of CSV files counted from their lines and quotes alone, apart from the CSV parser.
+
+    Each piece of a file is counted for both cases, that it starts outside or inside a
+    quoted field; the pieces, a row each, are then put in order. Headers do not count.
+    """
+    lines = spark.read.text(path).select(
+        "value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start")
+    )
+    schema = "file string, start long, outside long, inside long, flips long"
+    total, file, open_quote = 0, None, 0
+    for r in lines.mapInArrow(_count_records, schema).orderBy("file", "start").collect():
+        if r["file"] != file:
+            file, open_quote, total = r["file"], 0, total - 1
+        total += r["inside"] if open_quote else r["outside"]
+        open_quote ^= r["flips"]
+    return total
+
+
 def read_terms(spark: SparkSession, *paths: str, multi_line: bool = True) -> DataFrame:
     """Legislators with their nested terms, from JSON arrays or JSON lines.
 
@@ -121,16 +170,17 @@ def split_by_presence(wanted: Sequence[int], present: Sequence[int]) -> tuple[li
 def query_cycles(
     spark: SparkSession, root: str, sql: str, cycles: Sequence[int] | None = None, view: str = "contributions"
 ) -> DataFrame:
-    """Run SQL over the chosen cycles of a dataset, seen as one view."""
-    wanted = list(cycles) if cycles else list(ALL_CYCLES)
-    spark.read.parquet(root).where(F.col("cycle").isin(*wanted)).createOrReplaceTempView(view)
+    """Run SQL over the chosen cycles of a dataset, or all that it has, seen as one view."""
+    rows = spark.read.parquet(root)
+    if cycles is not None:
+        rows = rows.where(F.col("cycle").isin(*cycles))
+    rows.createOrReplaceTempView(view)
     return spark.sql(sql)
 
 
-def cycles_to_load(predicates: Iterable[Predicate]) -> list[int]:
-    """Valid cycles the predicates leave, all published ones by default."""
-    wanted = requested_cycles(predicates)
-    chosen = list(ALL_CYCLES) if wanted is None else [x for x in wanted if x in ALL_CYCLES]
-    if not chosen:
-        raise ValueError("no valid election cycle left to load")
-    return chosen
+def cycles_to_load(predicates: Iterable[Predicate], present: Sequence[int]) -> tuple[list[int], list[int]]:
+    """Cycles that are there and that the predicates leave, and cycles asked for by name that are not there."""
+    predicates = list(predicates)
+    wanted, named = requested_cycles(predicates), named_cycles(predicates)
+    chosen = list(present) if wanted is None else [x for x in present if x in set(wanted)]
+    return chosen, [x for x in named or () if x not in present]

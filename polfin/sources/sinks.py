@@ -17,6 +17,9 @@ JDBC_BATCH_ROWS = 10_000
 BULK_BATCH_ROWS = 100_000
 # Columns that subset queries filter on, most selective use first.
 READ_PATH_COLUMNS = ("bonica.rid", "bonica.cid", "recipient.state", "contributor.state", "date", "amount")
+# Looked up by value; statistics are of no use to them in files sorted by another column.
+BLOOM_COLUMNS = ("bonica.cid", "recipient.state", "contributor.state")
+BLOOM_VALUES = 100_000
 
 
 def _zstd(writer):
@@ -28,9 +31,13 @@ def write_parquet(df: DataFrame, path: str) -> None:
     _zstd(df.write.mode("overwrite")).parquet(path)
 
 
-def write_cycles(df: DataFrame, root: str, within: Sequence[str] = (), gather: bool = True) -> None:
+def write_cycles(
+    df: DataFrame, root: str, within: Sequence[str] = (), gather: bool = True, cycles: Sequence[int] = ()
+) -> None:
     """Replace the cycles present in ``df``, leaving all other cycles as they are.
 
+    Of the ``cycles`` named, those that turn out to have no rows lose their old ones.
+
     ``gather`` collects each cycle into files of the advisory size; adaptive
     execution splits a cycle that is larger than that, so a dominant cycle is
     written by many tasks. Input that is already laid out by cycle can do without
@@ -40,20 +47,46 @@ def write_cycles(df: DataFrame, root: str, within: Sequence[str] = (), gather: b
     laid_out = df.hint("rebalance", F.col("cycle")) if gather else df
     if within:
         laid_out = laid_out.sortWithinPartitions("cycle", *cols(within))
+    observation = Observation()
+    if cycles:
+        laid_out = laid_out.observe(observation, *[F.count_if(F.col("cycle") == y).alias(str(y)) for y in cycles])
     writer = laid_out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     _zstd(writer.partitionBy("cycle")).parquet(root)
+    for y in [y for y in cycles if not observation.get[str(y)]]:
+        remove(df.sparkSession, f"{root}/cycle={y}")
+
+
+def publish_cycles(spark: SparkSession, staging: str, root: str, cycles: Sequence[int]) -> None:
+    """Put staged cycle folders in the place of those of a dataset on the same file system.
+
+    A cycle that is not staged is empty and goes. A run that breaks off here leaves
+    whole cycles, old, new or absent, and is repeated.
+    """
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    fs = path(root).getFileSystem(spark._jsc.hadoopConfiguration())
+    for y in cycles:
+        new, old = path(f"{staging}/cycle={y}"), path(f"{root}/cycle={y}")
+        fs.delete(old, True)
+        if fs.exists(new) and not fs.rename(new, old):
+            raise OSError(f"cannot move {new} to {old}")
 
 
 def write_clustered(df: DataFrame, root: str, by: Sequence[str] = READ_PATH_COLUMNS) -> None:
     """Cycle-partitioned layout in which equal leading keys lie together.
 
-    Rows are gathered by cycle and first key and sorted by all keys, so that page
-    statistics let a lookup skip most of a file. A key too big for one file is
-    split by adaptive execution.
+    Rows are cut into ranges of (cycle, keys) and sorted by them, so a file of a cycle
+    holds one range of the first key, and file and page statistics skip the rest. All keys
+    take part, so a dominant first key is cut too. Lookups by the other text columns
+    use Bloom filters.
     """
     keys = [n for n in by if n in df.columns]
-    laid_out = df.hint("rebalance", F.col("cycle"), c(keys[0])).sortWithinPartitions("cycle", *cols(keys))
+    order = ["cycle", *cols(keys)]
+    laid_out = df.repartitionByRange(*order).sortWithinPartitions(*order)
     writer = laid_out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    for n in BLOOM_COLUMNS:
+        if n in keys:
+            writer = writer.option(f"parquet.bloom.filter.enabled#{n}", "true")
+            writer = writer.option(f"parquet.bloom.filter.expected.ndv#{n}", str(BLOOM_VALUES))
     _zstd(writer.partitionBy("cycle")).parquet(root)
 
 
@@ -137,6 +170,23 @@ def stored_copy(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def stored_versions(spark: SparkSession, root: str) -> list[int]:
+    """Numbers of the ``batch=`` folders below a path whose writing was completed."""
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    fs = path(root).getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(path(root)):
+        return []
+    names = [s.getPath().getName() for s in fs.listStatus(path(root))]
+    found = [n for n in names if n.startswith("batch=") and fs.exists(path(f"{root}/{n}/_SUCCESS"))]
+    return sorted(int(n[6:]) for n in found)
+
+
+def drop_copy(copy: DataFrame) -> None:
+    """Delete a stored copy nobody reads any more."""
+    for path in {f.rsplit("/", 1)[0] for f in copy.inputFiles()}:
+        remove(copy.sparkSession, path)
+
+
 def table_info(spark: SparkSession, path: str) -> dict:
     """Row count, columns with types, and size of a stored dataset."""
     df = spark.read.parquet(path)

@@ -3,8 +3,8 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
-from polfin.operators.predicates import AmountBetween, CycleIn, federal_races
-from polfin.plans import marts, pipelines
+from polfin.operators.predicates import AmountBetween, CycleBetween, CycleIn, federal_races
+from polfin.plans import marts, pipelines, quality
 from polfin.sources import readers, sinks
 from polfin.streaming import incremental
 from tests.test_marts import CONTRIBUTIONS, PEOPLE, RECIPIENTS, ROWS, with_recipient_columns
@@ -49,6 +49,22 @@ def test_clustered_files_are_sorted(spark, facts, tmp_path):
     assert spark.read.parquet(path).where("`bonica.rid` = 'rid001'").count() == 4
 
 
+def test_clustered_files_hold_ranges(spark, tmp_path):
+    path = str(tmp_path / "ranges")
+    rows = spark.range(4000).select(
+        F.lit(2020).alias("cycle"), F.format_string("r%04d", F.col("id") % 1000).alias("bonica.rid"), F.col("id").cast("string").alias("bonica.cid")
+    )
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # or so few rows are one file
+    try:
+        sinks.write_clustered(rows, path)
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    files = spark.read.parquet(path).groupBy(F.input_file_name()).agg(F.min("`bonica.rid`").alias("low"), F.max("`bonica.rid`").alias("high"))
+    spans = sorted((r["low"], r["high"]) for r in files.collect())
+    assert len(spans) > 1 and all(a[1] <= b[0] for a, b in zip(spans, spans[1:]))
+    assert spark.read.parquet(path).where("`bonica.cid` = '77'").count() == 1
+
+
 def test_marts_for_all_cycles(spark, root, tmp_path):
     people = spark.createDataFrame(PEOPLE, "bioguide_id string, fec_ids array<string>, last_name string, first_name string")
     recipients = spark.createDataFrame(RECIPIENTS, "`bonica.rid` string, `recipient.name` string, ICPSR string")
@@ -100,8 +116,66 @@ def test_subset_load(spark, root, tmp_path):
     pipelines.load_subset(spark, root, lambda df: capped.append({r["cycle"]: r["count"] for r in df.groupBy("cycle").count().collect()}),
                           columns=columns, limit=5)
     assert capped == [{2020: 4, 2022: 1}]
-    with pytest.raises(ValueError):
-        pipelines.load_subset(spark, root, append, predicates=[CycleIn([1999])])
+    none = pipelines.load_subset(spark, root, append, predicates=[CycleIn([1999])], columns=columns)
+    assert (none.rows, none.cycles, none.missing_cycles) == (0, [], [1999])
+
+
+def test_cycles_are_those_on_disk(spark, facts, tmp_path):
+    """A future cycle and an odd one count like any other."""
+    path = str(tmp_path / "odd")
+    odd = facts.withColumn("cycle", F.when(F.col("cycle") == 2020, 2026).otherwise(2023))
+    sinks.write_cycles(odd, path)
+    assert readers.query_cycles(spark, path, "SELECT * FROM contributions").count() == 8
+    done = pipelines.load_subset(spark, path, lambda df: df.collect(), columns=["amount"])
+    assert (done.rows, done.cycles, done.missing_cycles) == (8, [2023, 2026], [])
+    done = pipelines.load_subset(spark, path, lambda df: df.collect(), predicates=[CycleBetween(2024, 2030)], columns=["amount"])
+    assert (done.rows, done.cycles) == (4, [2026])
+    sent = pipelines.publish({"organizational": marts.organizational(odd)}, lambda df, name: df.collect(), datasets="organizational")
+    assert sent == {"organizational": 6}
+    with pytest.warns(UserWarning, match="2020"):
+        pipelines.publish({"organizational": odd}, lambda df, name: df.collect(), datasets="organizational", cycles=[2020, 2023])
+    built = pipelines.build_mart(spark, "organizational", path, str(tmp_path / "mart"))
+    assert built.written == [2023, 2026]
+
+
+def test_failed_cycle_is_built_again(spark, root, tmp_path, monkeypatch):
+    out = str(tmp_path / "failing")
+    monkeypatch.setattr(pipelines, "mart", lambda kind, rows, *_: rows)  # individuals stay in
+    with pytest.raises(quality.QualityError):
+        pipelines.build_mart(spark, "organizational", root, out, [2020])
+    monkeypatch.undo()
+    assert readers.existing_cycles(spark, out) == []
+    again = pipelines.build_mart(spark, "organizational", root, out, [2020], skip_existing=True)
+    assert (again.written, again.skipped) == ([2020], []) and counts(spark, out) == {2020: 3}
+    assert [p.name for p in (tmp_path / "failing").iterdir() if p.name.startswith("_staging")] == []
+
+
+def test_emptied_cycle_is_gone(spark, facts, tmp_path):
+    source, out = str(tmp_path / "in"), str(tmp_path / "out")
+    sinks.write_cycles(facts, source)
+    pipelines.build_mart(spark, "organizational", source, out)
+    assert counts(spark, out) == {2020: 3, 2022: 3}
+    sinks.write_cycles(facts.where("cycle = 2020").withColumn("contributor.type", F.lit("I")), source)
+    pipelines.build_mart(spark, "organizational", source, out)
+    assert counts(spark, out) == {2022: 3}
+    sinks.write_cycles(facts.where("cycle = 2022 AND amount < 0"), out, cycles=[2022])
+    assert readers.existing_cycles(spark, out) == []
+
+
+def test_linked_mart_with_double_pairs_passes(spark, root, tmp_path):
+    schema = "bioguide_id string, fec_ids array<string>, last_name string, first_name string"
+    shared = spark.createDataFrame([*PEOPLE, ("ZZ", [i for p in PEOPLE for i in p[1] or []], "Twin", "Toni")], schema)
+    recipients = spark.createDataFrame(RECIPIENTS, "`bonica.rid` string, `recipient.name` string, ICPSR string")
+    out = str(tmp_path / "double")
+    done = pipelines.build_mart(spark, "organizational", root, out, [2020], recipients=recipients, legislators=shared)
+    assert counts(spark, out)[2020] > 4 and done.report.where("NOT passed").count() == 0 and done.warnings == []
+
+
+def test_source_without_individuals_passes_with_a_warning(spark, facts, tmp_path):
+    source = str(tmp_path / "corporate")
+    sinks.write_cycles(marts.organizational(facts), source)
+    done = pipelines.build_mart(spark, "organizational", source, str(tmp_path / "out"))
+    assert done.written == [2020, 2022] and len(done.warnings) == 1
 
 
 def test_subset_without_the_cycle_column(spark, root):

@@ -115,6 +115,13 @@ def test_cycles_of_several_predicates_intersect():
     assert p.requested_cycles([p.AmountBetween(low=1)]) is None
 
 
+def test_open_ends(rows):
+    assert p.where_all(rows, [p.DateBetween(end=dt.date.max)]).count() == p.where_all(rows, [p.DateBetween()]).count() > 0
+    assert p.where_all(rows, [p.AnyOf([])]).count() == 0
+    assert p.named_cycles([p.CycleBetween(2000, 2004)]) is None
+    assert p.named_cycles([p.AllOf([p.CycleIn([1999, 2002])]), p.CycleBetween(2000, 2004)]) == [2002]
+
+
 def test_predicates_reach_the_scan(spark, tmp_path):
     path = str(tmp_path / "facts")
     spark.createDataFrame(ROWS, SCHEMA).write.partitionBy("cycle").parquet(path)
