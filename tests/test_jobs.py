@@ -46,7 +46,7 @@ def test_rewriting_a_cycle_leaves_the_others(spark, root, facts):
 def test_clustered_files_are_sorted(spark, facts, tmp_path):
     path = str(tmp_path / "clustered")
     sinks.write_clustered(facts, path)
-    assert spark.read.parquet(path).where("`bonica.rid` = 'rid001'").count() == 4
+    assert spark.read.parquet(path).where("`bonica.rid` = 'birch'").count() == 4
 
 
 def test_clustered_files_hold_ranges(spark, tmp_path):
@@ -244,8 +244,8 @@ def test_refreshed_aggregates(spark, root, facts, tmp_path):
         rows = spark.read.parquet(out).groupBy("cycle").agg(F.sum("total_amount").alias("t")).collect()
         return {r["cycle"]: r["t"] for r in rows}
 
-    assert run() == {2020: 3600.0, 2022: 7200.0}
+    assert run() == {2020: 4640.0, 2022: 9280.0}
     more = facts.where("cycle = 2022").limit(1)
     amount = more.first()["amount"]
     more.write.mode("append").partitionBy("cycle").parquet(root)
-    assert run() == {2020: 3600.0, 2022: 7200.0 + amount}
+    assert run() == {2020: 4640.0, 2022: 9280.0 + amount}

@@ -12,17 +12,17 @@ CONTRIBUTIONS = (
     "`bonica.cid` string, amount double, date string, `contributor.state` string"
 )
 ROWS = [
-    (2020, "rid001", "Recipient One", "PAC Corp", "C", "cid001", 1000.0, "2020-01-15", "DC"),
-    (2020, "rid002", "Recipient Two", "Union ABC", "L", "cid002", 500.0, "2020-02-20", "VA"),
-    (2020, "rid001", "Recipient One", "John Doe", "I", "cid003", 100.0, "2020-03-10", "MD"),
-    (2020, "rid003", "Recipient Three", "Corp XYZ", "C", "cid004", 2000.0, "2020-04-05", "NY"),
+    (2020, "alder", "Alder for Mayor", "Dockworkers Local 7", "U", "g1", 750.0, "2020-02-03", "OR"),
+    (2020, "birch", "Birch Committee", "Quarry Fund", "P", "g2", 1200.0, "2020-05-30", "UT"),
+    (2020, "birch", "Birch Committee", "Ines Okafor", "I", "g3", 90.0, "2019-11-09", "ME"),
+    (2020, "cedar", "Cedar Now", "Brickworks Inc", "C", "g4", 2600.0, "2020-08-17", "OR"),
 ]
-PEOPLE = [("A000001", ["H0DC00001"], "Able", "Ann"), ("B000002", ["S0VA00002"], "Baker", "Bob"), ("C000003", None, "C", "C"),
-          ("D000004", [], "D", "D")]
+PEOPLE = [("M100", ["H9OR07001"], "Moss", "Ada"), ("M200", ["S1UT00450"], "Nunez", "Leo"), ("M300", None, "Orr", "Kim"),
+          ("M400", [], "Pell", "Uma")]
 RECIPIENTS = [
-    ("rid001", "Recipient One", "H0DC000012020"),
-    ("rid002", "Recipient Two", "S0VA000022020"),
-    ("rid003", "Recipient Three", "cand12345"),
+    ("alder", "Alder for Mayor", "H9OR070012020"),
+    ("birch", "Birch Committee", "S1UT004502020"),
+    ("cedar", "Cedar Now", "town777"),
 ]
 
 
@@ -49,7 +49,7 @@ def test_detail_mart_links_people(facts, recipients, people):
     out = marts.organizational_detail(facts, recipients, people)
     assert out.columns == ["bioguide_id", *marts.DETAIL_COLUMNS]
     assert dict(out.dtypes)["cycle"] == "bigint"
-    assert persons(out) == {"rid001": "A000001", "rid002": "B000002", "rid003": None}
+    assert persons(out) == {"alder": "M100", "birch": "M200", "cedar": None}
     assert out.count() == 3 and out.where("contributor_type = 'I'").count() == 0
 
 
@@ -98,20 +98,20 @@ def test_cycles_are_kept_apart_and_null_recipients_dropped(spark):
 def shared(spark):
     """One recipient linked in some years only, and shared by two people."""
     return spark.createDataFrame(
-        [("rid001", "n", x) for x in ("H0DC000012020", "H0DC000012018", "S0VA000022016", "cand1980")]
-        + [("rid009", "n", "cand1980"), ("rid008", "n", None), ("rid007", "n", "2020")],
+        [("alder", "n", x) for x in ("H9OR070012020", "H9OR070012014", "S1UT004502010", "town1992")]
+        + [("dogwood", "n", "town1992"), ("elm", "n", None), ("fir", "n", "2020")],
         "`bonica.rid` string, `recipient.name` string, ICPSR string",
     )
 
 
 def test_fan_out(facts, shared, people):
     pairs = {tuple(r) for r in recipients_with_person(shared, people).collect()}
-    assert pairs == {("rid001", "A000001"), ("rid001", "B000002"), ("rid001", None), ("rid009", None)}
-    assert {r["bonica.rid"] for r in link_table(shared, people).collect()} == {"rid001"}
-    assert link(facts, shared, people).where(c("bonica.rid") == "rid001").count() == 6
+    assert pairs == {("alder", "M100"), ("alder", "M200"), ("alder", None), ("dogwood", None)}
+    assert {r["bonica.rid"] for r in link_table(shared, people).collect()} == {"alder"}
+    assert link(facts, shared, people).where(c("bonica.rid") == "alder").count() == 3
     best = link(facts, shared, people, "best")
     assert best.count() == 4
-    assert persons(best)["rid001"] == "A000001" and persons(best)["rid002"] is None
+    assert persons(best)["alder"] == "M100" and persons(best)["birch"] is None
     with pytest.raises(ValueError):
         link_table(shared, people, "first")
 
