@@ -41,9 +41,9 @@ from polfin.llm.run_index import RunIndex
 LENGTH = 100
 GRAM = 16
 SPAN = LENGTH - GRAM + 1
-INDEX_STRETCHES = 8192
+INDEX_STRETCHES = 4096
 INDEX_BYTES = 1 << 17
-_AT_ONCE = 1 << 21  # starts of strings looked at together
+_AT_ONCE = 1 << 19  # starts of strings looked at together
 _POSITION_BITS = np.uint64(22)
 _NO_ID = -(1 << 63)  # stands for a NULL doc_id, which comes first
 
