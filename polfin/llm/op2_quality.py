@@ -30,8 +30,8 @@ SIGNIFICANT_BITS = 6
 MEASURES = {
     "mean_word": ("word_chars", 1_000, "n_words", 500, True),
     "symbols": ("n_symbols", 1_000_000, "word_chars", 20_000, False),
-    "dup_lines": ("n_dup_lines", 1_000_000, "n_lines", 100_000, False),
-    "repeats": ("n_repeat_words", 1_000_000, "n_words", 50_000, False),
+    "dup_lines": ("n_dup_lines", 1_000_000, "n_lines", 200_000, False),
+    "repeats": ("n_repeat_words", 1_000_000, "n_words", 70_000, False),
 }
 
 

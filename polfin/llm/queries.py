@@ -198,7 +198,7 @@ picked AS (
   QUALIFY row_number() OVER (PARTITION BY g.lang, g.source, q.m ORDER BY q.level DESC) = 1),
 bounds AS (
   SELECT lang, source, m, q3 + 3 * greatest(q3 - q1, least_spread) AS high, q1 - 3 * greatest(q3 - q1, least_spread) AS low
-  FROM picked JOIN (VALUES (1, 500), (2, 20000), (3, 100000), (4, 50000)) s(m, least_spread) USING (m)),
+  FROM picked JOIN (VALUES (1, 500), (2, 20000), (3, 200000), (4, 70000)) s(m, least_spread) USING (m)),
 wide AS (
   SELECT lang, source, max(high) FILTER (WHERE m = 1) AS h1, max(low) FILTER (WHERE m = 1) AS l1, max(high) FILTER (WHERE m = 2) AS h2,
     max(high) FILTER (WHERE m = 3) AS h3, max(high) FILTER (WHERE m = 4) AS h4 FROM bounds GROUP BY lang, source)
