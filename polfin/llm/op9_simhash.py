@@ -230,7 +230,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     prints = stored(
         docs.select("doc_id", text_key(F.col("text")).alias("text_key"), fingerprint("text").alias("fp")), "simhash-prints"
     )
-    return prints.join(classes(prints), "fp").select("doc_id", "text_key", "fp", "component_id")
+    # Stored, so that the join is one of two plain shuffles, of which a fingerprint with many documents can be split.
+    return prints.join(stored(classes(prints), "simhash-classes"), "fp").select("doc_id", "text_key", "fp", "component_id")
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
