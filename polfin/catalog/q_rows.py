@@ -342,11 +342,14 @@ def _(spark, sf):
 
 @query(
     "d08_first_filled",
-    """SELECT bioguide, CASE WHEN end1 <> '' THEN end1 WHEN start1 <> '' THEN start1 END AS chosen FROM term_rows""",
+    """SELECT bioguide, CASE WHEN end1 <> '' THEN end1 WHEN start1 <> '' THEN start1 END AS chosen,
+              CASE WHEN end2 <> '' THEN end2 WHEN start2 <> '' THEN start2 END AS chosen2 FROM term_rows""",
 )
 def _(spark, sf):
     return load(spark, sf, "term_rows").select(
-        "bioguide", scalars.first_filled(F.col("end1"), F.col("start1")).alias("chosen")
+        "bioguide",
+        scalars.first_filled(F.col("end1"), F.col("start1")).alias("chosen"),
+        scalars.first_filled(F.col("end2"), F.col("start2")).alias("chosen2"),
     )
 
 
@@ -354,11 +357,12 @@ def _(spark, sf):
     "d09_split_ids",
     """SELECT full_name, len(ids) AS n, ids[1] AS first_id, ids[2] AS second_id FROM (
          SELECT full_name, CASE WHEN fec_ids <> '' THEN string_split(fec_ids, ',') ELSE [] END AS ids
-         FROM legislators_current)""",
+         FROM (SELECT full_name, fec_ids FROM legislators_current UNION ALL SELECT full_name, fec_ids FROM legislators_historical))""",
 )
 def _(spark, sf):
     ids = scalars.split_ids(F.col("fec_ids"))
-    return load(spark, sf, "legislators_current").select(
+    both = [load(spark, sf, f"legislators_{n}", ["full_name", "fec_ids"]) for n in ("current", "historical")]
+    return both[0].unionByName(both[1]).select(
         "full_name",
         F.size(ids).cast("bigint").alias("n"),
         F.get(ids, 0).alias("first_id"),

@@ -6,6 +6,7 @@ from functools import partial
 
 from pyspark.sql import functions as F
 
+from polfin.catalog import sql_parts as sql
 from polfin.catalog.registry import query
 from polfin.catalog.standins import load, select, table
 from polfin.catalog.stored import contributions_root, csv_path, shifted_root, terms_path
@@ -206,12 +207,11 @@ def _(spark, sf):
 @query(
     "m03_ingest_legislators",
     """SELECT * REPLACE (nullif(bioguide_id, '') AS bioguide_id, nullif(fec_ids, '') AS fec_ids)
-       FROM legislators_current""",
+       FROM (SELECT * FROM legislators_current UNION ALL SELECT * FROM legislators_historical)""",
 )
 def _(spark, sf):
-    source = csv_path(
-        spark, load(spark, sf, "legislators_current"), "legislators-csv", encoding="UTF-8", null="", gzip=False
-    )
+    rows = load(spark, sf, "legislators_current").unionByName(load(spark, sf, "legislators_historical"))
+    source = csv_path(spark, rows, "legislators-csv", encoding="UTF-8", null="", gzip=False)
     out = new_work_path(spark, "legislators-parquet")
     pipelines.ingest(spark, LEGISLATORS, source, out)
     return spark.read.parquet(out)
@@ -376,8 +376,8 @@ def _(spark, sf):
 
 @query(
     "p07_person_columns",
-    """SELECT bioguide_id, last_name, first_name, state FROM legislators_current WHERE bioguide_id > ''""",
+    f"SELECT bioguide_id, last_name, first_name, state FROM ({sql.PEOPLE})",
 )
 def _(spark, sf):
-    current = load(spark, sf, "legislators_current")
-    return unified_legislators(current, current.where("false")).select("bioguide_id", "last_name", "first_name", "state")
+    both = [load(spark, sf, f"legislators_{n}") for n in ("current", "historical")]
+    return unified_legislators(*both).select("bioguide_id", "last_name", "first_name", "state")

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from polfin.functions.columns import asc, c, desc
 from polfin.operators.joins import lookup_join
 from polfin.operators.limits import top_k
-from polfin.sources.sinks import remove, stored_versions, write_parquet
+from polfin.sources.sinks import merge_sums, read_sums
 
 
 def top_recipients(contributions: DataFrame, k: int = 10) -> DataFrame:
@@ -130,35 +130,22 @@ def _summary_sums(contributions: DataFrame) -> DataFrame:
 
 
 def refresh_summary(contributions: DataFrame, root: str, batch: int) -> None:
-    """Add a batch of contributions to the stored industry summary below ``root``; batch 0 begins it.
-
-    Sums per politician and industry are stored, one version per batch; a refresh reads
-    the last version and the new rows only. A batch that is already in is left out, so
-    a repeated run changes nothing. The version before is kept until the next batch.
-    """
-    spark = contributions.sparkSession
-    done = stored_versions(spark, root)
-    if done and batch <= done[-1]:
-        return
-    sums = _summary_sums(contributions)
-    if done:
-        before = spark.read.schema(sums.schema).parquet(f"{root}/batch={done[-1]}")
-        sums = before.unionByName(sums).groupBy(*_SUMMARY_KEY).agg(*[F.sum(n).alias(n) for n in ("n", "n_amount", "total")])
-        sums = sums.withColumn("total", F.col("total").cast(before.schema["total"].dataType))
-    write_parquet(sums, f"{root}/batch={batch}")
-    for old in done[:-1]:
-        remove(spark, f"{root}/batch={old}")
+    """Add a batch of contributions to the stored industry summary below ``root``; batch 0 begins it."""
+    merge_sums(_summary_sums(contributions), root, _SUMMARY_KEY, batch)
 
 
 def stored_summary(spark: SparkSession, root: str, politicians: DataFrame) -> DataFrame:
     """The stored summary as ``politician_industry_summary`` gives it."""
-    sums = spark.read.parquet(f"{root}/batch={stored_versions(spark, root)[-1]}")
-    return sums.select(
-        *_SUMMARY_KEY,
-        F.col("n").alias("contribution_count"),
-        F.col("total").alias("total_amount"),
-        F.when(F.col("n_amount") > 0, F.col("total") / F.col("n_amount")).alias("avg_amount"),
-    ).join(politicians.select("politician_id"), "politician_id")
+    return (
+        read_sums(spark, root)
+        .select(
+            *_SUMMARY_KEY,
+            F.col("n").alias("contribution_count"),
+            F.col("total").alias("total_amount"),
+            F.when(F.col("n_amount") > 0, F.col("total") / F.col("n_amount")).alias("avg_amount"),
+        )
+        .join(politicians.select("politician_id"), "politician_id")
+    )
 
 
 def donor_totals(donors: DataFrame, contributions: DataFrame) -> DataFrame:

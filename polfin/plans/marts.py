@@ -93,6 +93,34 @@ def _sum_if(condition: Column, value: Column, nothing: Column) -> Column:
     return F.sum(F.when(condition, value).otherwise(nothing))
 
 
+def recipient_sums(contributions: DataFrame, by_cycle: bool = True) -> DataFrame:
+    """What of the recipient aggregates can be added up later: all but the average."""
+    amount = F.col("amount")
+    from_person = c("contributor.type") == INDIVIDUAL
+    from_organization = Organizational().to_column()
+    keys = (["cycle"] if by_cycle else []) + list(RECIPIENT_KEY)
+    return (
+        contributions.where(c("bonica.rid").isNotNull())
+        .groupBy(*cols(keys))
+        .agg(
+            F.sum(amount).alias("total_amount"),
+            F.count(amount).alias("amount_count"),
+            F.count("*").alias("contribution_count"),
+            _sum_if(from_person, amount, F.lit(0.0)).alias("individual_total"),
+            _sum_if(from_person, F.lit(1), F.lit(0)).alias("individual_count"),
+            _sum_if(from_organization, amount, F.lit(0.0)).alias("organizational_total"),
+            _sum_if(from_organization, F.lit(1), F.lit(0)).alias("organizational_count"),
+        )
+    )
+
+
+def aggregates_of_sums(sums: DataFrame) -> DataFrame:
+    """Recipient aggregates from their sums."""
+    average = F.when(F.col("amount_count") > 0, F.col("total_amount") / F.col("amount_count")).alias("avg_amount")
+    keys = [c(n) for n in sums.columns if n in ("cycle", *RECIPIENT_KEY)]
+    return sums.select(*keys, *[average if n == "avg_amount" else c(n) for n in RECIPIENT_TOTALS])
+
+
 def recipient_aggregates(
     contributions: DataFrame,
     recipients: DataFrame | None = None,
@@ -109,23 +137,7 @@ def recipient_aggregates(
     added to the grouped rows. Those are already unique, as are the link pairs,
     so no further DISTINCT is needed.
     """
-    amount = F.col("amount")
-    from_person = c("contributor.type") == INDIVIDUAL
-    from_organization = Organizational().to_column()
-    keys = (["cycle"] if by_cycle else []) + list(RECIPIENT_KEY)
-    grouped = (
-        contributions.where(c("bonica.rid").isNotNull())
-        .groupBy(*cols(keys))
-        .agg(
-            F.sum(amount).alias("total_amount"),
-            F.avg(amount).alias("avg_amount"),
-            F.count("*").alias("contribution_count"),
-            _sum_if(from_person, amount, F.lit(0.0)).alias("individual_total"),
-            _sum_if(from_person, F.lit(1), F.lit(0)).alias("individual_count"),
-            _sum_if(from_organization, amount, F.lit(0.0)).alias("organizational_total"),
-            _sum_if(from_organization, F.lit(1), F.lit(0)).alias("organizational_count"),
-        )
-    )
+    grouped = aggregates_of_sums(recipient_sums(contributions, by_cycle))
     if legislators is None and links is None:
         return grouped
     return link(grouped, recipients, legislators, mode, links)

@@ -181,6 +181,31 @@ def stored_versions(spark: SparkSession, root: str) -> list[int]:
     return sorted(int(n[6:]) for n in found)
 
 
+def merge_sums(sums: DataFrame, root: str, keys: Sequence[str], batch: int) -> None:
+    """Add a batch of sums per key to those stored below ``root``.
+
+    One version is kept per batch: the last one and the batch give the next, so old input
+    is not read again. A batch that is already in is left out, so a repeated run changes
+    nothing. The version before is kept until the next batch.
+    """
+    spark = sums.sparkSession
+    done = stored_versions(spark, root)
+    if done and batch <= done[-1]:
+        return
+    if done:
+        before = spark.read.schema(sums.schema).parquet(f"{root}/batch={done[-1]}")
+        added = [F.sum(c(f.name)).cast(f.dataType).alias(f.name) for f in sums.schema if f.name not in keys]
+        sums = before.unionByName(sums).groupBy(*cols(keys)).agg(*added)
+    write_parquet(sums, f"{root}/batch={batch}")
+    for old in done[:-1]:
+        remove(spark, f"{root}/batch={old}")
+
+
+def read_sums(spark: SparkSession, root: str) -> DataFrame:
+    """The last version of stored sums."""
+    return spark.read.parquet(f"{root}/batch={stored_versions(spark, root)[-1]}")
+
+
 def drop_copy(copy: DataFrame) -> None:
     """Delete a stored copy nobody reads any more."""
     for path in {f.rsplit("/", 1)[0] for f in copy.inputFiles()}:

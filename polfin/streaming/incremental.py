@@ -15,12 +15,13 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming.query import StreamingQuery
 
 from polfin.plans import marts
-from polfin.sources.sinks import ZSTD_LEVEL, write_cycles
+from polfin.sources.sinks import ZSTD_LEVEL, merge_sums, write_cycles
 
 
-def stream_parquet(spark: SparkSession, root: str, schema: T.StructType) -> DataFrame:
+def stream_parquet(spark: SparkSession, root: str, schema: T.StructType, files_at_once: int | None = None) -> DataFrame:
     """New Parquet files below a folder; ``cycle=`` folders become a column."""
-    return spark.readStream.schema(schema).parquet(root)
+    reader = spark.readStream.schema(schema)
+    return (reader.option("maxFilesPerTrigger", files_at_once) if files_at_once else reader).parquet(root)
 
 
 def append_new(
@@ -72,7 +73,7 @@ def refresh_aggregates(
         touched = [r["cycle"] for r in batch.select("cycle").distinct().collect()]
         if touched:
             rows = spark.read.parquet(source_root).where(F.col("cycle").isin(*touched))
-            write_cycles(build(rows), output)
+            write_cycles(build(rows), output, cycles=touched)
 
     return (
         stream.writeStream.foreachBatch(rebuild)
@@ -80,3 +81,19 @@ def refresh_aggregates(
         .trigger(availableNow=True)
         .start()
     )
+
+
+def merge_aggregates(stream: DataFrame, sums_root: str, checkpoint: str) -> StreamingQuery:
+    """Add new rows to the stored sums of the recipient aggregates; files taken in before are not read again.
+
+    For files that are only ever added. Where a cycle's files may be replaced, use
+    ``refresh_aggregates``. ``marts.aggregates_of_sums(sinks.read_sums(...))`` gives the aggregates.
+    """
+    keys = ["cycle", *marts.RECIPIENT_KEY]
+
+    def merge(batch: DataFrame, number: int) -> None:
+        merge_sums(marts.recipient_sums(batch), sums_root, keys, number)
+
+    return (
+        stream.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    )
