@@ -210,18 +210,21 @@ def links(fps: DataFrame) -> DataFrame:
 
 
 def classes(fingerprints: DataFrame) -> DataFrame:
-    """(fp, component_id) from rows (doc_id, fp): the smallest doc_id of all reachable fingerprints."""
+    """(fp, root, component_id) from rows (doc_id, fp): of all reachable fingerprints the smallest
+    (as a signed number), which names the class, and the smallest doc_id, NULL if there is none."""
     entries = stored(fingerprints.groupBy("fp").agg(F.min("doc_id").alias("doc_id")), "simhash-entries")
     roots = stored(components(links(entries)), "simhash-roots")
     in_class = roots.join(entries, roots["node"] == entries["fp"]).groupBy("root").agg(F.min("doc_id").alias("component_id"))
-    of_node = roots.join(in_class, "root").select(F.col("node").alias("fp"), "component_id")
-    return entries.join(of_node, "fp", "left").select("fp", F.coalesce("component_id", "doc_id").alias("component_id"))
+    of_node = roots.join(in_class, "root").select(F.col("node").alias("fp"), "root", "component_id")
+    return entries.join(of_node, "fp", "left").select(
+        "fp", F.coalesce("root", "fp").alias("root"), F.coalesce("component_id", "doc_id").alias("component_id")
+    )
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
-    """(doc_id, text_key, fp, component_id), one row per row of ``docs``.
+    """(doc_id, text_key, fp, root, component_id), one row per row of ``docs``.
 
-    ``fp`` is the fingerprint as a signed number. Texts without words (also NULL) have
+    ``fp`` is the fingerprint as a signed number, ``root`` the smallest of the class. Texts without words (also NULL) have
     fingerprint 0 and are linked like any other. Repeated rows share class and
     fingerprint. A class of NULL ids alone has a NULL component_id. Further columns are
     ignored.
@@ -231,14 +234,16 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         docs.select("doc_id", text_key(F.col("text")).alias("text_key"), fingerprint("text").alias("fp")), "simhash-prints"
     )
     # Stored, so that the join is one of two plain shuffles, of which a fingerprint with many documents can be split.
-    return prints.join(stored(classes(prints), "simhash-classes"), "fp").select("doc_id", "text_key", "fp", "component_id")
+    return prints.join(stored(classes(prints), "simhash-classes"), "fp").select(
+        "doc_id", "text_key", "fp", "root", "component_id"
+    )
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
     """``docs`` with one row of each class: the one with the smallest doc_id (of equal ids, the
     smallest hash of the text). Rows repeated in full stay once. A class of NULL ids keeps one row."""
     found = near_duplicates(docs)
-    chosen = found.groupBy("component_id").agg(F.min(F.struct("doc_id", "text_key")).alias("first"))
+    chosen = found.groupBy("root").agg(F.min(F.struct("doc_id", "text_key")).alias("first"))
     (key, keep_id, keep_key) = fresh(docs.columns, "_key", "_id", "_tk")
     keep = chosen.select(F.col("first.doc_id").alias(keep_id), F.col("first.text_key").alias(keep_key))
     keyed = docs.withColumn(key, text_key(F.col("text")))

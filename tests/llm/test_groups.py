@@ -232,6 +232,15 @@ def test_keep_one(spark):
     assert op9.keep_one(frame(spark, [])).collect() == []
 
 
+def test_keep_one_of_rows_without_id(spark):
+    """Classes without any doc_id are told apart: each keeps one row."""
+    rng = random.Random(12)
+    texts = [words(rng, 60) for _ in range(20)]
+    rows = [(None, t, "en", "a", 1) for t in texts + texts[:5]] + [(1, words(rng, 60), "en", "a", 1)]
+    kept = op9.keep_one(frame(spark, rows)).collect()
+    assert sorted(r.text for r in kept) == sorted({r[1] for r in rows})
+
+
 @pytest.mark.parametrize("seed", range(3))
 def test_components(spark, seed):
     rng = random.Random(seed)
