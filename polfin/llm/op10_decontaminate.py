@@ -8,6 +8,10 @@ equal slot values of the item must stand for equal values of the document, else
 agreement is by chance. An item whose words are covered to ``COVERAGE_PERCENT`` by
 consistent windows has leaked, as it stands or with other numbers and names.
 
+Beside the templates, items are looked for word for word, whatever their case: one that
+stands whole has leaked, however short or full of numbers it is, and so has one of which
+``RUN`` words in a row stand, whatever their share of the item.
+
 Only DataFrame functions are used. Of a document all windows are hashed where it is
 read; only those that the benchmark has go on.
 """
@@ -24,9 +28,11 @@ from polfin.llm.common import fresh, stored, text_key
 WINDOW = 8
 # Of the words of a window so many at least are no placeholders; else any list of numbers would match any other.
 MIN_LITERAL = 4
-# Items with fewer words cannot be told from chance and are not looked for.
+# Items with fewer words are looked for word for word only, since their templates cannot be told from chance.
 MIN_ITEM = 5
 COVERAGE_PERCENT = 50
+# So many words in a row, word for word, are a leak of the item.
+RUN = 13
 
 # Units that may follow a number.
 UNITS = (
@@ -43,7 +49,8 @@ _NUMBER_WORD = r"(?i)\b(?:" + "|".join(NUMBER_WORDS) + r")\b"
 # A capital in the middle of a sentence, up to the end of the word.
 _NAME = r"\p{Lu}(?<=[\p{Ll}\d,\x02] .)[\p{L}\p{M}]*"
 _UNIT = _CLOSE + r" ?(" + "|".join(sorted(UNITS, key=len, reverse=True)) + r"|[%$€£])(?![\p{L}\d])"
-_TOKEN = _OPEN + "[^" + _CLOSE + "]*" + _CLOSE + r"|[\p{L}\p{M}\d]+"
+_WORD = r"[\p{L}\p{M}\d]+"
+_TOKEN = _OPEN + "[^" + _CLOSE + "]*" + _CLOSE + "|" + _WORD
 
 
 def template_words(text: Column) -> Column:
@@ -128,15 +135,68 @@ def _covered(starts: Column, size: Column) -> Column:
     return F.aggregate(F.transform(starts, step), F.lit(0), lambda a, b: a + b)
 
 
+def plain_words(text: Column) -> Column:
+    """Lower-cased words, without regard to templates."""
+    return F.regexp_extract_all(F.lower(F.coalesce(text, F.lit(""))), F.lit(_WORD), 0)
+
+
+def verbatim(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """(doc_id, text_key, item_id, n_words, n_covered): items of which ``RUN`` words in a row, or all of fewer, stand in documents.
+
+    Words are those of ``plain_words``; ``n_covered`` counts the item's words in such runs.
+    """
+    items = benchmark.select("item_id", plain_words(F.col("text")).alias("words")).withColumn("n_words", F.size("words")).distinct()
+    size = F.least(F.col("n_words"), F.lit(RUN))
+    parts = [
+        items.where(size == s).select(
+            "item_id", "n_words", F.lit(s).alias("size"), F.posexplode(_window_hashes(F.col("words"), s)).alias("at", "hash")
+        )
+        for s in range(1, RUN + 1)
+    ]
+    windows = stored(reduce(DataFrame.unionByName, parts), "verbatim-windows")
+    sizes = [r.size for r in windows.select("size").distinct().collect()] or [RUN]  # from 1 to 13
+    keyed = docs.select("doc_id", text_key(F.col("text")).alias("text_key"), plain_words(F.col("text")).alias("words"))
+    hashes = F.array_distinct(F.concat(*[_window_hashes(F.col("words"), s) for s in sizes]))
+    runs = keyed.select("doc_id", "text_key", F.explode(hashes).alias("hash")).join(windows, "hash")
+    return (
+        runs.groupBy("doc_id", "text_key", "item_id", "n_words", "size")
+        .agg(F.array_sort(F.collect_set("at")).alias("ats"))
+        .select("doc_id", "text_key", "item_id", "n_words", _covered(F.col("ats"), F.col("size")).alias("n_covered"))
+    )
+
+
+def _added(found: DataFrame, more: DataFrame) -> DataFrame:
+    """``found`` and the rows of ``more`` for documents and items that it has none for."""
+    same = [found[k].eqNullSafe(more[k]) for k in ("doc_id", "text_key", "item_id")]
+    return found.unionByName(more.join(found, reduce(lambda x, y: x & y, same), "left_anti"))
+
+
 def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """(doc_id, text_key, item_id, n_words, n_covered, n_slots, n_changed): items found in documents.
 
     ``n_slots`` counts placeholders that consistent windows cover, ``n_changed`` those
     that stand for other words than in the item. A document with several items has a
-    row for each. Items with fewer than ``MIN_ITEM`` words are not looked for. NULL or
+    row for each. Items that are found word for word only have no placeholders, and their
+    words are those of ``plain_words``; items without words are not looked for. NULL or
     empty texts match nothing; repeated rows, of documents or of the benchmark, give one
     row. Further columns are ignored.
     """
+    by_templates = stored(template_leaks(docs, benchmark), "leaks-templates")
+    none = F.lit(0).cast("long")
+    by_words = verbatim(docs, benchmark).select(
+        "doc_id",
+        "text_key",
+        "item_id",
+        F.col("n_words").cast("long").alias("n_words"),
+        F.col("n_covered").cast("long").alias("n_covered"),
+        none.alias("n_slots"),
+        none.alias("n_changed"),
+    )
+    return _added(by_templates, stored(by_words, "leaks-verbatim"))
+
+
+def template_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """The rows of ``leaks`` for items that are covered by template windows."""
     windows = stored(item_windows(benchmark), "benchmark-windows")
     sizes = [r.size for r in windows.select("size").distinct().collect()]  # from 5 to 8
     wanted = stored(windows.select("hash").distinct(), "benchmark-hashes")

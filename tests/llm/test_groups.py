@@ -290,6 +290,25 @@ def test_decontamination(spark):
     assert op10.leaks(frame(spark, []), bench).collect() == [] and op10.leaks(docs, bench.limit(0)).collect() == []
 
 
+def test_verbatim_leaks(spark):
+    """Short items, items of numbers and long passages are found word for word, in any case."""
+    long = words(random.Random(21), 150)
+    passage = " ".join(long.split()[40:100])
+    items = [*ITEMS, (7, long)]
+    rows = [
+        (1, "Well, What is it? asked a fox", "en", "a", 1),
+        (2, "so 1 2 3 4 5 6 7 8 9 10 11 12 go", "en", "a", 1),
+        (3, "x " + passage.upper() + " y", "en", "a", 1),
+        (4, ITEMS[0][1].lower(), "en", "a", 1),
+        (5, "x " + " ".join(long.split()[40:52]) + " y", "en", "a", 1),
+        (6, "what is the it", "en", "a", 1),
+        (None, None, None, None, None),
+    ]
+    got = op10.leaks(with_clashes(frame(spark, rows)), spark.createDataFrame(items, "item_id long, text string")).collect()
+    assert sorted((r.doc_id, r.item_id) for r in got) == [(1, 2), (2, 6), (3, 7), (4, 1)]
+    assert {r.doc_id: (r.n_words, r.n_covered) for r in got}[3] == (150, 60)
+
+
 def test_templates_keep_places(spark):
     texts = ["At 5.5 km, Mr. Brown ran 3,000 m in 12 minutes.", "x1 12a 3% of $5 at 10:30", "\x01\x02\x03 7km É Ü", "Two hundred Days. two Days"]
     df = spark.createDataFrame([(t,) for t in texts], "text string")
