@@ -8,6 +8,9 @@ equal slot values of the item must stand for equal values of the document, else
 agreement is by chance. An item whose words are covered to ``COVERAGE_PERCENT`` by
 consistent windows has leaked, as it stands or with other numbers and names.
 
+A capital that starts a sentence may be that of a name or not: templates come in two
+forms, with and without placeholders there, and slot consistency tells.
+
 Beside the templates, items are looked for word for word, whatever their case: one that
 stands whole has leaked, however short or full of numbers it is, and so has one of which
 ``RUN`` words in a row stand, whatever their share of the item.
@@ -48,12 +51,14 @@ _NUMBER = r"(?<![\p{L}\d])\d+(?:[.,:/]\d+)*(?![\p{L}\d])"
 _NUMBER_WORD = r"(?i)\b(?:" + "|".join(NUMBER_WORDS) + r")\b"
 # A capital in the middle of a sentence, up to the end of the word.
 _NAME = r"\p{Lu}(?<=[\p{Ll}\d,\x02] .)[\p{L}\p{M}]*"
+# Any capital at the start of a word; the first word of a sentence may be a name.
+_ANY_NAME = r"(?<![\p{L}\p{M}\d\x03])\p{Lu}[\p{L}\p{M}]*"
 _UNIT = _CLOSE + r" ?(" + "|".join(sorted(UNITS, key=len, reverse=True)) + r"|[%$€£])(?![\p{L}\d])"
 _WORD = r"[\p{L}\p{M}\d]+"
 _TOKEN = _OPEN + "[^" + _CLOSE + "]*" + _CLOSE + "|" + _WORD
 
 
-def template_words(text: Column) -> Column:
+def template_words(text: Column, name: str = _NAME) -> Column:
     """Words of a text with placeholders in place; a placeholder is its type and, after a mark, the word it stands for.
 
     One word of the text is one element, whatever it became.
@@ -63,18 +68,18 @@ def template_words(text: Column) -> Column:
     numbers = F.regexp_replace(clean, "(" + _NUMBER + ")", slot("num", 1))
     words = F.regexp_replace(numbers, "(" + _NUMBER_WORD + ")", slot("num", 1))
     units = F.regexp_replace(words, _UNIT, f"{_CLOSE} " + slot("unit", 1))
-    names = F.regexp_replace(units, "(" + _NAME + ")", slot("name", 1))
+    names = F.regexp_replace(units, "(" + name + ")", slot("name", 1))
     return F.regexp_extract_all(F.lower(names), F.lit(_TOKEN), 0)
 
 
-def template_only(text: Column) -> Column:
+def template_only(text: Column, name: str = _NAME) -> Column:
     """The same words, placeholders without what they stand for; elements agree in number and order."""
     clean = F.translate(F.coalesce(text, F.lit("")), _OPEN + _CLOSE + _SPLIT, "   ")
     slot = lambda kind: f"{_OPEN}{kind}{_CLOSE}"
     numbers = F.regexp_replace(clean, _NUMBER, slot("num"))
     words = F.regexp_replace(numbers, _NUMBER_WORD, slot("num"))
     units = F.regexp_replace(words, _UNIT, f"{_CLOSE} " + slot("unit"))
-    names = F.regexp_replace(units, _NAME, slot("name"))
+    names = F.regexp_replace(units, name, slot("name"))
     return F.regexp_extract_all(F.lower(names), F.lit(_TOKEN), 0)
 
 
@@ -89,7 +94,7 @@ def _window_hashes(words: Column, size: int) -> Column:
     return F.when(F.size(words) >= size, F.transform(F.sequence(F.lit(0), F.size(words) - size), hashed)).otherwise(none)
 
 
-def item_windows(benchmark: DataFrame) -> DataFrame:
+def item_windows(benchmark: DataFrame, name: str = _NAME) -> DataFrame:
     """(item_id, n_words, size, at, hash, slots) of every window that may be looked for.
 
     An item shorter than ``WINDOW`` is one window of its own size. ``slots`` are the
@@ -97,7 +102,7 @@ def item_windows(benchmark: DataFrame) -> DataFrame:
     in a second form, with a name for its first word, which looks like one where the
     item stands inside a sentence.
     """
-    items = benchmark.select("item_id", template_only(F.col("text")).alias("words")).withColumn("n_words", F.size("words"))
+    items = benchmark.select("item_id", template_only(F.col("text"), name).alias("words")).withColumn("n_words", F.size("words"))
     items = items.where(F.col("n_words") >= MIN_ITEM).distinct()
     size = F.least(F.col("n_words"), F.lit(WINDOW))
     inside = F.concat(F.array(F.lit(f"{_OPEN}name{_CLOSE}")), F.slice("words", F.lit(2), F.col("n_words")))
@@ -120,9 +125,9 @@ def item_windows(benchmark: DataFrame) -> DataFrame:
     )
 
 
-def _document_windows(docs: DataFrame, wanted: DataFrame, sizes: list[int]) -> DataFrame:
+def _document_windows(docs: DataFrame, wanted: DataFrame, sizes: list[int], name: str) -> DataFrame:
     """(doc_id, text_key, start, hash) of windows whose hash is ``wanted``."""
-    keyed = docs.select("doc_id", text_key(F.col("text")).alias("text_key"), template_only(F.col("text")).alias("words"))
+    keyed = docs.select("doc_id", text_key(F.col("text")).alias("text_key"), template_only(F.col("text"), name).alias("words"))
     parts = [
         keyed.select("doc_id", "text_key", F.posexplode(_window_hashes(F.col("words"), s)).alias("start", "hash")) for s in sizes
     ]
@@ -181,7 +186,9 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     empty texts match nothing; repeated rows, of documents or of the benchmark, give one
     row. Further columns are ignored.
     """
-    by_templates = stored(template_leaks(docs, benchmark), "leaks-templates")
+    in_sentences = stored(template_leaks(docs, benchmark), "leaks-templates")
+    any_names = stored(template_leaks(docs, benchmark, _ANY_NAME), "leaks-names")
+    by_templates = _added(in_sentences, any_names)
     none = F.lit(0).cast("long")
     by_words = verbatim(docs, benchmark).select(
         "doc_id",
@@ -195,14 +202,14 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     return _added(by_templates, stored(by_words, "leaks-verbatim"))
 
 
-def template_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The rows of ``leaks`` for items that are covered by template windows."""
-    windows = stored(item_windows(benchmark), "benchmark-windows")
+def template_leaks(docs: DataFrame, benchmark: DataFrame, name: str = _NAME) -> DataFrame:
+    """The rows of ``leaks`` for items that are covered by template windows, with names as ``name`` finds them."""
+    windows = stored(item_windows(benchmark, name), "benchmark-windows")
     sizes = [r.size for r in windows.select("size").distinct().collect()]  # from 5 to 8
     wanted = stored(windows.select("hash").distinct(), "benchmark-hashes")
     if not sizes:
         sizes = [WINDOW]
-    met = stored(_document_windows(docs, wanted, sizes), "benchmark-met")
+    met = stored(_document_windows(docs, wanted, sizes, name), "benchmark-met")
     placed = met.join(windows, "hash").select(
         "doc_id", "text_key", "item_id", "n_words", "size", (F.col("start") - F.col("at")).alias("shift"), "at", "slots"
     )
@@ -213,7 +220,7 @@ def template_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         ),
         "benchmark-aligned",
     )
-    slotted = stored(_slot_values(lined_up.where(F.size("slots") > 0), docs, benchmark), "benchmark-slots")
+    slotted = stored(_slot_values(lined_up.where(F.size("slots") > 0), docs, benchmark, name), "benchmark-slots")
     same = ["doc_id", "text_key", "item_id", "shift"]
     checked = (
         lined_up.alias("a")
@@ -238,7 +245,7 @@ def template_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     )
 
 
-def _slot_values(lined_up: DataFrame, docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+def _slot_values(lined_up: DataFrame, docs: DataFrame, benchmark: DataFrame, name: str) -> DataFrame:
     """(doc_id, text_key, item_id, shift, consistent, n_slots, n_changed) of alignments that cover placeholders.
 
     Reads the texts again, of the documents that meet an item with placeholders only.
@@ -247,9 +254,13 @@ def _slot_values(lined_up: DataFrame, docs: DataFrame, benchmark: DataFrame) ->
     texts = docs.select("doc_id", text_key(F.col("text")).alias("text_key"), "text")
     texts = texts.join(who, texts["doc_id"].eqNullSafe(who["_doc"]) & (texts["text_key"] == who["_key"]), "left_semi")
     texts = texts.dropDuplicates(["doc_id", "text_key"]).select(
-        F.col("doc_id").alias("_doc"), F.col("text_key").alias("_key"), template_words(F.col("text")).alias("theirs")
+        F.col("doc_id").alias("_doc"), F.col("text_key").alias("_key"), template_words(F.col("text"), name).alias("theirs")
+    )
+    items = benchmark.select(
+        F.col("item_id").alias("_item"),
+        template_words(F.col("text"), name).alias("ours"),
+        template_only(F.col("text"), name).alias("plain"),
     )
-    items = benchmark.select(F.col("item_id").alias("_item"), template_words(F.col("text")).alias("ours"), template_only(F.col("text")).alias("plain"))
     items = items.dropDuplicates(["_item", "plain"]).withColumn("_n", F.size("plain"))
     both = lined_up.join(
         texts, lined_up["doc_id"].eqNullSafe(texts["_doc"]) & (lined_up["text_key"] == texts["_key"])

@@ -290,6 +290,15 @@ def test_decontamination(spark):
     assert op10.leaks(frame(spark, []), bench).collect() == [] and op10.leaks(docs, bench.limit(0)).collect() == []
 
 
+def test_names_that_start_sentences(spark):
+    item = "Tom has 5 apples. Tom buys 3 more. Tom eats 2. Tom sells 4 apples. Tom keeps 1 apple."
+    other = item.replace("Tom", "Eva").replace("5", "8")
+    rows = [(1, other, "en", "a", 1), (2, other.replace("Eva buys", "Bob buys").replace("Eva sells", "Jim sells"), "en", "a", 1)]
+    bench = spark.createDataFrame([(1, item)], "item_id long, text string")
+    assert op10.template_leaks(frame(spark, rows), bench).collect() == []
+    assert [(r.doc_id, r.item_id) for r in op10.leaks(frame(spark, rows), bench).collect()] == [(1, 1)]
+
+
 def test_verbatim_leaks(spark):
     """Short items, items of numbers and long passages are found word for word, in any case."""
     long = words(random.Random(21), 150)
