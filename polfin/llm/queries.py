@@ -10,6 +10,9 @@ from pyspark.sql import functions as F
 from polfin.llm import op1_suffix_dedup as op1
 from polfin.llm import op2_quality as op2
 from polfin.llm import op10_decontaminate as op10
+from polfin.llm import op11_quality_mil as op11
+from polfin.llm import op12_vafile as op12
+from polfin.llm import op13_divergence as op13
 from polfin.llm import op3_url_filter as op3
 from polfin.llm import op4_language_id as op4
 from polfin.llm import op5_mixing as op5
@@ -263,3 +266,83 @@ def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op1_suffix_dedup")
 def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op1.summary(table(spark, sf_dir, "documents"))
+
+
+@query("op11_quality_mil")
+def op11_quality_mil(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op11.qualities(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def _lloyd_sql() -> str:
+    """Rounds one after another, each a materialised table of centroid components and of nearest centroids."""
+    steps = [
+        r"""
+WITH kept AS MATERIALIZED (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+  WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+parts AS MATERIALIZED (SELECT vec_id, unnest(v) AS x, unnest(range(64)) AS d FROM kept),
+c0 AS MATERIALIZED (
+  SELECT c, unnest(v) AS x, unnest(range(64)) AS d
+  FROM (SELECT v, row_number() OVER (ORDER BY sha256('2:' || vec_id)) - 1 AS c FROM kept QUALIFY c < 40))"""
+    ]
+    for i in range(6):
+        steps.append(rf"""
+a{i} AS MATERIALIZED (
+  SELECT vec_id, c, distance FROM (
+    SELECT vec_id, c, sum((p.x - q.x) * (p.x - q.x))::BIGINT AS distance FROM parts p JOIN c{i} q USING (d) GROUP BY vec_id, c)
+  QUALIFY row_number() OVER (PARTITION BY vec_id ORDER BY distance, c) = 1)""")
+        steps.append(rf"""
+c{i + 1} AS MATERIALIZED (
+  SELECT o.c, o.d, coalesce(n.x, o.x) AS x FROM c{i} o LEFT JOIN (
+    SELECT c, d, ((sum(x) - ((sum(x) % count(*)) + count(*)) % count(*)) // count(*))::BIGINT AS x
+    FROM parts JOIN a{i} USING (vec_id) GROUP BY c, d) n ON o.c = n.c AND o.d = n.d)""")
+    steps.pop()
+    return (
+        ",".join(steps)
+        + r""",
+named AS (SELECT c, sha256(string_agg(x::VARCHAR, ',' ORDER BY d)) AS centroid_sha256 FROM c5 GROUP BY c)
+SELECT vec_id, c::INT AS cluster, distance, (sum(distance) OVER (PARTITION BY c))::BIGINT AS cluster_inertia,
+  (sum(distance) OVER ())::BIGINT AS inertia, centroid_sha256
+FROM a5 JOIN named USING (c)"""
+    )
+
+
+@query("op12_vafile", _lloyd_sql())
+def op12_vafile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op12.assignments(op12.cluster(table(spark, sf_dir, "embeddings")))
+
+
+_DIVERGENCE_SQL = r"""
+WITH docs AS MATERIALIZED (
+  SELECT row_number() OVER () AS i, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS body FROM documents),
+words AS (SELECT i, lang, source, unnest(regexp_extract_all(body, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM docs),
+each AS MATERIALIZED (SELECT i, lang, source, term, count(*) AS n FROM words GROUP BY ALL),
+lang_terms AS MATERIALIZED (SELECT lang, term, sum(n)::BIGINT AS n FROM each GROUP BY lang, term HAVING count(*) >= 30),
+group_terms AS MATERIALIZED (
+  SELECT lang, source, term, sum(n)::BIGINT AS n FROM each SEMI JOIN lang_terms USING (lang, term) GROUP BY ALL),
+langs AS (
+  SELECT lang, count(term) AS v, coalesce(sum(n), 0)::BIGINT AS total FROM (SELECT DISTINCT lang FROM docs) LEFT JOIN lang_terms USING (lang) GROUP BY lang),
+groups AS MATERIALIZED (
+  SELECT lang, source, coalesce(sum(n), 0)::BIGINT AS total FROM (SELECT DISTINCT lang, source FROM docs) LEFT JOIN group_terms USING (lang, source) GROUP BY ALL),
+priced AS MATERIALIZED (
+  SELECT g.lang, g.source, l.term, coalesce(t.n, 0) AS n,
+    1 + 1000000000::HUGEINT * (coalesce(t.n, 0) + 5) // (g.total + 5 * s.v) AS p,
+    1 + 1000000000::HUGEINT * (l.n + 5) // (s.total + 5 * s.v) AS q
+  FROM groups g JOIN langs s USING (lang) JOIN lang_terms l USING (lang) LEFT JOIN group_terms t USING (lang, source, term)),
+near AS (SELECT a.lang, a.source, b.source AS item, sum(abs(a.p - b.p))::BIGINT AS value
+  FROM priced a JOIN priced b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+pairs AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(value, 0) AS value
+  FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+    LEFT JOIN near ON near.lang = a.lang AND near.source = a.source AND near.item = b.source),
+terms AS (SELECT lang, source, 'term' AS part, term AS item, (p - q)::BIGINT AS value FROM priced WHERE n > 0 AND p > q),
+ranked AS (
+  SELECT *, (row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item))::INT AS rank
+  FROM (SELECT * FROM pairs UNION ALL SELECT * FROM terms))
+SELECT * FROM ranked WHERE part = 'pair' OR rank <= 50"""
+
+
+@query("op13_divergence", _DIVERGENCE_SQL)
+def op13_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op13.divergence(table(spark, sf_dir, "documents"))
