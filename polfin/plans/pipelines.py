@@ -7,7 +7,7 @@ import warnings
 from collections.abc import Callable, Iterable, Mapping, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from polfin.functions.columns import c, cols
@@ -52,32 +52,35 @@ def ingest(
     validate: bool = True,
     keep_one_in: int = 1,
     multi_line: bool | None = None,
+    parallel: bool | None = None,
 ) -> IngestResult:
     """Convert a raw CSV file (or a folder of them) to typed Parquet and prove the result.
 
-    A compressed or multi-line file is read by one task, so its records are spread
-    in pieces of the advisory size right behind the parser, and all further work is
-    done there. To be validated the records are stored as text first: the file is parsed
-    once, and conversion and checks read the stored text in parallel. The raw file is
-    read a second time only to count its records by lines and quotes. Rows are counted in
-    the writing stage, whose tasks count once however often one is retried. Columns
-    keep the order of the file.
+    The file is parsed once for conversion and checks: sums of row hashes and checksums of
+    the source are observed while its rows are written, then the output is read once for
+    the same sums. Only if these differ are both read again and compared in detail. The raw
+    file is also read as lines, to count its records by quotes. Rows are counted in the
+    writing stage, whose tasks count once however often one is retried. A compressed file
+    is parsed by one task, so its records are spread right behind the parser. Columns keep
+    the order of the file.
     """
-    text = readers.read_csv_text(spark, source, spec, multi_line).hint("rebalance")
-    staging = new_work_path(spark, f"{spec.name}-text")
-    try:
-        if validate:
-            sinks.write_parquet(text, staging)
-            text = spark.read.schema(text.schema).parquet(staging)
-        out = sinks.counted(readers.cast_columns(readers.mark_nulls(text, spec), spec))
+    text = readers.read_csv_text(spark, source, spec, multi_line, parallel)
+    if parallel is False or not readers.splits(spark, source):
+        text = text.hint("rebalance")
+    typed = readers.cast_columns(readers.mark_nulls(text, spec), spec)
+    if not validate:
+        out = sinks.counted(typed)
         sinks.write_parquet(out.df, output)
-        if not validate:
-            return IngestResult(out.rows, None)
-        report = conversion_report(text, spark.read.parquet(output), spec, keep_one_in)
-        raw = quality.check_raw_count(spark, readers.raw_record_count(spark, source), out.rows)
-        return IngestResult(out.rows, quality.raise_for_status(raw.unionByName(report)))
-    finally:
-        sinks.remove(spark, staging)
+        return IngestResult(out.rows, None)
+    rows, sums = quality.with_row_hash(typed, spec, keep_one_in)
+    seen = Observation()
+    sinks.write_parquet(rows.observe(seen, *sums).select(*cols(typed.columns)), output)
+    stored = spark.read.parquet(output)
+    report = quality.observed_report(spark, seen.get, stored, spec, keep_one_in)
+    if report is None:
+        report = conversion_report(text, stored, spec, keep_one_in)
+    raw = quality.check_raw_count(spark, readers.raw_record_count(spark, source), seen.get["rows"])
+    return IngestResult(seen.get["rows"], quality.raise_for_status(raw.unionByName(report)))
 
 
 # ------------------------------------------------------------------ dimensions

@@ -195,6 +195,11 @@ def row_fingerprint(df: DataFrame, spec: DatasetSpec) -> DataFrame:
     return cells.select(F.xxhash64(*parts).alias("h1"), F.xxhash64(F.lit(spec.name), *parts).alias("h2"))
 
 
+# Helper column of row hashes, and the parts they are summed in.
+_HASH = "__row_hash"
+_HASH_PARTS = (0, 16, 32, 48)
+
+
 def _typed(df: DataFrame, f: T.StructField, spec: DatasetSpec) -> Column:
     """A cell as the conversion makes it: null marks gone, declared type, nothing trimmed or rounded."""
     if df.schema[f.name].dataType == f.dataType:
@@ -212,14 +217,21 @@ def _sampled(df: DataFrame, spec: DatasetSpec, keep_one_in: int) -> DataFrame:
     return df.where(F.pmod(F.xxhash64(*keys), F.lit(keep_one_in)) == 0)
 
 
-def _typed_hash(df: DataFrame, spec: DatasetSpec) -> Column:
-    """One hash of a row as converted. NULLs, which hashing skips, are told by a mask in front."""
-    cells = [_typed(df, f, spec) for f in spec.schema]
+def _cells_hash(cells: Sequence[Column], schema: T.StructType) -> Column:
+    """One hash of a row's cells. NULLs, which hashing skips, become a character no text holds, or a bit of a mask."""
+    texts = [isinstance(f.dataType, T.StringType) for f in schema]
+    filled = [F.coalesce(x, F.lit("\x00")) if text else x for x, text in zip(cells, texts)]
+    numbers = [x for x, text in zip(cells, texts) if not text]
     masks = [
         reduce(lambda a, b: a + b, [F.when(x.isNull(), F.lit(1 << i)).otherwise(F.lit(0)).cast("bigint") for i, x in enumerate(part)])
-        for part in (cells[k : k + 60] for k in range(0, len(cells), 60))
+        for part in (numbers[k : k + 60] for k in range(0, len(numbers), 60))
     ]
-    return F.xxhash64(*masks, *cells)
+    return F.xxhash64(*masks, *filled)
+
+
+def _typed_hash(df: DataFrame, spec: DatasetSpec) -> Column:
+    """One hash of a row as converted."""
+    return _cells_hash([_typed(df, f, spec) for f in spec.schema], spec.schema)
 
 
 def _bucket(h: Column) -> Column:
@@ -256,6 +268,35 @@ def conversion_sums(df: DataFrame, spec: DatasetSpec, keep_one_in: int = 1) -> D
     )
 
 
+def with_row_hash(typed: DataFrame, spec: DatasetSpec, keep_one_in: int = 1) -> tuple[DataFrame, list[Column]]:
+    """Converted rows with helper columns, and the aggregates over these that ``conversion_sums`` has, of all rows at once.
+
+    Meant to be observed while the rows are written, so that the source is read only once.
+    Hashes are summed in parts of 16 bits: no sum overflows below 2^47 rows.
+    """
+    keys = [_comparable(spec.schema[k], spec) for k in spec.key_columns]
+    chosen = F.pmod(F.xxhash64(*keys), F.lit(keep_one_in)) == 0 if keep_one_in > 1 else F.lit(True)
+    rows = typed.withColumns({_HASH: F.when(chosen, _cells_hash(cols(spec.columns), spec.schema))})
+    number = c(spec.sum_column).cast("double") if spec.sum_column else F.lit(None).cast("double")
+    parts = [F.coalesce(F.sum(F.shiftrightunsigned(_HASH, k).bitwiseAND(F.lit(0xFFFF))), F.lit(0)).alias(f"hash {k}") for k in _HASH_PARTS]
+    sums = [F.count(F.lit(1)).alias("rows"), F.count(_HASH).alias("n"), *parts]
+    sums += [F.coalesce(F.sum(without_nan(number)), F.lit(0.0)).alias("total"), F.count_if(F.isnan(number)).alias("nans")]
+    return rows, [*sums, *[F.count(c(k)).alias(f"filled {k}") for k in spec.key_columns]]
+
+
+def observed_report(spark: SparkSession, source: dict, output: DataFrame, spec: DatasetSpec, keep_one_in: int = 1) -> DataFrame | None:
+    """The conversion's report from sums observed of the source, in one pass over the output; None if rows differ."""
+    rows, sums = with_row_hash(output, spec, keep_one_in)
+    there = rows.agg(*sums)
+    found = there.first().asDict()
+    hashed = ["n", *(f"hash {k}" for k in _HASH_PARTS)]
+    if any(source[k] != found[k] for k in hashed):
+        return None
+    one = [spark.createDataFrame([tuple(x[n] for n in there.columns)], there.schema) for x in (source, found)]
+    same = report(spark.range(1).select(F.lit(0).alias("none")), [zero("rows lost", "none"), zero("rows gained", "none")])
+    return totals_of_sums(*one, spec).unionByName(same)
+
+
 def totals_of_sums(source: DataFrame, output: DataFrame, spec: DatasetSpec) -> DataFrame:
     """Row count and checksums of both sides from their ``conversion_sums``."""
     names = ["rows", "total", "nans", *[f"filled {k}" for k in spec.key_columns]]

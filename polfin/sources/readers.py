@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 from polfin.functions.columns import c, cols
 from polfin.functions.scalars import blank_to_null
 from polfin.operators.predicates import Predicate, named_cycles, requested_cycles, where_all
+from polfin.sources import pieces
 from polfin.sources.specs import TERMS_SCHEMA, DatasetSpec
 
 
@@ -44,16 +45,32 @@ def _csv_reader(spark: SparkSession, spec: DatasetSpec, multi_line: bool | None
     )
 
 
-def read_csv_text(spark: SparkSession, path: str, spec: DatasetSpec, multi_line: bool | None = None) -> DataFrame:
-    """Raw CSV with every column as text, in the order of the file.
+def splits(spark: SparkSession, path: str) -> bool:
+    """Whether the files of a path can be read piece by piece."""
+    return not any(f.endswith(pieces.COMPRESSED) for f in spark.read.text(path).inputFiles())
+
+
+def read_csv_text(
+    spark: SparkSession, path: str, spec: DatasetSpec, multi_line: bool | None = None, parallel: bool | None = None
+) -> DataFrame:
+    """Raw CSV with every column as text, in the order of the columns of the file.
 
     Only the header line is read here. A record with too few or too many fields
     fails the job that reads it. A plain file known to hold no line breaks inside
-    fields is split over tasks with ``multi_line=False``.
+    fields is split over tasks with ``multi_line=False``; other plain files are cut into
+    records piece by piece (``pieces``) unless ``parallel`` is False. Compressed files are
+    parsed by one task each.
     """
     reader = _csv_reader(spark, spec, multi_line)
     names = reader.csv(path).columns
     check_columns(names, spec)
+    lines_may_break = spec.multi_line if multi_line is None else multi_line
+    if lines_may_break and (parallel or (parallel is None and splits(spark, path))):
+        record = F.col("record").cast("string") if spec.encoding == "UTF-8" else F.decode("record", spec.encoding)
+        schema = ", ".join(f"`{n}` STRING" for n in names)
+        options = {"mode": "FAILFAST", "quote": '"', "escape": '"', "multiLine": "true"}
+        # A generator is kept however few columns are used, so that every record is parsed.
+        return pieces.records(spark, path).select(F.inline(F.array(F.from_csv(record, schema, options))))
     text = T.StructType([T.StructField(n, T.StringType()) for n in names])
     return reader.schema(text).options(mode="FAILFAST", enforceSchema=False).csv(path)
 
@@ -114,19 +131,14 @@ def raw_record_count(spark: SparkSession, path: str) -> int:
     """Records of CSV files counted from their lines and quotes alone, apart from the CSV parser.
 
     Each piece of a file is counted for both cases, that it starts outside or inside a
-    quoted field; the pieces, a row each, are then put in order. Headers do not count.
+    quoted field; which one holds follows from the quotes of the pieces before. Headers do
+    not count. One row comes to the driver.
     """
-    lines = spark.read.text(path).select(
-        "value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start")
-    )
     schema = "file string, start long, outside long, inside long, flips long"
-    total, file, open_quote = 0, None, 0
-    for r in lines.mapInArrow(_count_records, schema).orderBy("file", "start").collect():
-        if r["file"] != file:
-            file, open_quote, total = r["file"], 0, total - 1
-        total += r["inside"] if open_quote else r["outside"]
-        open_quote ^= r["flips"]
-    return total
+    counted = pieces.raw_lines(spark, path, separator=None).mapInArrow(_count_records, schema)
+    n = F.sum(F.when(F.col("open"), F.col("inside")).otherwise(F.col("outside")))
+    one = pieces.opened_before(counted).agg(n.alias("n"), F.count_distinct("file").alias("files")).first()
+    return (one["n"] or 0) - one["files"]
 
 
 def read_terms(spark: SparkSession, *paths: str, multi_line: bool = True) -> DataFrame:

@@ -20,8 +20,7 @@ class DatasetSpec:
     null_markers: tuple[str, ...]
     blank_words: tuple[str, ...]
     encoding: str = "UTF-8"
-    # Records may span lines only where free text occurs; such files, like gzip
-    # files, are read by one task each.
+    # Records may span lines only where free text occurs.
     multi_line: bool = True
 
     @property
