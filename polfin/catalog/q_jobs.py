@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -13,8 +15,8 @@ from polfin.catalog.stored import contributions_root, shifted_root
 from polfin.operators.predicates import AmountBetween, CycleIn, federal_races
 from polfin.plans import analytics, dimensions, marts, pipelines
 from polfin.session import new_work_path
-from polfin.sources import readers, sinks
-from polfin.streaming import incremental
+from polfin.sources import readers, sinks, snapshots
+from polfin.streaming import deltas, incremental
 
 _GIVEN = "\"contributor.type\" <> 'I'"
 
@@ -42,7 +44,7 @@ def _(spark, sf):
     )
     result = None
     for kind in built:
-        rows = spark.read.parquet(f"{out}/{kind}").groupBy("cycle").agg(
+        rows = readers.read_cycles(spark, f"{out}/{kind}").groupBy("cycle").agg(
             F.count("*").alias("rows"), F.count("bioguide_id").alias("linked")
         )
         rows = rows.select(F.lit(kind).alias("mart"), F.col("cycle").cast("int").alias("cycle"), "rows", "linked")
@@ -205,7 +207,7 @@ def _(spark, sf):
     out, state = new_work_path(spark, "refresh-out"), new_work_path(spark, "refresh-state")
     stream = incremental.stream_parquet(spark, root, spark.read.parquet(root).schema)
     incremental.refresh_aggregates(spark, stream, root, out, state).awaitTermination()
-    rows = select(spark.read.parquet(out), "cycle", "bonica.rid", "total_amount", "contribution_count")
+    rows = select(readers.read_cycles(spark, out), "cycle", "bonica.rid", "total_amount", "contribution_count")
     return rounded(rows, "total_amount")
 
 
@@ -224,3 +226,86 @@ def _(spark, sf):
     rows = marts.aggregates_of_sums(sinks.read_sums(spark, out))
     names = ["cycle", "bonica.rid", "total_amount", "avg_amount", "contribution_count", "organizational_count"]
     return rounded(select(rows, *names), "total_amount", "avg_amount")
+
+
+@query(
+    "k10_snapshot_read",
+    f"""SELECT 'before' AS reader, cycle, COUNT(*) AS rows FROM contributions WHERE {_GIVEN} GROUP BY cycle
+        UNION ALL SELECT 'after', cycle, COUNT(*) FROM contributions WHERE {_GIVEN} AND (cycle <> 1998 OR amount >= 20000) GROUP BY cycle
+        UNION ALL SELECT 'version 1', cycle, COUNT(*) FROM contributions WHERE {_GIVEN} GROUP BY cycle""",
+)
+def _(spark, sf):
+    root, source, out = contributions_root(spark, sf), new_work_path(spark, "trimmed"), new_work_path(spark, "versions")
+    pipelines.build_mart(spark, "organizational", root, out)
+    before = readers.read_cycles(spark, out)  # opened now, used after the next version is out
+    rows = spark.read.parquet(root)
+    snapshots.publish(spark, rows.where("cycle = 1998 AND amount >= 20000"), source, [1998], sinks.write_cycles)
+    pipelines.build_mart(spark, "organizational", source, out, [1998])
+    readers_of = {
+        "before": before,
+        "after": readers.read_cycles(spark, out),
+        "version 1": snapshots.read(spark, snapshots.snapshot(spark, out, 1)),
+    }
+    counts = [pipelines.rows_per_cycle(df).select(F.lit(name).alias("reader"), "cycle", "rows") for name, df in readers_of.items()]
+    return counts[0].unionByName(counts[1]).unionByName(counts[2])
+
+
+@query(
+    "k10_concurrent_publish",
+    f"""SELECT cycle, COUNT(*) AS rows, 2 AS versions FROM contributions WHERE {_GIVEN} AND cycle IN (1994, 1996, 1998) GROUP BY cycle""",
+)
+def _(spark, sf):
+    root, out = contributions_root(spark, sf), new_work_path(spark, "contended")
+    # Both start from an empty dataset; the one that comes second takes the next version.
+    with ThreadPoolExecutor(2) as pool:
+        jobs = [pool.submit(pipelines.build_mart, spark, "organizational", root, out, part) for part in ([1994, 1996], [1998])]
+        for job in jobs:
+            job.result()
+    counts = pipelines.rows_per_cycle(readers.read_cycles(spark, out))
+    return counts.withColumn("versions", F.lit(len(snapshots.versions(spark, out))))
+
+
+_REPLACED = """SELECT cycle, "bonica.rid", "recipient.name", "recipient.party", "recipient.type", "recipient.state", "contributor.type", amount
+               FROM contributions WHERE cycle <> 2000 AND (cycle <> 1998 OR amount < 30000)
+               UNION ALL SELECT 1998, "bonica.rid", "recipient.name", "recipient.party", "recipient.type", "recipient.state", "contributor.type", amount + 0.25
+               FROM contributions WHERE cycle = 1998 AND amount < 10000"""
+
+
+@query(
+    "x01_replace_file",
+    f"""SELECT cycle, "bonica.rid", {money_sql("SUM(amount)")} AS total_amount, COUNT(*) AS contribution_count,
+          {money_sql("COALESCE(SUM(amount) FILTER (WHERE " + _GIVEN + "), 0)")} AS organizational_total,
+          COUNT(*) FILTER (WHERE {_GIVEN}) AS organizational_count
+        FROM ({_REPLACED}) GROUP BY ALL""",
+)
+def _(spark, sf):
+    source, out = new_work_path(spark, "versioned"), new_work_path(spark, "weighted")
+    rows = spark.read.parquet(contributions_root(spark, sf))
+    cycles = readers.existing_cycles(spark, contributions_root(spark, sf))
+    snapshots.publish(spark, rows, source, cycles, sinks.write_cycles)
+    deltas.refresh_recipient_sums(spark, source, out)
+    # One cycle is replaced, one is withdrawn; taken in twice, which changes nothing.
+    one = rows.where("cycle = 1998")
+    kept = one.where("amount < 30000").unionByName(one.where("amount < 10000").withColumn("amount", F.col("amount") + 0.25))
+    snapshots.publish(spark, kept, source, [1998, 2000], sinks.write_cycles)
+    for _again in range(2):
+        deltas.refresh_recipient_sums(spark, source, out)
+    names = ["cycle", "bonica.rid", "total_amount", "contribution_count", "organizational_total", "organizational_count"]
+    return rounded(select(deltas.recipient_aggregates(spark, out), *names), "total_amount", "organizational_total")
+
+
+@query(
+    "k13_delete_rows",
+    f"""SELECT politician_id, industry, COUNT(*) AS contribution_count, SUM(amount) AS total_amount,
+          {money_sql("AVG(amount)")} AS avg_amount, COUNT(DISTINCT donor_id) AS donor_count
+        FROM (SELECT *, recipient_id AS politician_id FROM gifts WHERE amount < 30000 OR election_cycle < 1996) GROUP BY politician_id, industry""",
+)
+def _(spark, sf):
+    root = new_work_path(spark, "weighted-summary")
+    gifts = load(spark, sf, "gifts")
+    steps = [gifts.withColumn(deltas.WEIGHT, F.lit(1)), gifts.where("amount >= 30000 AND election_cycle >= 1996").withColumn(deltas.WEIGHT, F.lit(-1))]
+    for batch, changes in enumerate(steps):
+        for _again in range(2):  # a repeated batch changes nothing
+            deltas.change_summary(spark, root, changes, batch)
+    kept = deltas.changed_summary(spark, root).withColumn("avg_amount", F.col("avg_amount").cast("double"))
+    return rounded(kept, "avg_amount").withColumn("total_amount", F.col("total_amount").cast("decimal(24,2)"))

@@ -285,7 +285,7 @@ def _(spark, sf):
         spark, "organizational", root, out, range(1980, 2026, 2), skip_existing=True, validate=False
     )
     outcome = F.when(F.col("cycle").isin(*second.skipped), "skipped").otherwise("written")
-    counts = pipelines.rows_per_cycle(spark.read.parquet(out))
+    counts = pipelines.rows_per_cycle(readers.read_cycles(spark, out))
     return counts.select("cycle", outcome.alias("outcome"), "rows")
 
 

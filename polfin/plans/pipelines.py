@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 import warnings
 from collections.abc import Callable, Iterable, Mapping, Sequence
 from dataclasses import dataclass, field
@@ -15,8 +14,7 @@ from polfin.operators.limits import limit_by_cycle, rows_by_cycle
 from polfin.operators.linking import link_table
 from polfin.operators.predicates import Predicate, valid_cycles, where_all
 from polfin.plans import dimensions, marts, quality
-from polfin.session import new_work_path
-from polfin.sources import readers, sinks
+from polfin.sources import readers, sinks, snapshots
 from polfin.sources.sinks import stored_copy
 from polfin.sources.specs import DEFAULT_CONTRIBUTION_COLUMNS, DatasetSpec
 
@@ -262,25 +260,27 @@ def build_mart(
 ) -> MartResult:
     """One mart for many cycles, all of the source by default, in one job.
 
-    Cycles are staged below the output folder, out of sight of readers, and checked
-    there; only then do they take the place of the old ones. So a cycle that is there has
-    passed, ``skip_existing`` can go by that, and a run that failed is simply repeated. A
-    cycle whose result is empty loses its old rows. Cycles without source data are
-    reported, not fatal.
+    Cycles are written where no version of the output shows them and checked there; only
+    then does one commit put them in the place of the old ones (``snapshots``). So a cycle
+    that is there has passed, ``skip_existing`` can go by that, a reader keeps the version
+    it opened, and a run that failed is simply repeated. Jobs for different cycles may run
+    at once; of two for the same cycle the later fails. A cycle whose result is empty
+    loses its old rows. Cycles without source data are reported, not fatal.
     """
+    base = snapshots.snapshot(spark, output_root)
     present, missing = _cycles_to_build(spark, contributions_root, cycles)
-    done = readers.existing_cycles(spark, output_root) if skip_existing else []
+    done = base.cycles if skip_existing else {}
     todo = [x for x in present if x not in done]
     skipped = [x for x in present if x in done]
     if not todo:
         return MartResult(kind, [], skipped, missing)
-    source = spark.read.parquet(contributions_root).where(F.col("cycle").isin(*todo))
+    source = readers.all_cycles(spark, contributions_root).where(F.col("cycle").isin(*todo))
     own_links = None
     if legislators is not None and links is None:
         own_links = links = stored_copy(link_table(recipients, legislators, mode), "links")
     out = mart(kind, source, recipients, legislators, mode, links)
-    staging = f"{output_root}/_staging-{uuid.uuid4().hex}"
-    report, notes = None, []
+    batch, staging = snapshots.new_batch(output_root)
+    report, notes, published = None, [], False
     try:
         if kind == "recipient_aggregates":
             largest_first = [F.col("cycle"), F.col("total_amount").desc_nulls_last()]
@@ -293,9 +293,11 @@ def build_mart(
             stored = spark.read.schema(out.schema).parquet(staging).where(F.col("cycle").isin(*todo))
             report = quality.raise_for_status(mart_report(kind, source, stored, mode, sample))
             notes = quality.warnings_of(report)
-        sinks.publish_cycles(spark, staging, output_root, todo)
+        snapshots.commit(spark, base, batch, snapshots.stored_schema(out.schema), todo)
+        published = True
     finally:
-        sinks.remove(spark, staging)
+        if not published:
+            sinks.remove(spark, staging)
         if own_links is not None:
             sinks.drop_copy(own_links)
     return MartResult(kind, todo, skipped, missing, report, notes)
@@ -384,7 +386,7 @@ def load_subset(
     and not on disk are reported.
     """
     present, missing = readers.cycles_to_load(predicates, readers.existing_cycles(spark, root))
-    rows = subset(spark.read.parquet(root), predicates, columns, limit, present)
+    rows = subset(readers.all_cycles(spark, root), predicates, columns, limit, present)
     out = sinks.counted(rows)
     sink(out.df)
     return LoadResult(out.rows, present, missing)

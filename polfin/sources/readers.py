@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 from polfin.functions.columns import c, cols
 from polfin.functions.scalars import blank_to_null
 from polfin.operators.predicates import Predicate, named_cycles, requested_cycles, where_all
-from polfin.sources import pieces
+from polfin.sources import pieces, snapshots
 from polfin.sources.specs import TERMS_SCHEMA, DatasetSpec
 
 
@@ -156,22 +156,23 @@ def read_parquet(spark: SparkSession, path: str, columns: Sequence[str] | None =
 
 
 def read_cycles(spark: SparkSession, root: str, predicates: Iterable[Predicate] = ()) -> DataFrame:
-    """Rows of a cycle-partitioned dataset that satisfy every predicate.
+    """Rows of a cycle-partitioned dataset, in its last version, that satisfy every predicate.
 
     A predicate on the cycle prunes partitions, the others reach the scan.
     """
-    return where_all(spark.read.parquet(root), predicates)
+    return where_all(all_cycles(spark, root), predicates)
+
+
+def all_cycles(spark: SparkSession, root: str) -> DataFrame:
+    """A cycle-partitioned dataset, whether it keeps versions or not."""
+    if snapshots.versions(spark, root):
+        return snapshots.read(spark, snapshots.snapshot(spark, root))
+    return spark.read.parquet(root)
 
 
 def existing_cycles(spark: SparkSession, root: str) -> list[int]:
-    """Cycles present as partition folders, from the file system alone."""
-    jvm = spark._jvm
-    path = jvm.org.apache.hadoop.fs.Path(root)
-    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
-    if not fs.exists(path):
-        return []
-    names = [s.getPath().getName() for s in fs.listStatus(path) if s.isDirectory()]
-    return sorted(int(n.split("=")[1]) for n in names if n.startswith("cycle=") and n[6:].isdigit())
+    """Cycles of the last version, or present as partition folders, from the file system alone."""
+    return sorted(snapshots.snapshot(spark, root).cycles)
 
 
 def split_by_presence(wanted: Sequence[int], present: Sequence[int]) -> tuple[list[int], list[int]]:
@@ -183,7 +184,7 @@ def query_cycles(
     spark: SparkSession, root: str, sql: str, cycles: Sequence[int] | None = None, view: str = "contributions"
 ) -> DataFrame:
     """Run SQL over the chosen cycles of a dataset, or all that it has, seen as one view."""
-    rows = spark.read.parquet(root)
+    rows = all_cycles(spark, root)
     if cycles is not None:
         rows = rows.where(F.col("cycle").isin(*cycles))
     rows.createOrReplaceTempView(view)

@@ -26,9 +26,10 @@ def _zstd(writer):
     return writer.option("compression", "zstd").option("parquet.compression.codec.zstd.level", str(ZSTD_LEVEL))
 
 
-def write_parquet(df: DataFrame, path: str) -> None:
+def write_parquet(df: DataFrame, path: str, partition_by: str | None = None) -> None:
     """Replace a dataset with zstd-compressed Parquet."""
-    _zstd(df.write.mode("overwrite")).parquet(path)
+    writer = _zstd(df.write.mode("overwrite"))
+    (writer.partitionBy(partition_by) if partition_by else writer).parquet(path)
 
 
 def write_cycles(
@@ -56,21 +57,6 @@ def write_cycles(
         remove(df.sparkSession, f"{root}/cycle={y}")
 
 
-def publish_cycles(spark: SparkSession, staging: str, root: str, cycles: Sequence[int]) -> None:
-    """Put staged cycle folders in the place of those of a dataset on the same file system.
-
-    A cycle that is not staged is empty and goes. A run that breaks off here leaves
-    whole cycles, old, new or absent, and is repeated.
-    """
-    path = spark._jvm.org.apache.hadoop.fs.Path
-    fs = path(root).getFileSystem(spark._jsc.hadoopConfiguration())
-    for y in cycles:
-        new, old = path(f"{staging}/cycle={y}"), path(f"{root}/cycle={y}")
-        fs.delete(old, True)
-        if fs.exists(new) and not fs.rename(new, old):
-            raise OSError(f"cannot move {new} to {old}")
-
-
 def write_clustered(df: DataFrame, root: str, by: Sequence[str] = READ_PATH_COLUMNS) -> None:
     """Cycle-partitioned layout in which equal leading keys lie together.
 

@@ -15,6 +15,8 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming.query import StreamingQuery
 
 from polfin.plans import marts
+from polfin.sources import snapshots
+from polfin.sources.readers import all_cycles
 from polfin.sources.sinks import ZSTD_LEVEL, merge_sums, write_cycles
 
 
@@ -65,15 +67,15 @@ def refresh_aggregates(
     """Rebuild the aggregates of every cycle that new rows belong to.
 
     A batch only tells which cycles changed; each of them is recomputed from the
-    stored source and replaced as a whole. Repeating a batch gives the same
-    result.
+    stored source and replaced as a whole, all at once for readers. Repeating a batch
+    gives the same result.
     """
 
     def rebuild(batch: DataFrame, _: int) -> None:
         touched = [r["cycle"] for r in batch.select("cycle").distinct().collect()]
         if touched:
-            rows = spark.read.parquet(source_root).where(F.col("cycle").isin(*touched))
-            write_cycles(build(rows), output, cycles=touched)
+            rows = all_cycles(spark, source_root).where(F.col("cycle").isin(*touched))
+            snapshots.publish(spark, build(rows), output, touched, write_cycles)
 
     return (
         stream.writeStream.foreachBatch(rebuild)

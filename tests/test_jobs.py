@@ -25,7 +25,7 @@ def root(facts, tmp_path):
 
 
 def counts(spark, path):
-    return {r["cycle"]: r["rows"] for r in pipelines.rows_per_cycle(spark.read.parquet(path)).collect()}
+    return {r["cycle"]: r["rows"] for r in pipelines.rows_per_cycle(readers.read_cycles(spark, path)).collect()}
 
 
 def test_layout_and_info(spark, root):
@@ -88,10 +88,10 @@ def test_marts_for_all_cycles(spark, root, tmp_path):
 def test_resume_skips_stored_cycles(spark, root, tmp_path):
     out = str(tmp_path / "resumed")
     pipelines.build_mart(spark, "organizational", root, out, [2020])
-    before = spark.read.parquet(out).inputFiles()
+    before = readers.read_cycles(spark, out).inputFiles()
     second = pipelines.build_mart(spark, "organizational", root, out, [2020, 2022], skip_existing=True)
     assert (second.written, second.skipped) == ([2022], [2020])
-    assert set(before) <= set(spark.read.parquet(out).inputFiles())
+    assert set(before) <= set(readers.read_cycles(spark, out).inputFiles())
     third = pipelines.build_mart(spark, "organizational", root, out, [2020, 2022], skip_existing=True)
     assert (third.written, third.skipped) == ([], [2020, 2022])
     # Without the option a second run replaces, and changes nothing.
@@ -147,7 +147,7 @@ def test_failed_cycle_is_built_again(spark, root, tmp_path, monkeypatch):
     assert readers.existing_cycles(spark, out) == []
     again = pipelines.build_mart(spark, "organizational", root, out, [2020], skip_existing=True)
     assert (again.written, again.skipped) == ([2020], []) and counts(spark, out) == {2020: 3}
-    assert [p.name for p in (tmp_path / "failing").iterdir() if p.name.startswith("_staging")] == []
+    assert len([p for p in (tmp_path / "failing" / "_data").iterdir() if not p.name.startswith(".")]) == 1
 
 
 def test_emptied_cycle_is_gone(spark, facts, tmp_path):
@@ -158,8 +158,8 @@ def test_emptied_cycle_is_gone(spark, facts, tmp_path):
     sinks.write_cycles(facts.where("cycle = 2020").withColumn("contributor.type", F.lit("I")), source)
     pipelines.build_mart(spark, "organizational", source, out)
     assert counts(spark, out) == {2022: 3}
-    sinks.write_cycles(facts.where("cycle = 2022 AND amount < 0"), out, cycles=[2022])
-    assert readers.existing_cycles(spark, out) == []
+    sinks.write_cycles(facts.where("cycle = 2020 AND amount < 0"), source, cycles=[2020, 2022])
+    assert readers.existing_cycles(spark, source) == []
 
 
 def test_linked_mart_with_double_pairs_passes(spark, root, tmp_path):
@@ -241,7 +241,7 @@ def test_refreshed_aggregates(spark, root, facts, tmp_path):
     def run():
         stream = incremental.stream_parquet(spark, root, schema)
         incremental.refresh_aggregates(spark, stream, root, out, state).awaitTermination()
-        rows = spark.read.parquet(out).groupBy("cycle").agg(F.sum("total_amount").alias("t")).collect()
+        rows = readers.read_cycles(spark, out).groupBy("cycle").agg(F.sum("total_amount").alias("t")).collect()
         return {r["cycle"]: r["t"] for r in rows}
 
     assert run() == {2020: 4640.0, 2022: 9280.0}
