@@ -15,12 +15,17 @@ Beside the templates, items are looked for word for word, whatever their case: o
 stands whole has leaked, however short or full of numbers it is, and so has one of which
 ``RUN`` words in a row stand, whatever their share of the item.
 
-Only DataFrame functions are used. Of a document all windows are hashed where it is
-read; only those that the benchmark has go on.
+Texts are cut into plain words once. Every window that is looked for names an anchor, two
+literal words that stand side by side in it (or one, if no two do): a text without any
+anchor has none of the windows, so templates are made of the others only.
+
+Only DataFrame functions are used. Of such a document all windows are hashed where it
+is read; only those that the benchmark has go on.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -36,6 +41,8 @@ MIN_ITEM = 5
 COVERAGE_PERCENT = 50
 # So many words in a row, word for word, are a leak of the item.
 RUN = 13
+# Documents are removed for items of so many words at least; shorter ones, such as "yes", are reported by ``leaks`` only.
+MIN_REMOVED = 5
 
 # Units that may follow a number.
 UNITS = (
@@ -48,7 +55,7 @@ NUMBER_WORDS = "two three four five six seven eight nine ten eleven twelve twent
 
 _OPEN, _CLOSE, _SPLIT = "\x01", "\x02", "\x03"
 _NUMBER = r"(?<![\p{L}\d])\d+(?:[.,:/]\d+)*(?![\p{L}\d])"
-_NUMBER_WORD = r"(?i)\b(?:" + "|".join(NUMBER_WORDS) + r")\b"
+_NUMBER_WORD = r"(?i)(?<![\p{L}\p{M}\d])(?:" + "|".join(NUMBER_WORDS) + r")(?![\p{L}\p{M}\d])"
 # A capital in the middle of a sentence, up to the end of the word.
 _NAME = r"\p{Lu}(?<=[\p{Ll}\d,\x02] .)[\p{L}\p{M}]*"
 # Any capital at the start of a word; the first word of a sentence may be a name.
@@ -94,8 +101,51 @@ def _window_hashes(words: Column, size: int) -> Column:
     return F.when(F.size(words) >= size, F.transform(F.sequence(F.lit(0), F.size(words) - size), hashed)).otherwise(none)
 
 
+def _anchor(window: Column, literal: Callable[[Column], Column]) -> Column:
+    """Hash of the longest two literal words side by side in a window, else of the longest literal word, else NULL."""
+    named = lambda x: F.coalesce(literal(x), F.lit(False))
+    pair = lambda x, i: F.when(
+        named(x) & named(F.get(window, i + 1)),
+        F.struct((F.length(x) + F.length(F.get(window, i + 1))).alias("n"), F.xxhash64(x, F.get(window, i + 1)).alias("h")),
+    )
+    one = lambda x: F.when(named(x), F.struct(F.length(x).alias("n"), F.xxhash64(x).alias("h")))
+    best = lambda found: F.array_max(F.array_compact(found))["h"]
+    return F.coalesce(best(F.transform(window, pair)), best(F.transform(window, one)))
+
+
+def _literal(word: Column) -> Column:
+    """Words of a template that are words of the text as they stand: letters only, since digits may part from letters."""
+    return word.rlike(r"^[\p{L}\p{M}]+$")
+
+
+def _has_pair(window: Column, literal: Callable[[Column], Column]) -> Column:
+    side_by_side = F.transform(window, lambda x, i: literal(x) & F.coalesce(literal(F.get(window, i + 1)), F.lit(False)))
+    return F.exists(side_by_side, lambda x: x)
+
+
+def _suspects(docs: DataFrame, windows: Sequence[DataFrame]) -> DataFrame:
+    """(doc_id, text) of the documents that have an anchor of ``windows``; all if some window has none."""
+    anchors = reduce(DataFrame.unionByName, [w.select("anchor") for w in windows]).distinct()
+    anchors = stored(anchors, "benchmark-anchors")
+    if anchors.where("anchor IS NULL").limit(1).count():
+        return docs.select("doc_id", "text")
+    keyed = docs.select("doc_id", text_key(F.col("text")).alias("text_key"), plain_words(F.col("text")).alias("words"))
+    w = F.col("words")
+    both = F.transform(w, lambda x, i: F.xxhash64(x, F.get(w, i + 1)))
+    # Single words are looked up only where some window has no two literal words side by side.
+    single = reduce(DataFrame.unionByName, [x.select("alone") for x in windows]).where("alone").limit(1).count() > 0
+    hashes = F.concat(both, F.transform(w, lambda x: F.xxhash64(x))) if single else both
+    met = keyed.select("doc_id", "text_key", F.explode(hashes).alias("anchor")).join(anchors, "anchor", "left_semi")
+    who = stored(met.select(F.col("doc_id").alias("_doc"), F.col("text_key").alias("_key")).distinct(), "suspects")
+    texts = docs.select("doc_id", "text")
+    return stored(
+        texts.join(who, texts["doc_id"].eqNullSafe(who["_doc"]) & (text_key(texts["text"]) == who["_key"]), "left_semi"),
+        "suspect-texts",
+    )
+
+
 def item_windows(benchmark: DataFrame, name: str = _NAME) -> DataFrame:
-    """(item_id, n_words, size, at, hash, slots) of every window that may be looked for.
+    """(item_id, n_words, size, at, hash, slots, anchor, alone) of every window that may be looked for.
 
     An item shorter than ``WINDOW`` is one window of its own size. ``slots`` are the
     places of placeholders, counted from the start of the item. The first window comes
@@ -112,8 +162,8 @@ def item_windows(benchmark: DataFrame, name: str = _NAME) -> DataFrame:
         every = F.posexplode(_window_hashes(F.col("words"), s)).alias("at", "hash")
         first = F.get(_window_hashes(F.col("inside"), s), F.lit(0)).alias("hash")
         of_inside = of_size.where(~_is_slot(F.get("words", F.lit(0)))).withColumn("inside", inside)
-        parts.append(of_size.select("item_id", "n_words", "words", every).withColumn("size", F.lit(s)))
-        parts.append(of_inside.select("item_id", "n_words", "words", F.lit(0).alias("at"), first).withColumn("size", F.lit(s)))
+        parts.append(of_size.select("item_id", "n_words", "words", F.lit(0).alias("skip"), every).withColumn("size", F.lit(s)))
+        parts.append(of_inside.select("item_id", "n_words", "words", F.lit(1).alias("skip"), F.lit(0).alias("at"), first).withColumn("size", F.lit(s)))
     window = F.slice("words", F.col("at") + 1, F.col("size"))
     places = F.filter(F.transform(window, lambda w, i: F.when(_is_slot(w), i + F.col("at"))), lambda x: x.isNotNull())
     # Windows of short items need fewer literal words, in proportion.
@@ -121,7 +171,10 @@ def item_windows(benchmark: DataFrame, name: str = _NAME) -> DataFrame:
         reduce(DataFrame.unionByName, parts)
         .withColumn("slots", places)
         .where((F.col("size") - F.size("slots")) * WINDOW >= MIN_LITERAL * F.col("size"))
-        .drop("words")
+        .withColumn("looked", F.slice("words", F.col("at") + F.col("skip") + 1, F.col("size") - F.col("skip")))
+        .withColumn("anchor", _anchor(F.col("looked"), _literal))
+        .withColumn("alone", ~_has_pair(F.col("looked"), _literal))
+        .drop("words", "looked", "skip")
     )
 
 
@@ -145,20 +198,28 @@ def plain_words(text: Column) -> Column:
     return F.regexp_extract_all(F.lower(F.coalesce(text, F.lit(""))), F.lit(_WORD), 0)
 
 
-def verbatim(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """(doc_id, text_key, item_id, n_words, n_covered): items of which ``RUN`` words in a row, or all of fewer, stand in documents.
-
-    Words are those of ``plain_words``; ``n_covered`` counts the item's words in such runs.
-    """
+def verbatim_windows(benchmark: DataFrame) -> DataFrame:
+    """(item_id, n_words, size, at, hash, anchor, alone) of every run that is looked for word for word."""
     items = benchmark.select("item_id", plain_words(F.col("text")).alias("words")).withColumn("n_words", F.size("words")).distinct()
     size = F.least(F.col("n_words"), F.lit(RUN))
     parts = [
         items.where(size == s).select(
-            "item_id", "n_words", F.lit(s).alias("size"), F.posexplode(_window_hashes(F.col("words"), s)).alias("at", "hash")
+            "item_id", "n_words", "words", F.lit(s).alias("size"), F.posexplode(_window_hashes(F.col("words"), s)).alias("at", "hash")
         )
         for s in range(1, RUN + 1)
     ]
-    windows = stored(reduce(DataFrame.unionByName, parts), "verbatim-windows")
+    every = reduce(DataFrame.unionByName, parts).withColumn("looked", F.slice("words", F.col("at") + 1, F.col("size")))
+    any_word = lambda x: x.isNotNull()
+    marked = every.withColumn("anchor", _anchor(F.col("looked"), any_word)).withColumn("alone", ~_has_pair(F.col("looked"), any_word))
+    return marked.drop("words", "looked")
+
+
+def verbatim(docs: DataFrame, windows: DataFrame) -> DataFrame:
+    """(doc_id, text_key, item_id, n_words, n_covered): items of which ``RUN`` words in a row, or all of fewer, stand in documents.
+
+    ``windows`` are stored ``verbatim_windows``. Words are those of ``plain_words``;
+    ``n_covered`` counts the item's words in such runs.
+    """
     sizes = [r.size for r in windows.select("size").distinct().collect()] or [RUN]  # from 1 to 13
     keyed = docs.select("doc_id", text_key(F.col("text")).alias("text_key"), plain_words(F.col("text")).alias("words"))
     hashes = F.array_distinct(F.concat(*[_window_hashes(F.col("words"), s) for s in sizes]))
@@ -186,11 +247,14 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     empty texts match nothing; repeated rows, of documents or of the benchmark, give one
     row. Further columns are ignored.
     """
-    in_sentences = stored(template_leaks(docs, benchmark), "leaks-templates")
-    any_names = stored(template_leaks(docs, benchmark, _ANY_NAME), "leaks-names")
+    forms = {name: stored(item_windows(benchmark, name), "benchmark-windows") for name in (_NAME, _ANY_NAME)}
+    runs = stored(verbatim_windows(benchmark), "verbatim-windows")
+    docs = _suspects(docs, [*forms.values(), runs])
+    in_sentences = stored(template_leaks(docs, benchmark, _NAME, forms[_NAME]), "leaks-templates")
+    any_names = stored(template_leaks(docs, benchmark, _ANY_NAME, forms[_ANY_NAME]), "leaks-names")
     by_templates = _added(in_sentences, any_names)
     none = F.lit(0).cast("long")
-    by_words = verbatim(docs, benchmark).select(
+    by_words = verbatim(docs, runs).select(
         "doc_id",
         "text_key",
         "item_id",
@@ -202,9 +266,9 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     return _added(by_templates, stored(by_words, "leaks-verbatim"))
 
 
-def template_leaks(docs: DataFrame, benchmark: DataFrame, name: str = _NAME) -> DataFrame:
+def template_leaks(docs: DataFrame, benchmark: DataFrame, name: str = _NAME, windows: DataFrame | None = None) -> DataFrame:
     """The rows of ``leaks`` for items that are covered by template windows, with names as ``name`` finds them."""
-    windows = stored(item_windows(benchmark, name), "benchmark-windows")
+    windows = windows or stored(item_windows(benchmark, name), "benchmark-windows")
     sizes = [r.size for r in windows.select("size").distinct().collect()]  # from 5 to 8
     wanted = stored(windows.select("hash").distinct(), "benchmark-hashes")
     if not sizes:
@@ -286,9 +350,13 @@ def _slot_values(lined_up: DataFrame, docs: DataFrame, benchmark: DataFrame, nam
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """``docs`` without the rows in which an item of ``benchmark`` was found."""
+    """``docs`` without the rows in which an item of ``MIN_REMOVED`` words or more was found.
+
+    All columns stay as they are, whatever their names; rows with NULL or empty texts
+    and repeated rows stay. A document goes by its id and text together.
+    """
     key, doc, tk = fresh(docs.columns, "_key", "_doc", "_tk")
-    found = leaks(docs, benchmark).select(F.col("doc_id").alias(doc), F.col("text_key").alias(tk)).distinct()
+    found = leaks(docs, benchmark).where(F.col("n_words") >= MIN_REMOVED).select(F.col("doc_id").alias(doc), F.col("text_key").alias(tk)).distinct()
     found = stored(found, "leaked")
     keyed = docs.withColumn(key, text_key(F.col("text")))
     return keyed.join(found, keyed["doc_id"].eqNullSafe(found[doc]) & (keyed[key] == found[tk]), "left_anti").drop(key)
