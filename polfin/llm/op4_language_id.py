@@ -30,6 +30,8 @@ from polfin.llm.common import stored, text_batches
 TRAIN_SEQUENCES = 4000
 RUN = 64
 ROUNDS = 30
+# Training runs whose features are looked at together.
+FIT_AT_ONCE = 250
 LEARNING_RATE = 0.5
 DECAY = 1e-6
 # Words in the lexicon: the most frequent of the training runs.
@@ -163,35 +165,46 @@ class Model:
 
 
 def fit(texts: Sequence[str], langs: Sequence[str], rounds: int = ROUNDS) -> Model:
-    """Maximises the likelihood of the labels by full gradients with per-weight step sizes."""
+    """Maximises the likelihood of the labels by full gradients with per-weight step sizes.
+
+    The gradient is summed over pieces of ``FIT_AT_ONCE`` texts, which bounds the memory it takes.
+    """
     labels = sorted(set(langs))
-    words = words_of(texts)
-    keys, n = np.unique(words.key, return_counts=True)
+    n_labels = len(labels)
+    pieces = []
+    for at in range(0, len(texts), FIT_AT_ONCE):
+        words = words_of(texts[at : at + FIT_AT_ONCE])
+        if len(words.key):
+            words.grams = words.grams.astype(np.int32)
+            pieces.append((words, np.searchsorted(labels, langs[at : at + FIT_AT_ONCE])[words.text]))
+    keys, n = np.unique(np.concatenate([w.key for w, _ in pieces]) if pieces else np.empty(0, np.uint64), return_counts=True)
     lexicon = np.sort(keys[np.argsort(-n, kind="stable")][:LEXICON])
-    n_labels, size = len(labels), (1 << TABLE_BITS) + len(lexicon) + 1
+    size = (1 << TABLE_BITS) + len(lexicon) + 1
     model = Model(labels, np.zeros((size, n_labels), np.float32), lexicon, np.zeros((n_labels, n_labels)), np.zeros(n_labels))
-    if not len(words.key) or n_labels < 2:
+    if not pieces or n_labels < 2:
         return model
-    rows = model.rows(words)
-    gold = np.searchsorted(labels, langs)[words.text]
-    target = np.eye(n_labels, dtype=np.float32)[gold]
-    run, place = _runs(words.text)
-    stay = np.zeros((n_labels, n_labels))
-    inner = place > 0
-    np.add.at(stay, (gold[np.flatnonzero(inner) - 1], gold[inner]), 1)
-    begin = target[place == 0].sum(axis=0)
-    counts = np.diff(np.append(words.first, len(words.grams)))
+    stay, begin = np.zeros((n_labels, n_labels)), np.zeros(n_labels)
+    for words, gold in pieces:
+        inner = _runs(words.text)[1] > 0
+        np.add.at(stay, (gold[np.flatnonzero(inner) - 1], gold[inner]), 1)
+        begin += np.bincount(gold[~inner], minlength=n_labels)
+    total = sum(len(gold) for _, gold in pieces)
     seen = [np.zeros_like(x) for x in (model.table, model.change, model.start)]
     for _ in range(rounds):
-        p, pairs, first = model.marginals(words, rows)
-        error = (target - p) / len(target)
-        table = np.empty_like(model.table)
-        spread = np.repeat(error, counts, axis=0)
-        for k in range(n_labels):
-            table[:, k] = np.bincount(words.grams, spread[:, k], size) + np.bincount(rows, error[:, k], size)
+        table = np.zeros_like(model.table)
+        pairs, first = np.zeros((n_labels, n_labels)), np.zeros(n_labels)
+        for words, gold in pieces:
+            rows = model.rows(words)
+            p, their_pairs, their_first = model.marginals(words, rows)
+            pairs += their_pairs
+            first += their_first
+            counts = np.diff(np.append(words.first, len(words.grams)))
+            for k in range(n_labels):
+                error = ((gold == k) - p[:, k]) / total
+                table[:, k] += np.bincount(words.grams, np.repeat(error, counts), size) + np.bincount(rows, error, size)
         table -= DECAY * model.table
         table[-1] = 0  # words that are not in the lexicon
-        steps = (table, (stay - pairs) / len(target), (begin - first) / len(target))
+        steps = (table, (stay - pairs) / total, (begin - first) / total)
         for weights, step, sums in zip((model.table, model.change, model.start), steps, seen):
             sums += step * step
             weights += (LEARNING_RATE * step / (np.sqrt(sums) + 1e-8)).astype(weights.dtype)
