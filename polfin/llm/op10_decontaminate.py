@@ -15,9 +15,10 @@ Beside the templates, items are looked for word for word, whatever their case: o
 stands whole has leaked, however short or full of numbers it is, and so has one of which
 ``RUN`` words in a row stand, whatever their share of the item.
 
-Texts are cut into plain words once. Every window that is looked for names an anchor, two
-literal words that stand side by side in it (or one, if no two do): a text without any
-anchor has none of the windows, so templates are made of the others only.
+Templates are dear, so texts are cut into plain words first. Every window that is looked
+for has an anchor: of its literal words, and of the pairs of such side by side, the one
+that is rarest in all documents. A text without any anchor has none of the windows, so
+templates are made of the others only.
 
 Only DataFrame functions are used. Of such a document all windows are hashed where it
 is read; only those that the benchmark has go on.
@@ -43,6 +44,8 @@ COVERAGE_PERCENT = 50
 RUN = 13
 # Documents are removed for items of so many words at least; shorter ones, such as "yes", are reported by ``leaks`` only.
 MIN_REMOVED = 5
+# Up to so many anchors are looked up within the row; more are joined, with the same result.
+LITERAL_ANCHORS = 20_000
 
 # Units that may follow a number.
 UNITS = (
@@ -101,16 +104,12 @@ def _window_hashes(words: Column, size: int) -> Column:
     return F.when(F.size(words) >= size, F.transform(F.sequence(F.lit(0), F.size(words) - size), hashed)).otherwise(none)
 
 
-def _anchor(window: Column, literal: Callable[[Column], Column]) -> Column:
-    """Hash of the longest two literal words side by side in a window, else of the longest literal word, else NULL."""
+def _anchors(window: Column, literal: Callable[[Column], Column]) -> Column:
+    """Hashes of every two literal words side by side in a window, and of every literal word."""
     named = lambda x: F.coalesce(literal(x), F.lit(False))
-    pair = lambda x, i: F.when(
-        named(x) & named(F.get(window, i + 1)),
-        F.struct((F.length(x) + F.length(F.get(window, i + 1))).alias("n"), F.xxhash64(x, F.get(window, i + 1)).alias("h")),
-    )
-    one = lambda x: F.when(named(x), F.struct(F.length(x).alias("n"), F.xxhash64(x).alias("h")))
-    best = lambda found: F.array_max(F.array_compact(found))["h"]
-    return F.coalesce(best(F.transform(window, pair)), best(F.transform(window, one)))
+    pair = lambda x, i: F.when(named(x) & named(F.get(window, i + 1)), F.xxhash64(x, F.get(window, i + 1)))
+    one = lambda x: F.when(named(x), F.xxhash64(F.lit(1), x))
+    return F.array_compact(F.concat(F.transform(window, pair), F.transform(window, one)))
 
 
 def _literal(word: Column) -> Column:
@@ -118,24 +117,35 @@ def _literal(word: Column) -> Column:
     return word.rlike(r"^[\p{L}\p{M}]+$")
 
 
-def _has_pair(window: Column, literal: Callable[[Column], Column]) -> Column:
-    side_by_side = F.transform(window, lambda x, i: literal(x) & F.coalesce(literal(F.get(window, i + 1)), F.lit(False)))
-    return F.exists(side_by_side, lambda x: x)
+def _text_anchors(text: Column) -> Column:
+    """Hashes of all neighbours and of all words of a text."""
+    w = plain_words(text)
+    return F.concat(F.transform(w, lambda x, i: F.xxhash64(x, F.get(w, i + 1))), F.transform(w, lambda x: F.xxhash64(F.lit(1), x)))
 
 
 def _suspects(docs: DataFrame, windows: Sequence[DataFrame]) -> DataFrame:
-    """(doc_id, text) of the documents that have an anchor of ``windows``; all if some window has none."""
-    anchors = reduce(DataFrame.unionByName, [w.select("anchor") for w in windows]).distinct()
-    anchors = stored(anchors, "benchmark-anchors")
-    if anchors.where("anchor IS NULL").limit(1).count():
+    """(doc_id, text) of the documents that have an anchor of ``windows``; all if some window has none.
+
+    The anchor of a window is that of its pairs and words which is rarest in the documents,
+    counted in all of them.
+    """
+    named = reduce(DataFrame.unionByName, [w.select(F.array_sort("anchors").alias("anchors")) for w in windows]).distinct()
+    named = stored(named, "benchmark-anchors")
+    if named.where(F.size("anchors") == 0).limit(1).count():
         return docs.select("doc_id", "text")
-    keyed = docs.select("doc_id", text_key(F.col("text")).alias("text_key"), plain_words(F.col("text")).alias("words"))
-    w = F.col("words")
-    both = F.transform(w, lambda x, i: F.xxhash64(x, F.get(w, i + 1)))
-    # Single words are looked up only where some window has no two literal words side by side.
-    single = reduce(DataFrame.unionByName, [x.select("alone") for x in windows]).where("alone").limit(1).count() > 0
-    hashes = F.concat(both, F.transform(w, lambda x: F.xxhash64(x))) if single else both
-    met = keyed.select("doc_id", "text_key", F.explode(hashes).alias("anchor")).join(anchors, "anchor", "left_semi")
+    wanted = stored(named.select(F.explode("anchors").alias("anchor")).distinct(), "benchmark-anchor-hashes")
+    every = docs.select(F.explode(_text_anchors(F.col("text"))).alias("anchor")).join(wanted, "anchor", "left_semi")
+    often = stored(every.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")), "benchmark-anchor-counts")
+    counted = named.select("anchors", F.explode("anchors").alias("anchor")).join(often, "anchor", "left")
+    rarest = counted.groupBy("anchors").agg(F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), F.col("anchor"))).alias("best"))
+    # A window whose rarest part stands nowhere stands nowhere itself.
+    chosen = stored(rarest.where("best.n > 0").select("best.anchor").distinct(), "benchmark-rarest")
+    if chosen.count() <= LITERAL_ANCHORS:
+        near = [r["anchor"] for r in chosen.collect()]
+        known = F.exists(_text_anchors(F.col("text")), lambda h: h.isin(near)) if near else F.lit(False)
+        return stored(docs.select("doc_id", "text").where(known), "suspect-texts")
+    keyed = docs.select("doc_id", text_key(F.col("text")).alias("text_key"), F.explode(_text_anchors(F.col("text"))).alias("anchor"))
+    met = keyed.join(chosen, "anchor", "left_semi")
     who = stored(met.select(F.col("doc_id").alias("_doc"), F.col("text_key").alias("_key")).distinct(), "suspects")
     texts = docs.select("doc_id", "text")
     return stored(
@@ -145,7 +155,7 @@ def _suspects(docs: DataFrame, windows: Sequence[DataFrame]) -> DataFrame:
 
 
 def item_windows(benchmark: DataFrame, name: str = _NAME) -> DataFrame:
-    """(item_id, n_words, size, at, hash, slots, anchor, alone) of every window that may be looked for.
+    """(item_id, n_words, size, at, hash, slots, anchors) of every window that may be looked for.
 
     An item shorter than ``WINDOW`` is one window of its own size. ``slots`` are the
     places of placeholders, counted from the start of the item. The first window comes
@@ -172,8 +182,7 @@ def item_windows(benchmark: DataFrame, name: str = _NAME) -> DataFrame:
         .withColumn("slots", places)
         .where((F.col("size") - F.size("slots")) * WINDOW >= MIN_LITERAL * F.col("size"))
         .withColumn("looked", F.slice("words", F.col("at") + F.col("skip") + 1, F.col("size") - F.col("skip")))
-        .withColumn("anchor", _anchor(F.col("looked"), _literal))
-        .withColumn("alone", ~_has_pair(F.col("looked"), _literal))
+        .withColumn("anchors", _anchors(F.col("looked"), _literal))
         .drop("words", "looked", "skip")
     )
 
@@ -199,7 +208,7 @@ def plain_words(text: Column) -> Column:
 
 
 def verbatim_windows(benchmark: DataFrame) -> DataFrame:
-    """(item_id, n_words, size, at, hash, anchor, alone) of every run that is looked for word for word."""
+    """(item_id, n_words, size, at, hash, anchors) of every run that is looked for word for word."""
     items = benchmark.select("item_id", plain_words(F.col("text")).alias("words")).withColumn("n_words", F.size("words")).distinct()
     size = F.least(F.col("n_words"), F.lit(RUN))
     parts = [
@@ -209,9 +218,7 @@ def verbatim_windows(benchmark: DataFrame) -> DataFrame:
         for s in range(1, RUN + 1)
     ]
     every = reduce(DataFrame.unionByName, parts).withColumn("looked", F.slice("words", F.col("at") + 1, F.col("size")))
-    any_word = lambda x: x.isNotNull()
-    marked = every.withColumn("anchor", _anchor(F.col("looked"), any_word)).withColumn("alone", ~_has_pair(F.col("looked"), any_word))
-    return marked.drop("words", "looked")
+    return every.withColumn("anchors", _anchors(F.col("looked"), lambda x: x.isNotNull())).drop("words", "looked")
 
 
 def verbatim(docs: DataFrame, windows: DataFrame) -> DataFrame:

@@ -51,6 +51,8 @@ def test_runs_and_anchors_against_brute_force(spark, monkeypatch):
         rows.append((i, text, "en", "s", 1))
     bench, docs = spark.createDataFrame(items, ITEMS), frame(spark, rows)
     got = sorted(map(tuple, op10.leaks(docs, bench).collect()))
+    monkeypatch.setattr(op10, "LITERAL_ANCHORS", 3)
+    assert got == sorted(map(tuple, op10.leaks(docs, bench).collect()))
     runs = {(r.doc_id, r.item_id, r.n_covered) for r in op10.verbatim(docs, op10.verbatim_windows(bench)).collect()}
     want = set()
     for d, text, *_ in rows:
