@@ -119,8 +119,12 @@ def _literal(word: Column) -> Column:
 
 def _text_anchors(text: Column) -> Column:
     """Hashes of all neighbours and of all words of a text."""
-    w = plain_words(text)
-    return F.concat(F.transform(w, lambda x, i: F.xxhash64(x, F.get(w, i + 1))), F.transform(w, lambda x: F.xxhash64(F.lit(1), x)))
+
+    def hashed(w: Column) -> Column:
+        return F.concat(F.transform(w, lambda x, i: F.xxhash64(x, F.get(w, i + 1))), F.transform(w, lambda x: F.xxhash64(F.lit(1), x)))
+
+    # The words are bound by a transform around them, or they would be cut anew for each word.
+    return F.get(F.transform(F.array(plain_words(text)), hashed), F.lit(0))
 
 
 def _suspects(docs: DataFrame, windows: Sequence[DataFrame]) -> DataFrame:
