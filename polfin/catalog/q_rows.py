@@ -15,7 +15,7 @@ from polfin.functions import congress as congresses
 from polfin.functions import scalars
 from polfin.functions.columns import asc, c, desc
 from polfin.operators import predicates as p
-from polfin.operators.limits import limit_by_cycle, sample_keys, sample_rows, top_k
+from polfin.operators.limits import first_rows, limit_by_cycle, sample_keys, sample_rows, top_k
 from polfin.operators.linking import fec_lookup
 from polfin.operators.sets import difference, key_counts, union_tagged
 from polfin.plans import dimensions, marts
@@ -178,7 +178,7 @@ _CAPPED = """
 def _(spark, sf):
     rows = select(spark.read.parquet(contributions_root(spark, sf)), "cycle", "transaction.id", "amount")
     limit = rows.count() * 2 // 5
-    return limit_by_cycle(rows, limit, p.ALL_CYCLES).groupBy("cycle").agg(F.count("*").alias("rows"))
+    return limit_by_cycle(rows, limit, p.ALL_CYCLES, positions=True).groupBy("cycle").agg(F.count("*").alias("rows"))
 
 
 @query(
@@ -193,26 +193,66 @@ def _(spark, sf):
 
 
 @query(
-    "o07_row_sample",
-    "SELECT least(100, COUNT(*)) AS drawn, least(100, COUNT(*)) AS found FROM orders",
+    "o04_first_rows",
+    """SELECT o_orderkey, half FROM (
+         (SELECT o_orderkey, FALSE AS half FROM orders LIMIT 100)
+         UNION ALL (SELECT o_orderkey, TRUE FROM orders LIMIT (SELECT COUNT(*) // 2 FROM orders)))""",
 )
 def _(spark, sf):
+    """Which rows come out of a small and of a large cap on a file: those that stand first."""
     orders = table(spark, sf, "orders").select("o_orderkey")
-    drawn = sample_rows(orders, 100, seed=7)
-    back = drawn.join(orders.withColumn("known", F.lit(1)), "o_orderkey", "left")
-    return back.agg(F.count_distinct("o_orderkey").alias("drawn"), F.count("known").alias("found"))
+    caps = {False: 100, True: orders.count() // 2}
+    small, large = (first_rows(orders, n, positions=True).withColumn("half", F.lit(k)) for k, n in caps.items())
+    return small.unionByName(large)
 
 
 @query(
-    "o08_key_sample",
-    'SELECT least(25, COUNT(DISTINCT "bonica.rid")) AS drawn, drawn AS found FROM contributions',
+    "o04_same_rows",
+    """SELECT least(50, COUNT(*)) AS small, COUNT(*) // 3 AS large, small AS small_again, large AS large_again
+       FROM lineitem""",
 )
 def _(spark, sf):
+    """A cap by content, of rows as read and dealt anew: the same rows, with their copies."""
+    rows = table(spark, sf, "lineitem").select("l_suppkey", "l_quantity", "l_returnflag")
+    anew = rows.repartition(5, "l_quantity")
+    out = None
+    for name, n in (("small", 50), ("large", rows.count() // 3)):
+        counts = key_counts(first_rows(rows, n), first_rows(anew, n), rows.columns)
+        both = counts.agg(F.sum("in_left").alias(name), F.sum(F.least("in_left", "in_right")).alias(f"{name}_again"))
+        out = both if out is None else out.crossJoin(both)  # one row each
+    return out
+
+
+_SAMPLES = """SELECT least(100, COUNT(*)) AS small, COUNT(*) // 2 AS large, small AS small_found, large AS large_found,
+                     small AS small_again, large AS large_again FROM """
+
+
+@query("o07_row_sample", _SAMPLES + "orders")
+def _(spark, sf):
+    """Rows drawn, how many of them are different rows of the table, and how many a second run draws too."""
+    orders = table(spark, sf, "orders").select("o_orderkey")
+    return _sampled(orders, "o_orderkey", lambda df, n: sample_rows(df, n, seed=7, positions=True), orders)
+
+
+@query("o08_key_sample", _SAMPLES + """(SELECT DISTINCT "bonica.rid" FROM contributions WHERE "bonica.rid" IS NOT NULL)""")
+def _(spark, sf):
+    """Keys drawn, as for rows; the second run draws from rows dealt anew."""
     rows = load(spark, sf, "contributions", ["bonica.rid"])
-    drawn = sample_keys(rows, ["bonica.rid"], 25, seed=7)
-    known = rows.distinct().withColumn("known", F.lit(1))
-    back = drawn.join(known, ["bonica.rid"], "left")
-    return back.agg(F.count("*").alias("drawn"), F.count("known").alias("found"))
+    return _sampled(rows, "bonica.rid", lambda df, n: sample_keys(df, ["bonica.rid"], n, seed=7), rows.repartition(5))
+
+
+def _sampled(rows, key, draw, anew):
+    known = rows.where(c(key).isNotNull()).distinct()
+    large, out = known.count() // 2, None
+    for name, n in (("small", 100), ("large", large)):
+        first = draw(rows, n).withColumn("drawn", F.lit(1))
+        second = draw(anew, n).withColumn("again", F.lit(1))
+        met = known.join(first, [key], "left").join(second, [key], "left")
+        counts = met.agg(
+            F.count("drawn").alias(f"{name}_found"), F.sum(F.col("drawn") * F.col("again")).alias(f"{name}_again")
+        ).crossJoin(first.agg(F.count("*").alias(name)))  # one row each
+        out = counts if out is None else out.crossJoin(counts)
+    return out
 
 
 # ---------------------------------------------------------------- set operations

@@ -1,19 +1,29 @@
-"""Row caps, top-k and samples that never gather their rows in one task."""
+"""Row caps, top-k and samples that never gather their rows in one task.
+
+A cap or sample is the rows that come first in some order: of positions in files, or of
+64-bit draws. The order is never made. Rows are counted in the cells of a first level, then
+in those of the one cell in which the cut falls, and so on; what lies before the cut is
+kept by a filter where it stands, and only rows of the last cell are put in order. That
+holds for any number of rows, so the same rows come out whatever their number is.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_, or_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from polfin.functions.columns import c, cols
 from polfin.operators.sets import all_present
-from polfin.sources.sinks import stored_copy
 
-BUCKET_ROWS = 100_000
-# Buckets summed together when the one with the cut is looked for.
-BUCKET_GROUP = 4096
+# Bits of a level: at most 65,536 counts reach the driver, whatever the rows.
+LEVEL_BITS = 16
+# Copies of one row that a task writes out.
+COPIES_AT_ONCE = 100_000
+_FILE, _ROW, _DRAW = "__file", "__row", "__draw"
 
 
 def top_k(df: DataFrame, order: Sequence[Column], k: int) -> DataFrame:
@@ -21,55 +31,91 @@ def top_k(df: DataFrame, order: Sequence[Column], k: int) -> DataFrame:
     return df.orderBy(*order).limit(k)
 
 
-def _bucket_of_cut(sizes: DataFrame, n: int) -> tuple[int, int]:
-    """The bucket in which the n-th row falls, and the rows before it.
+def with_positions(df: DataFrame) -> DataFrame:
+    """Rows with the file and the place in it that they were read from.
 
-    Buckets are summed in groups first, so neither step orders more than a small
-    part of them in one task.
+    For frames of Parquet files with filters and projections on them; another operation
+    may leave no position, or repeat one.
     """
-    def cut(rows: DataFrame, key: str, n: int) -> tuple[int, int]:
-        upto = F.sum("n").over(Window.orderBy(key))
-        row = rows.withColumn("upto", upto).where(F.col("upto") >= n).orderBy(key).first()
-        return row[key], row["upto"] - row["n"]
+    return df.select("*", F.col("_metadata.file_path").alias(_FILE), F.col("_metadata.row_index").alias(_ROW))
+
+
+def _position_levels() -> list[Column]:
+    """Files by groups of a hash, so that no level has more cells than the driver can hold, then rows of a file."""
+    group = F.pmod(F.xxhash64(_FILE), F.lit(1 << LEVEL_BITS))
+    return [group, F.col(_FILE), F.shiftright(_ROW, LEVEL_BITS), F.col(_ROW)]
 
-    of_group = sizes.withColumn("group", F.expr(f"bucket div {BUCKET_GROUP}"))
-    group, before = cut(of_group.groupBy("group").agg(F.sum("n").alias("n")), "group", n)
-    bucket, within = cut(of_group.where(F.col("group") == group).select("bucket", "n"), "bucket", n - before)
-    return bucket, before + within
 
+def _draw_levels() -> list[Column]:
+    return [F.shiftright(_DRAW, 64 - LEVEL_BITS), F.shiftright(_DRAW, 64 - 2 * LEVEL_BITS)]
 
-def _first_rows(df: DataFrame, n: int, total: int) -> DataFrame:
-    """Exactly ``n`` of ``total`` rows; beyond ``BUCKET_ROWS`` the same ones on every run.
 
-    A small cap takes rows where they are found first. For a large one rows are laid out
-    over hash buckets of about ``BUCKET_ROWS`` rows. Whole buckets are kept by a filter;
-    only the bucket in which the cap falls is sorted. Equal rows travel through it as one
-    row with a count, so that a row repeated millions of times stays one row until it is
-    written out again.
+def _find_cut(df: DataFrame, levels: Sequence[Column], n: int) -> tuple[list, int, int] | None:
+    """The cell of every level in which the n-th row falls, the rows before the last of them and the rows in it.
+
+    None if there are no more than ``n`` rows.
     """
-    if n <= BUCKET_ROWS:
-        return df.limit(n)
-    buckets = max(1, total // BUCKET_ROWS)
-    names = df.columns
-    bucket = F.pmod(F.xxhash64(*cols(names)), F.lit(buckets))
-    sizes = stored_copy(df.groupBy(bucket.alias("bucket")).agg(F.count("*").alias("n")), "bucket-sizes")
-    cut, before_cut = _bucket_of_cut(sizes, n)
-    whole = df.where(bucket < cut)
-    room = n - before_cut
-
-    copies = df.where(bucket == cut).groupBy(*cols(names)).agg(F.count("*").alias("__n"))
+    cells, before, held = [], 0, 0
+    for level in levels:
+        inside = df.where(reduce(and_, (a == F.lit(v) for a, v in zip(levels, cells)), F.lit(True)))
+        counts = sorted(inside.groupBy(level.alias("cell")).agg(F.count("*").alias("n")).collect())
+        if not cells and sum(r["n"] for r in counts) <= n:
+            return None
+        for cell, held in counts:
+            if before + held >= n:
+                break
+            before += held
+        cells.append(cell)
+    return cells, before, held
+
+
+def _some_of(df: DataFrame, names: Sequence[str], n: int) -> DataFrame:
+    """Exactly ``n`` of the rows by the order of all columns. Equal rows travel as one row with a count,
+    so a row repeated millions of times stays one row until it is written out again."""
+    copies = df.groupBy(*cols(names)).agg(F.count("*").alias("__n"))
     before = Window.orderBy(*cols(names)).rowsBetween(Window.unboundedPreceding, -1)
-    taken = F.least(F.col("__n"), F.lit(room) - F.coalesce(F.sum("__n").over(before), F.lit(0)))
-    chosen = copies.withColumn("__take", taken).where("__take > 0")
-    block = F.explode(F.expr(f"sequence(0L, (__take - 1) div {BUCKET_ROWS})"))
-    size = F.least(F.lit(BUCKET_ROWS), F.col("__take") - F.col("__block") * BUCKET_ROWS)
-    partial = (
-        chosen.withColumn("__block", block)
+    taken = F.least(F.col("__n"), F.lit(n) - F.coalesce(F.sum("__n").over(before), F.lit(0)))
+    block = F.explode(F.expr(f"sequence(0L, (__take - 1) div {COPIES_AT_ONCE})"))
+    size = F.least(F.lit(COPIES_AT_ONCE), F.col("__take") - F.col("__block") * COPIES_AT_ONCE)
+    return (
+        copies.withColumn("__take", taken)
+        .where("__take > 0")
+        .withColumn("__block", block)
         .repartition(F.col("__block"))
         .withColumn("__copy", F.explode(F.sequence(F.lit(1), size.cast("int"))))
         .select(*cols(names))
     )
-    return whole.unionByName(partial)
+
+
+def _first_rows(df: DataFrame, levels: Sequence[Column], names: Sequence[str], n: int) -> DataFrame:
+    """Exactly the ``n`` first rows in the order of the levels, then of all columns; fewer if there are no more."""
+    if n <= 0:
+        return df.where(F.lit(False)).select(*cols(names))
+    cut = _find_cut(df, levels, n)
+    if cut is None:
+        return df.select(*cols(names))
+    cells, before, held = cut
+    takes_cell = before + held == n
+    same = [a == F.lit(v) for a, v in zip(levels, cells)]
+    less = [a < F.lit(v) for a, v in zip(levels, cells)]
+    at_cut = reduce(and_, same)
+    first = reduce(or_, [reduce(and_, same[:i], less[i]) for i in range(len(cells))])
+    # Stated alone, so that whole files are passed over: the levels below do not speak of files only.
+    # A CASE, since of two disjunctions the optimizer would take out what they share.
+    coarse = F.when(same[0], levels[1] <= F.lit(cells[1])).otherwise(less[0])
+    whole = df.where(coarse).where(first | at_cut if takes_cell else first).select(*cols(names))
+    return whole if takes_cell else whole.unionByName(_some_of(df.where(at_cut), names, n - before))
+
+
+def first_rows(df: DataFrame, n: int, positions: bool = False) -> DataFrame:
+    """``n`` rows, the same on every run and for every partitioning.
+
+    With ``positions`` (see ``with_positions``) rows are taken file by file, and files
+    beyond the cut are not read; otherwise by a hash of the whole row.
+    """
+    if positions:
+        return _first_rows(with_positions(df), _position_levels(), df.columns, n)
+    return _first_rows(df.withColumn(_DRAW, F.xxhash64(*cols(df.columns))), _draw_levels(), df.columns, n)
 
 
 def rows_by_cycle(df: DataFrame) -> dict[int, int]:
@@ -78,11 +124,13 @@ def rows_by_cycle(df: DataFrame) -> dict[int, int]:
     return {r["cycle"]: r["n"] for r in sorted(counts)}
 
 
-def limit_by_cycle(df: DataFrame, limit: int | None, cycles: Sequence[int] | None = None) -> DataFrame:
+def limit_by_cycle(
+    df: DataFrame, limit: int | None, cycles: Sequence[int] | None = None, positions: bool = False
+) -> DataFrame:
     """At most ``limit`` rows, used up cycle by cycle in the given order, or from the earliest on.
 
     One job counts the cycles. Whole cycles are kept by a filter on the cycle; only
-    the one in which the cap falls needs a choice.
+    the one in which the cap falls needs a choice, which is that of ``first_rows``.
     """
     if limit is None:
         return df if cycles is None else df.where(F.col("cycle").isin(*cycles))
@@ -94,7 +142,7 @@ def limit_by_cycle(df: DataFrame, limit: int | None, cycles: Sequence[int] | Non
             break
         n = counts[cycle]
         if n > left:
-            partial = _first_rows(df.where(F.col("cycle") == cycle), left, n)
+            partial = first_rows(df.where(F.col("cycle") == cycle), left, positions)
             break
         complete.append(cycle)
         left -= n
@@ -102,26 +150,24 @@ def limit_by_cycle(df: DataFrame, limit: int | None, cycles: Sequence[int] | Non
     return result if partial is None else result.unionByName(partial)
 
 
-def _drawn(df: DataFrame, draw: Column, n: int, order: Sequence[Column]) -> DataFrame:
-    """About, or for small ``n`` exactly, ``n`` rows with the smallest draws (uniform 64-bit numbers).
+def sample_rows(df: DataFrame, n: int, seed: int = 0, positions: bool = False) -> DataFrame:
+    """``n`` rows chosen by the seed, so re-runs agree; all if there are no more.
 
-    Up to ``BUCKET_ROWS`` rows are a top-k. More are taken by a threshold on the draw,
-    where the rows stand.
+    With ``positions`` (see ``with_positions``) every row is drawn by its place in its file.
+    Otherwise draws are hashes of the row, which equal rows share: they are chosen
+    together, but for those with which the sample ends.
     """
-    drawn = df.withColumn("__draw", draw)
-    if n <= BUCKET_ROWS:
-        return drawn.orderBy("__draw", *order).limit(n).drop("__draw")
-    total = df.count()
-    threshold = min(2**63 - 1, -(2**63) + n * 2**64 // max(1, total))
-    return drawn.where(F.col("__draw") <= threshold).drop("__draw")
-
-
-def sample_rows(df: DataFrame, n: int, seed: int = 0) -> DataFrame:
-    """``n`` rows chosen uniformly; of more than ``BUCKET_ROWS``, about ``n``."""
-    return _drawn(df, F.xxhash64(F.rand(seed)), n, [])
+    if positions:
+        drawn = with_positions(df).withColumn(_DRAW, F.xxhash64(F.lit(seed), _FILE, _ROW))
+    else:
+        drawn = df.withColumn(_DRAW, F.xxhash64(F.lit(seed), *cols(df.columns)))
+    return _first_rows(drawn, _draw_levels(), df.columns, n)
 
 
 def sample_keys(df: DataFrame, keys: Sequence[str], n: int, seed: int = 0) -> DataFrame:
-    """``n`` distinct keys chosen by the seed, so re-runs agree; of more than ``BUCKET_ROWS``, about ``n``."""
+    """``n`` distinct keys chosen by the seed, so re-runs agree; all if there are no more.
+
+    The distinct keys are computed for each of the three passes; store them first where that is dear.
+    """
     distinct = df.select(*cols(keys)).where(all_present(keys)).distinct()
-    return _drawn(distinct, F.xxhash64(F.lit(seed), *cols(keys)), n, [c(k) for k in keys])
+    return _first_rows(distinct.withColumn(_DRAW, F.xxhash64(F.lit(seed), *cols(keys))), _draw_levels(), keys, n)

@@ -356,10 +356,12 @@ def subset(
     columns: Sequence[str] | None = None,
     limit: int | None = None,
     cycles: Sequence[int] | None = None,
+    positions: bool = False,
 ) -> DataFrame:
     """Filtered, projected and capped contributions; the cap fills in cycle order.
 
     Without ``cycles`` all cycles count that the rows have and the predicates leave.
+    ``positions`` is for rows as read from Parquet: a cap then takes them file by file.
     """
     rows = where_all(contributions, predicates)
     if cycles is not None:
@@ -368,7 +370,7 @@ def subset(
     if limit is None:
         return rows.select(*cols(names))
     kept = rows.select(*cols(dict.fromkeys(["cycle", *names])))
-    return limit_by_cycle(kept, limit, cycles).select(*cols(names))
+    return limit_by_cycle(kept, limit, cycles, positions).select(*cols(names))
 
 
 def load_subset(
@@ -386,7 +388,7 @@ def load_subset(
     and not on disk are reported.
     """
     present, missing = readers.cycles_to_load(predicates, readers.existing_cycles(spark, root))
-    rows = subset(readers.all_cycles(spark, root), predicates, columns, limit, present)
+    rows = subset(readers.all_cycles(spark, root), predicates, columns, limit, present, positions=True)
     out = sinks.counted(rows)
     sink(out.df)
     return LoadResult(out.rows, present, missing)

@@ -96,19 +96,47 @@ def test_limit_fills_cycle_by_cycle(spark, skewed, limit):
     assert out.exceptAll(df).count() == 0
 
 
-def test_limit_of_copies_is_exact_and_repeatable(spark, monkeypatch):
-    monkeypatch.setattr(limits, "BUCKET_ROWS", 100)
+@pytest.mark.parametrize("bits", [2, 16])
+def test_limit_of_copies_is_exact_and_repeatable(spark, monkeypatch, bits):
+    monkeypatch.setattr(limits, "LEVEL_BITS", bits)
+    monkeypatch.setattr(limits, "COPIES_AT_ONCE", 100)
     rows = spark.range(5000).select(
         F.lit(2020).alias("cycle"), F.when(F.col("id") % 2 == 0, 0).otherwise(F.col("id")).alias("v")
     )
-    for limit in (1, 99, 2500, 3333, 4999):
-        out = limits.limit_by_cycle(rows, limit, [2020])
-        assert out.count() == limit
-        assert out.exceptAll(rows).count() == 0
+    for limit in (1, 3333):
+        out = limits.limit_by_cycle(rows, limit, [2020]).cache()
+        assert out.count() == limit and out.exceptAll(rows).count() == 0
         again = limits.limit_by_cycle(rows.repartition(7), limit, [2020])
-        assert again.count() == limit and again.exceptAll(rows).count() == 0
-        if limit > limits.BUCKET_ROWS:  # smaller caps take what comes first
-            assert again.exceptAll(out).count() == 0
+        assert again.count() == limit and again.exceptAll(out).count() == 0
+        out.unpersist()
+
+
+@pytest.mark.parametrize("bits", [2, 16])
+def test_first_rows_of_files(spark, tmp_path, monkeypatch, bits):
+    monkeypatch.setattr(limits, "LEVEL_BITS", bits)
+    path = str(tmp_path / "facts")
+    spark.range(900).select("id", F.lit("same").alias("x.y")).repartition(6).write.parquet(path)
+    rows = spark.read.parquet(path).where("id % 3 < 2")
+    last = set()
+    for n in (0, 1, 99, 350, 600, 601):
+        out = limits.first_rows(rows, n, positions=True)
+        assert out.columns == rows.columns
+        ids = {r["id"] for r in out.collect()}
+        assert len(ids) == min(n, 600) and last <= ids and not any(i % 3 == 2 for i in ids)
+        last = ids
+
+
+def test_files_beyond_the_cut_are_not_read(spark, tmp_path):
+    path = str(tmp_path / "facts")
+    spark.range(800).repartition(8).write.parquet(path)
+    out = limits.first_rows(spark.read.parquet(path), 100, positions=True)
+    assert out.count() == 100
+    plan = out._jdf.queryExecution().executedPlan()
+    assert "Exchange" not in plan.toString()
+    out._jdf.queryExecution().toRdd().count()
+    leaves = plan.collectLeaves()
+    read = [leaves.apply(i).metrics().apply("numFiles").value() for i in range(leaves.size())]
+    assert read and max(read) < 8
 
 
 def test_later_cycles_are_not_read(spark, tmp_path):
@@ -120,25 +148,35 @@ def test_later_cycles_are_not_read(spark, tmp_path):
     assert "2020" in plan and "2022" not in plan.split("PartitionFilters")[1]
 
 
-def test_cut_in_groups_of_buckets(spark, monkeypatch):
-    monkeypatch.setattr(limits, "BUCKET_GROUP", 4)
-    sizes = spark.createDataFrame([(b, b % 5 + 1) for b in range(23)], "bucket bigint, n bigint")
-    upto, total = [], 0
-    for b in range(23):
-        total += b % 5 + 1
-        upto.append(total)
-    for n in range(1, total + 1):
-        cut = next(b for b in range(23) if upto[b] >= n)
-        if n % 7 == 0 or n in upto:
-            assert limits._bucket_of_cut(sizes, n) == (cut, upto[cut] - (cut % 5 + 1))
-
-
-def test_large_samples_need_no_order(spark, monkeypatch):
-    monkeypatch.setattr(limits, "BUCKET_ROWS", 100)
+@pytest.mark.parametrize("bits", [2, 16])
+def test_samples_are_exact_at_every_size(spark, tmp_path, monkeypatch, bits):
+    monkeypatch.setattr(limits, "LEVEL_BITS", bits)
     rows = spark.range(20_000).withColumnRenamed("id", "k")
-    for drawn in (limits.sample_rows(rows, 4000, seed=1), limits.sample_keys(rows, ["k"], 4000, seed=1)):
-        assert "TakeOrdered" not in drawn._jdf.queryExecution().executedPlan().toString()
-        assert 3600 < drawn.count() < 4400 and drawn.distinct().count() == drawn.count()
+    path = str(tmp_path / "rows")
+    rows.write.parquet(path)
+    on_disk = spark.read.parquet(path)
+    for n in (0, 1, 4000, 20_000):
+        for draw in (
+            lambda: limits.sample_rows(rows, n, seed=1),
+            lambda: limits.sample_keys(rows.unionByName(rows), ["k"], n, seed=1),
+            lambda: limits.sample_rows(on_disk, n, seed=1, positions=True),
+        ):
+            drawn = draw()
+            assert "TakeOrdered" not in drawn._jdf.queryExecution().executedPlan().toString()
+            keys = {r["k"] for r in drawn.collect()}
+            assert len(keys) == min(n, 20_000)
+            if n == 4000:
+                assert keys == {r["k"] for r in draw().collect()}
+                # Uniform: the lower half holds about half of the sample.
+                assert 1800 < sum(k < 10_000 for k in keys) < 2200
+
+
+def test_copies_are_drawn_one_by_one_from_files(spark, tmp_path):
+    path = str(tmp_path / "copies")
+    spark.range(10_000).select((F.col("id") % 2).alias("k")).write.parquet(path)
+    out = limits.sample_rows(spark.read.parquet(path), 1000, seed=5, positions=True)
+    found = {r["k"]: r["count"] for r in out.groupBy("k").count().collect()}
+    assert sum(found.values()) == 1000 and 400 < found[0] < 600
 
 
 def test_samples(spark, skewed):
