@@ -228,6 +228,24 @@ def _(spark, sf):
     return rounded(select(rows, *names), "total_amount", "avg_amount")
 
 
+_ONCE = ["cycle", "bonica.rid", "contributor.type", "contributor.state", "amount"]
+
+
+@query("x01_distinct_mart", f"""SELECT DISTINCT {", ".join(f'"{n}"' for n in _ONCE)} FROM contributions WHERE {_GIVEN}""")
+def _(spark, sf):
+    source, out, state = (new_work_path(spark, f"once-{n}") for n in ("source", "out", "state"))
+    rows = spark.read.parquet(contributions_root(spark, sf))
+    early = rows.where("cycle < 2000")
+    # The second run finds the files of the first once more beside new ones, the third the rest.
+    for arriving in (early, early.unionByName(rows.where("cycle BETWEEN 2000 AND 2010")), rows.where("cycle > 2010 OR cycle IS NULL")):
+        arriving.write.mode("append").partitionBy("cycle").parquet(source)
+        stream = incremental.stream_parquet(spark, source, rows.schema)
+        incremental.append_distinct(
+            stream, lambda df: select(marts.organizational(df), *_ONCE), out, state, partitions=4
+        ).awaitTermination()
+    return select(spark.read.parquet(out), *_ONCE)
+
+
 @query(
     "k10_snapshot_read",
     f"""SELECT 'before' AS reader, cycle, COUNT(*) AS rows FROM contributions WHERE {_GIVEN} GROUP BY cycle

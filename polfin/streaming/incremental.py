@@ -7,18 +7,43 @@ reach them.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator, Mapping
+from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.query import StreamingQuery
 
+from polfin.functions.columns import c
 from polfin.plans import marts
 from polfin.sources import snapshots
 from polfin.sources.readers import all_cycles
 from polfin.sources.sinks import ZSTD_LEVEL, merge_sums, write_cycles
 
+# State on the executors' disks, of which only changes are saved with each batch.
+_ROCKSDB = {
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+}
+ROW_KEY = "__row_key"
+
+
+@contextmanager
+def _settings(spark: SparkSession, values: Mapping[str, str]) -> Iterator[None]:
+    """Settings of the session for what is started inside; a stream keeps those it was started with."""
+    before = {k: spark.conf.get(k, None) for k in values}
+    try:
+        for k, v in values.items():
+            spark.conf.set(k, v)
+        yield
+    finally:
+        for k, v in before.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
+
 
 def stream_parquet(spark: SparkSession, root: str, schema: T.StructType, files_at_once: int | None = None) -> DataFrame:
     """New Parquet files below a folder; ``cycle=`` folders become a column."""
@@ -51,6 +76,68 @@ def append_new(
     )
 
 
+def row_key(df: DataFrame) -> Column:
+    """SHA-256 of a row: the same for rows that DISTINCT takes for equal, and for no others known.
+
+    Each value is written with its length, so neighbours cannot be taken for one another; a
+    NULL is unlike any text, 0.0 is like -0.0. Nested columns are refused.
+    """
+
+    def written(field: T.StructField) -> Column:
+        value, kind = c(field.name), field.dataType
+        if isinstance(kind, (T.ArrayType, T.MapType, T.StructType, T.VariantType)):
+            raise ValueError(f"{field.name}: rows with nested columns have no key")
+        if isinstance(kind, (T.DoubleType, T.FloatType)):
+            value = F.when(value == 0, F.lit(0).cast(kind)).otherwise(value)
+        elif isinstance(kind, T.TimestampType):
+            value = F.unix_micros(value)
+        elif isinstance(kind, T.BinaryType):
+            value = F.hex(value)
+        text = value.cast("string")
+        return F.coalesce(F.concat(F.length(text).cast("string"), F.lit(":"), text), F.lit("-"))
+
+    return F.unhex(F.sha2(F.concat(*[written(f) for f in df.schema]).cast("binary"), 256))
+
+
+def append_distinct(
+    stream: DataFrame,
+    transform: Callable[[DataFrame], DataFrame],
+    output: str,
+    checkpoint: str,
+    partitions: int | None = None,
+) -> StreamingQuery:
+    """Transform new rows one by one and add those to a cycle-partitioned dataset that no run has added before.
+
+    The dataset is DISTINCT of all rows so far; neither source nor dataset is read again. A
+    state store on disk holds 32 bytes for each row of the dataset, over ``partitions``
+    parts: all runs keep the number of the first, which should grow with the dataset.
+    """
+    rows = transform(stream)
+    settings = dict(_ROCKSDB)
+    if partitions:
+        settings["spark.sql.shuffle.partitions"] = str(partitions)
+
+    def distinct(df: DataFrame) -> DataFrame:
+        return df.withColumn(ROW_KEY, row_key(df)).dropDuplicates([ROW_KEY]).drop(ROW_KEY)
+
+    with _settings(stream.sparkSession, settings):
+        return append_new(rows, distinct, output, checkpoint)
+
+
+def distinct_detail_stream(
+    stream: DataFrame, links: DataFrame, output: str, checkpoint: str, partitions: int | None = None
+) -> StreamingQuery:
+    """Linked organizational contributions of the new files in ten columns, each row once.
+
+    The link table is that of the run; rows added by earlier runs keep the person they had.
+    """
+
+    def linked(rows: DataFrame) -> DataFrame:
+        return marts.organizational_detail(rows, None, None, distinct=False, links=links)
+
+    return append_distinct(stream, linked, output, checkpoint, partitions)
+
+
 def organizational_stream(stream: DataFrame, output: str, checkpoint: str) -> StreamingQuery:
     """Organizational contributions of the new files."""
     return append_new(stream, marts.organizational, output, checkpoint)

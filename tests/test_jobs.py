@@ -3,6 +3,7 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
+from polfin.operators.linking import link_table
 from polfin.operators.predicates import AmountBetween, CycleBetween, CycleIn, federal_races
 from polfin.plans import marts, pipelines, quality
 from polfin.sources import readers, sinks
@@ -249,3 +250,49 @@ def test_refreshed_aggregates(spark, root, facts, tmp_path):
     amount = more.first()["amount"]
     more.write.mode("append").partitionBy("cycle").parquet(root)
     assert run() == {2020: 4640.0, 2022: 9280.0 + amount}
+
+
+def test_distinct_rows_over_several_runs(spark, tmp_path):
+    source, out, state = (str(tmp_path / n) for n in ("source", "out", "state"))
+    schema = "a string, b string, x double, t timestamp, cycle int"
+    at = "2020-01-01 00:00:00."
+    rows = [
+        ("a", "bc", 0.0, at + "000001", 2020),
+        ("ab", "c", -0.0, at + "000001", 2020),
+        ("ab", "c", 0.0, at + "000001", 2020),  # equal to the row before
+        ("ab", "c", 0.0, at + "000002", 2020),
+        (None, "c", None, None, 2020),
+        ("-", "c", None, None, 2020),
+        ("", "c", float("nan"), None, 2022),
+        ("", "c", float("nan"), None, 2022),
+        ("1:a", "", 1.5, None, 2022),
+    ]
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    everything = None
+    for part in (rows[:3], rows[1:6], [], rows[4:]):
+        df = spark.createDataFrame(part, schema.replace("timestamp", "string")).withColumn("t", F.col("t").cast("timestamp"))
+        everything = df if everything is None else everything.unionByName(df)
+        df.write.mode("append").partitionBy("cycle").parquet(source)
+        stream = incremental.stream_parquet(spark, source, df.schema)
+        incremental.append_distinct(stream, lambda x: x, out, state, partitions=3).awaitTermination()
+    found = spark.read.parquet(out).select(*everything.columns)
+    assert found.count() == everything.distinct().count() == 7
+    assert found.exceptAll(everything.distinct()).count() == 0
+    assert spark.conf.get("spark.sql.shuffle.partitions") == before
+    assert "RocksDB" not in (spark.conf.get("spark.sql.streaming.stateStore.providerClass", None) or "")
+    nested = spark.createDataFrame([([1],)], "x array<int>")
+    with pytest.raises(ValueError, match="nested"):
+        incremental.row_key(nested)
+
+
+def test_linked_detail_over_several_runs(spark, facts, tmp_path):
+    source, out, state = (str(tmp_path / n) for n in ("source", "out", "state"))
+    recipients, people = spark.createDataFrame(*RECIPIENTS), spark.createDataFrame(*PEOPLE)
+    for part in ("cycle = 2020", "true"):  # 2020 arrives twice
+        facts.where(part).write.mode("append").partitionBy("cycle").parquet(source)
+        stream = incremental.stream_parquet(spark, source, facts.schema)
+        incremental.distinct_detail_stream(stream, link_table(recipients, people), out, state, partitions=2).awaitTermination()
+    whole = marts.organizational_detail(facts, recipients, people)
+    found = spark.read.parquet(out).select(*whole.columns)
+    assert found.count() == whole.count() > 0
+    assert found.withColumn("cycle", F.col("cycle").cast("bigint")).exceptAll(whole).count() == 0
