@@ -3,6 +3,7 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
+from polfin.functions.columns import cols
 from polfin.operators.linking import link_table
 from polfin.operators.predicates import AmountBetween, CycleBetween, CycleIn, federal_races
 from polfin.plans import marts, pipelines, quality
@@ -287,12 +288,13 @@ def test_distinct_rows_over_several_runs(spark, tmp_path):
 
 def test_linked_detail_over_several_runs(spark, facts, tmp_path):
     source, out, state = (str(tmp_path / n) for n in ("source", "out", "state"))
-    recipients, people = spark.createDataFrame(*RECIPIENTS), spark.createDataFrame(*PEOPLE)
+    people = spark.createDataFrame(PEOPLE, "bioguide_id string, fec_ids array<string>, last_name string, first_name string")
+    recipients = spark.createDataFrame(RECIPIENTS, "`bonica.rid` string, `recipient.name` string, ICPSR string")
     for part in ("cycle = 2020", "true"):  # 2020 arrives twice
         facts.where(part).write.mode("append").partitionBy("cycle").parquet(source)
         stream = incremental.stream_parquet(spark, source, facts.schema)
         incremental.distinct_detail_stream(stream, link_table(recipients, people), out, state, partitions=2).awaitTermination()
     whole = marts.organizational_detail(facts, recipients, people)
-    found = spark.read.parquet(out).select(*whole.columns)
+    found = spark.read.parquet(out).select(*cols(whole.columns))
     assert found.count() == whole.count() > 0
     assert found.withColumn("cycle", F.col("cycle").cast("bigint")).exceptAll(whole).count() == 0
