@@ -29,9 +29,8 @@ from polfin.llm.components import components
 SEED = 42
 SHINGLE = 4
 MAX_BITS = 4
-# First bit of each segment, and the end.
+# First bit of each segment, and the end: three segments serve distances up to 5 bits.
 SEGMENTS = (0, 21, 42, 64)
-PARTS = MAX_BITS + 1
 BUCKET = 2048
 _SHINGLES_AT_ONCE = 1 << 16
 _FULL = (1 << 64) - 1
@@ -84,21 +83,18 @@ def _variants() -> Column:
     return F.array(*out)
 
 
-def _rest_bits(bit: int) -> list[int]:
-    """Masks that cut the bits outside the segment of ``bit`` into ``PARTS`` parts."""
+def _rest_bits(bit: int, parts: int) -> list[int]:
+    """Masks that cut the bits outside the segment of ``bit`` into ``parts`` parts."""
     low, high = _segment(bit)
     outside = [b for b in range(64) if not low <= b < high]
-    return [sum(1 << b for b in part.tolist()) for part in np.array_split(np.array(outside), PARTS)]
+    return [sum(1 << b for b in part.tolist()) for part in np.array_split(np.array(outside), parts)]
 
 
-_REST = np.array([_rest_bits(b) for b in range(64)], np.uint64)
+def _close(a: np.ndarray, b: np.ndarray, max_bits: int) -> np.ndarray:
+    return np.bitwise_count(a ^ b) <= max_bits
 
 
-def _close(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    return np.bitwise_count(a ^ b) <= MAX_BITS
-
-
-def _forest(fps: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
+def _forest(fps: np.ndarray, max_bits: int) -> list[tuple[np.ndarray, np.ndarray]]:
     """Edges that connect what is connected among distinct ``fps``; one per entry at most.
 
     Grows each component from its smallest entry; entries already reached are not
@@ -109,7 +105,7 @@ def _forest(fps: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
         todo, left = [left[0]], left[1:]
         while todo and len(left):
             at = todo.pop()
-            near = _close(left, at)
+            near = _close(left, at, max_bits)
             if near.any():
                 reached = left[near]
                 edges.append((np.full(len(reached), at), reached))
@@ -118,7 +114,7 @@ def _forest(fps: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
     return edges
 
 
-def _links(limit: int | None):
+def _links(limit: int | None, max_bits: int):
     """(u, v, bucket) from rows (bucket, fp) sorted by both.
 
     Linked fingerprints have a NULL bucket. Of a bucket beyond ``limit`` entries the
@@ -148,14 +144,14 @@ def _links(limit: int | None):
             sizes = np.diff(np.append(new, len(k)))
             us, vs, big = [], [], []
             pairs = new[sizes == 2]
-            linked = pairs[_close(fps[pairs], fps[pairs + 1])]
+            linked = pairs[_close(fps[pairs], fps[pairs + 1], max_bits)]
             us.append(fps[linked])
             vs.append(fps[linked + 1])
             for at, m in zip(new[sizes > 2].tolist(), sizes[sizes > 2].tolist()):
                 if limit and m > limit:
                     big.append(slice(at, at + m))
                     continue
-                for a, b in _forest(fps[at : at + m]):
+                for a, b in _forest(fps[at : at + m], max_bits):
                     us.append(a)
                     vs.append(b)
             u, v = np.concatenate(us).view(np.int64), np.concatenate(vs).view(np.int64)
@@ -171,41 +167,48 @@ def _links(limit: int | None):
     return run
 
 
-def _finer(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _finer(max_bits: int):
     """Rows (bucket, fp) of large buckets, once per part of the bits outside the segment, under finer numbers."""
-    for b in batches:
-        k, f = b.column(0).to_numpy(), b.column(1).to_numpy()
-        masks = _REST[(k & 63).astype(np.int64)]
-        parts = f.view(np.uint64)[:, None] & masks
-        mixed = (k.view(np.uint64)[:, None] * np.uint64(PARTS) + np.arange(PARTS, dtype=np.uint64)) * np.uint64(
-            0x9E3779B97F4A7C15
-        ) ^ (parts * np.uint64(0xC2B2AE3D27D4EB4F))
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(mixed.ravel().view(np.int64)), pa.array(np.repeat(f, PARTS))], names=["bucket", "fp"]
-        )
+    count = max_bits + 1
+    rest = np.array([_rest_bits(b, count) for b in range(64)], np.uint64)
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            k, f = b.column(0).to_numpy(), b.column(1).to_numpy()
+            parts = f.view(np.uint64)[:, None] & rest[(k & 63).astype(np.int64)]
+            mixed = (k.view(np.uint64)[:, None] * np.uint64(count) + np.arange(count, dtype=np.uint64)) * np.uint64(
+                0x9E3779B97F4A7C15
+            ) ^ (parts * np.uint64(0xC2B2AE3D27D4EB4F))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(mixed.ravel().view(np.int64)), pa.array(np.repeat(f, count))], names=["bucket", "fp"]
+            )
+
+    return run
 
 
 _LINK_SCHEMA = "u long, v long, bucket long"
 
 
-def _meet(rows: DataFrame, limit: int | None, label: str) -> DataFrame:
+def _meet(rows: DataFrame, limit: int | None, max_bits: int, label: str) -> DataFrame:
     return stored(
         rows.repartition(partitions(rows.sparkSession), "bucket")
         .sortWithinPartitions("bucket", "fp")
-        .mapInArrow(_links(limit), _LINK_SCHEMA),
+        .mapInArrow(_links(limit, max_bits), _LINK_SCHEMA),
         label,
     )
 
 
-def links(fps: DataFrame) -> DataFrame:
-    """Edges (u, v) among distinct fingerprints ``fp`` that connect all within ``MAX_BITS`` bits.
+def links(fps: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
+    """Edges (u, v) among distinct fingerprints ``fp`` that connect all within ``max_bits`` (at most 5) bits.
 
     Not every pair is listed, but every pair is connected. Mixed numbers of the finer step
     may fall together; that costs comparisons and changes nothing, since all are verified.
     """
-    first = _meet(fps.select(F.explode(_variants()).alias("bucket"), "fp"), BUCKET, "simhash-links")
+    if max_bits >= 2 * (len(SEGMENTS) - 1):
+        raise ValueError(f"{len(SEGMENTS) - 1} segments find at most {2 * len(SEGMENTS) - 3} bits, not {max_bits}")
+    first = _meet(fps.select(F.explode(_variants()).alias("bucket"), "fp"), BUCKET, max_bits, "simhash-links")
     large = first.where("v IS NULL").select("bucket", F.col("u").alias("fp"))
-    fine = _meet(large.mapInArrow(_finer, "bucket long, fp long"), None, "simhash-fine")
+    fine = _meet(large.mapInArrow(_finer(max_bits), "bucket long, fp long"), None, max_bits, "simhash-fine")
     return first.where("v IS NOT NULL").select("u", "v").unionByName(fine.select("u", "v")).distinct()
 
 
