@@ -19,6 +19,7 @@ from polfin.llm import op9_simhash as op9
 from polfin.llm import op10_decontaminate as op10
 from polfin.llm.components import components
 from tests.llm.tables import awkward, frame, with_clashes, words
+from tests.llm.test_near_copies import brute, plain
 
 WORD = re.compile(r"[^ \t\n\x0b\f\r]+")
 
@@ -337,11 +338,12 @@ def test_pipeline_against_its_parts(spark):
     spoken = stages["language"](spark, docs, sf_dir).cache()
     assert spoken.columns == names and spoken.count() >= 0.97 * len(whole)
 
-    prints = {r.doc_id: fingerprint(r.text) for r in spoken.collect()}
-    root = closed(sorted(set(prints.values())))
+    # The stage takes shingles of five words at a similarity of 0.8, not the 4 bits of query op9.
+    spoken_texts = {r.doc_id: plain(r.text) for r in spoken.collect()}
+    root = brute(sorted(set(spoken_texts.values())), only_candidates=True)
     first = {}
-    for d in sorted(prints):
-        first.setdefault(root[prints[d]], d)
+    for d in sorted(spoken_texts):
+        first.setdefault(root[spoken_texts[d]], d)
     single = stages["near_duplicates"](spark, spoken, sf_dir).cache()
     assert single.columns == names and sorted(r.doc_id for r in single.collect()) == sorted(first.values())
 
