@@ -11,10 +11,11 @@ import re
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from polfin.functions.columns import cols
+from polfin.operators.joins import BROADCAST_BYTES, measured_bytes
 from polfin.sources.specs import CONTRIBUTIONS, LEGISLATORS, RECIPIENTS, SPECS
 
 TABLES = (
@@ -211,10 +212,15 @@ class StandIn:
     def _joins(self, names: Iterable[str]) -> str:
         if not self.optional:
             return ""
+        used = self.tables(names)
+        return " ".join(text for alias, text in _FACT_JOINS.items() if alias in used)
+
+    def tables(self, names: Iterable[str]) -> set[str]:
+        """Aliases of the tables that the columns need."""
         used = {a for n in names for a in re.findall(r"\b(\w+)\.\w+", self.expressions[n])}
         for alias in list(used):
             used |= _NEEDS.get(alias, set())
-        return " ".join(text for alias, text in _FACT_JOINS.items() if alias in used)
+        return used
 
     def select(self, quote: str, names: Sequence[str] | None = None) -> str:
         names = list(names or self.expressions)
@@ -269,6 +275,8 @@ def load(spark: SparkSession, sf_dir: str, name: str, columns: Sequence[str] | N
     standin = STANDINS[name]
     if name == "recipients":
         return _recipients(spark, sf_dir, columns)
+    if name == "contributions":
+        return contributions(spark, sf_dir, columns)
     sql = standin.select("`", columns)
     used = [t for t in TABLES if re.search(rf"\b{t}\b", sql)]
     return spark.sql(
@@ -277,6 +285,47 @@ def load(spark: SparkSession, sf_dir: str, name: str, columns: Sequence[str] | N
     )
 
 
+def contributions(
+    spark: SparkSession, sf_dir: str, columns: Sequence[str] | None = None, by_cycle: str | None = None
+) -> DataFrame:
+    """Contributions, for which items move once, by their order, and before any column is made of them.
+
+    Orders meet their customers first, being far fewer than items. Suppliers are measured and broadcast
+    if small. ``by_cycle``, an expression of the cycle, takes its place; the rows of each task are sorted by it, as a
+    dataset with a folder per cycle wants them, while they are narrow.
+    """
+    standin = STANDINS["contributions"]
+    names = list(columns or standin.expressions)
+    used = standin.tables([*names, "cycle"] if by_cycle else names)
+
+    def on(alias: str) -> Column:
+        return F.expr(_FACT_JOINS[alias].split(" ON ")[1])
+
+    def of(name: str, alias: str) -> DataFrame:
+        return table(spark, sf_dir, name).alias(alias)
+
+    rows = of("lineitem", "l")
+    if "o" in used:
+        orders = of("orders", "o")
+        if "c" in used:
+            orders = orders.join(of("customer", "c"), on("c"))
+        if "cn" in used:
+            orders = orders.join(of("nation", "cn"), on("cn"))
+        rows = rows.join(orders, on("o"))
+    if "s" in used:
+        supplier = table(spark, sf_dir, "supplier")
+        small = measured_bytes(supplier.select("s_suppkey", "s_name", "s_acctbal", "s_nationkey")) <= BROADCAST_BYTES
+        rows = rows.join(F.broadcast(supplier.alias("s")) if small else supplier.alias("s"), on("s"))
+    if "sn" in used:
+        rows = rows.join(of("nation", "sn"), on("sn"))
+    made = {n: F.expr(standin.expressions[n]) for n in names}
+    if by_cycle:
+        rows = rows.withColumn("cycle", F.expr(standin.expressions["cycle"])).withColumn("cycle", F.expr(by_cycle))
+        rows = rows.sortWithinPartitions("cycle")
+        made["cycle"] = F.col("cycle")
+    return rows.select(*[made[n].alias(n) for n in names])
+
+
 def _recipients(spark: SparkSession, sf_dir: str, columns: Sequence[str] | None) -> DataFrame:
     """Suppliers once per cycle; the cycles come from an array, not from a join."""
     s = table(spark, sf_dir, "supplier").alias("s")

@@ -3,9 +3,8 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from polfin.catalog.standins import load, terms
+from polfin.catalog.standins import contributions, terms
 from polfin.session import new_work_path
 from polfin.sources.sinks import write_cycles
 
@@ -22,20 +21,23 @@ def _once(spark: SparkSession, sf_dir: str, label: str, write) -> str:
 
 
 def contributions_root(spark: SparkSession, sf_dir: str) -> str:
-    """Contributions as Parquet with one folder per cycle."""
+    """Contributions as Parquet with one folder per cycle, written where items meet their orders."""
     return _once(
-        spark, sf_dir, "contributions", lambda path: write_cycles(load(spark, sf_dir, "contributions"), path)
+        spark,
+        sf_dir,
+        "contributions",
+        lambda path: write_cycles(contributions(spark, sf_dir, by_cycle="cycle"), path, gather=False),
     )
 
 
 def shifted_root(spark: SparkSession, sf_dir: str) -> str:
     """The same with two cycles moved: one beyond the published range, one to an odd year."""
-    shifted = F.expr("CASE cycle WHEN 1996 THEN 2023 WHEN 1998 THEN 2026 ELSE cycle END").cast("int")
+    shifted = "CAST(CASE cycle WHEN 1996 THEN 2023 WHEN 1998 THEN 2026 ELSE cycle END AS INT)"
     return _once(
         spark,
         sf_dir,
         "contributions-shifted",
-        lambda path: write_cycles(load(spark, sf_dir, "contributions").withColumn("cycle", shifted), path),
+        lambda path: write_cycles(contributions(spark, sf_dir, by_cycle=shifted), path, gather=False),
     )
 
 
