@@ -228,6 +228,8 @@ def _(spark, sf):
     return rounded(select(rows, *names), "total_amount", "avg_amount")
 
 
+# Of the stored contributions, for each part of the state.
+_PART_BYTES = 4 << 20
 _ONCE = ["cycle", "bonica.rid", "contributor.type", "contributor.state", "amount"]
 
 
@@ -235,13 +237,14 @@ _ONCE = ["cycle", "bonica.rid", "contributor.type", "contributor.state", "amount
 def _(spark, sf):
     source, out, state = (new_work_path(spark, f"once-{n}") for n in ("source", "out", "state"))
     rows = spark.read.parquet(contributions_root(spark, sf))
+    parts = max(4, sinks.stored_bytes(spark, contributions_root(spark, sf)) // _PART_BYTES)
     early = rows.where("cycle < 2000")
     # The second run finds the files of the first once more beside new ones, the third the rest.
     for arriving in (early, early.unionByName(rows.where("cycle BETWEEN 2000 AND 2010")), rows.where("cycle > 2010 OR cycle IS NULL")):
         arriving.write.mode("append").partitionBy("cycle").parquet(source)
         stream = incremental.stream_parquet(spark, source, rows.schema)
         incremental.append_distinct(
-            stream, lambda df: select(marts.organizational(df), *_ONCE), out, state, partitions=4
+            stream, lambda df: select(marts.organizational(df), *_ONCE), out, state, partitions=parts
         ).awaitTermination()
     return select(spark.read.parquet(out), *_ONCE)
 
