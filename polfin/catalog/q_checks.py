@@ -419,6 +419,6 @@ def _(spark, sf):
     ),
 )
 def _(spark, sf):
-    rows = load(spark, sf, "contributions")
+    rows = spark.read.parquet(contributions_root(spark, sf))  # read four times
     detail = marts.organizational_detail(rows, recipients(spark, sf), people(spark, sf), mode="best")
     return quality.check_organizational(rows, select(detail, "contributor_type"))

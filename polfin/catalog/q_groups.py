@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 from polfin.catalog import sql_parts as sql
 from polfin.catalog.q_joins import people, recipients
 from polfin.catalog.registry import money_sql, query, rounded
-from polfin.catalog.standins import load, select, terms
+from polfin.catalog.standins import STANDINS, load, select, terms
+from polfin.catalog.stored import contributions_root
 from polfin.functions.columns import asc, c, cols
 from polfin.operators.sets import duplicate_keys, first_per_key, latest_per_key
 from polfin.plans import analytics, dimensions, marts, pipelines, quality
@@ -309,7 +310,9 @@ def _(spark, sf):
         LEFT JOIN pairs p ON p.rid = k."bonica.rid" """,
 )
 def _(spark, sf):
-    return marts.organizational(contributions(spark, sf), recipients(spark, sf), people(spark, sf))
+    # Read three times, so from files.
+    rows = select(spark.read.parquet(contributions_root(spark, sf)), *STANDINS["contributions"].expressions)
+    return marts.organizational(rows, recipients(spark, sf), people(spark, sf))
 
 
 _MONEY = ("total_amount", "avg_amount", "individual_total", "organizational_total")
@@ -337,7 +340,8 @@ def _(spark, sf):
         FROM contributions k LEFT JOIN pairs p ON p.rid = k."bonica.rid" WHERE k."contributor.type" <> 'I'""",
 )
 def _(spark, sf):
-    return marts.organizational_detail(contributions(spark, sf), recipients(spark, sf), people(spark, sf))
+    rows = spark.read.parquet(contributions_root(spark, sf))  # read three times
+    return marts.organizational_detail(rows, recipients(spark, sf), people(spark, sf))
 
 
 query("m14_industry_summary", _INDUSTRY)(_industry)

@@ -6,7 +6,8 @@ import contextlib
 import io
 from collections import Counter
 
-from polfin.catalog import standins, stored
+from polfin.catalog import q_checks, q_groups, standins, stored  # noqa: F401
+from polfin.catalog.registry import QUERIES
 from polfin.functions.columns import cols
 
 SF = "/root/testdata/sf0.001"
@@ -49,3 +50,10 @@ def test_no_shuffle_of_wide_rows(spark, monkeypatch):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
     assert "hashpartitioning(l_orderkey" in text and "hashpartitioning(o_custkey" in text
     assert "hashpartitioning(l_suppkey" not in text and "rebalance" not in text.lower()
+
+
+def test_linked_marts_read_files(spark):
+    """The distinct marts go over their input several times, so it is no join of the given tables."""
+    for name in ("m07_organizational_linked", "m09_raw_organizational", "m09_detail_report"):
+        files = QUERIES[name](spark, SF).inputFiles()
+        assert not [f for f in files if f.endswith(("lineitem.parquet", "orders.parquet"))], name
