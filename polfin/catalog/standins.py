@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from polfin.functions.columns import cols
 from polfin.operators.joins import BROADCAST_BYTES, measured_bytes
+from polfin.session import cut_wide_methods
 from polfin.sources.specs import CONTRIBUTIONS, LEGISLATORS, RECIPIENTS, SPECS
 
 TABLES = (
@@ -294,6 +295,7 @@ def contributions(
     if small. ``by_cycle``, an expression of the cycle, takes its place; the rows of each task are sorted by it, as a
     dataset with a folder per cycle wants them, while they are narrow.
     """
+    cut_wide_methods(spark)
     standin = STANDINS["contributions"]
     names = list(columns or standin.expressions)
     used = standin.tables([*names, "cycle"] if by_cycle else names)

@@ -118,17 +118,21 @@ def strip(col: Column) -> Column:
     start or end with one of them.
     """
 
-    def blank(char: Column) -> Column:
-        return char.between(1, 32) | char.isin(0x85, 0xA0)
-
-    ragged = blank(F.ascii(col)) | blank(F.ascii(F.substring(col, -1, 1)))
+    last = F.substring(col, -1, 1)
+    ragged = (col < "!") | (last < "!")  # up to a space; bytes are compared
+    for blank in ("\x85", "\xa0"):
+        ragged = ragged | col.startswith(blank) | (last == blank)
     return F.when(ragged, F.btrim(col, F.lit(WHITESPACE))).otherwise(col)
 
 
 def normal_text(col: Column, markers: Iterable[str] = ("",), words: Iterable[str] = PLAIN_BLANK_WORDS) -> Column:
     """Text ready for comparison: markers and null words become NULL, blanks are trimmed."""
+    return normal_stripped(col, strip(col), markers, words)
+
+
+def normal_stripped(col: Column, trimmed: Column, markers: Iterable[str], words: Iterable[str]) -> Column:
+    """The same from a text and what ``strip`` made of it, which a column of its own computes but once."""
     words = list(words)
-    trimmed = strip(col)
     short = F.octet_length(trimmed) <= max(len(w) for w in words)
     no_value = col.isin(*markers) | (short & F.lower(trimmed).isin(*words))
     return F.when(~no_value, trimmed)

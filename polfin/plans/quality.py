@@ -20,9 +20,11 @@ from polfin.functions.scalars import (
     filled,
     non_empty_array,
     normal_number,
+    normal_stripped,
     normal_text,
     percent,
     same_value,
+    strip,
     within_cent,
     within_relative,
     without_nan,
@@ -32,6 +34,7 @@ from polfin.operators.limits import sample_keys, sample_rows
 from polfin.operators.predicates import INDIVIDUAL
 from polfin.operators.sets import duplicate_keys, key_counts, latest_per_key, missing_keys
 from polfin.plans.dimensions import LATEST_TIES, crosswalk_pairs, served
+from polfin.session import cut_wide_methods
 from polfin.sources.sinks import stored_copy
 from polfin.sources.specs import DatasetSpec
 
@@ -175,24 +178,38 @@ def check_checksums(
     return report(sums, compare_checksums(sum_column, key_columns))
 
 
+def _number(f: T.StructField) -> Column:
+    return normal_number(c(f.name).try_cast("double"))
+
+
 def _comparable(f: T.StructField, spec: DatasetSpec) -> Column:
     """A cell after normalisation, as text that is never NULL."""
     if isinstance(f.dataType, T.StringType):
         value = normal_text(c(f.name).cast("string"), spec.null_markers, spec.blank_words)
     else:
-        value = normal_number(c(f.name).try_cast("double")).cast("string")
+        value = _number(f).cast("string")
     return F.coalesce(value, F.lit("\x00"))
 
 
 def row_fingerprint(df: DataFrame, spec: DatasetSpec) -> DataFrame:
     """Two independent 64-bit hashes of every row after normalisation.
 
-    NULL is replaced by a character no text holds, because hashing skips NULLs
-    and would otherwise confuse neighbouring columns.
+    Texts are stripped and normalised in steps, so that each cell goes through either once.
     """
-    cells = df.select(*[_comparable(f, spec).alias(f.name) for f in spec.schema])
+    cut_wide_methods(df.sparkSession)
+    texts = [f.name for f in spec.schema if isinstance(f.dataType, T.StringType)]
+    raw = df.select(*[c(f.name).cast("string").alias(f.name) if f.name in texts else _number(f).alias(f.name) for f in spec.schema])
+    stripped = raw.select("*", *[strip(c(n)).alias(f"stripped {n}") for n in texts])
+    cells = stripped.select(
+        *[
+            normal_stripped(c(f.name), c(f"stripped {f.name}"), spec.null_markers, spec.blank_words).alias(f.name)
+            if f.name in texts
+            else c(f.name)
+            for f in spec.schema
+        ]
+    )
     parts = cols(spec.columns)
-    return cells.select(F.xxhash64(*parts).alias("h1"), F.xxhash64(F.lit(spec.name), *parts).alias("h2"))
+    return cells.select(_cells_hash(parts, spec.schema).alias("h1"), _cells_hash(parts, spec.schema, F.lit(spec.name)).alias("h2"))
 
 
 # Helper column of row hashes, and the parts they are summed in.
@@ -217,8 +234,8 @@ def _sampled(df: DataFrame, spec: DatasetSpec, keep_one_in: int) -> DataFrame:
     return df.where(F.pmod(F.xxhash64(*keys), F.lit(keep_one_in)) == 0)
 
 
-def _cells_hash(cells: Sequence[Column], schema: T.StructType) -> Column:
-    """One hash of a row's cells. NULLs, which hashing skips, become a character no text holds, or a bit of a mask."""
+def _cells_hash(cells: Sequence[Column], schema: T.StructType, *first: Column) -> Column:
+    """One hash of a row's cells, ``first`` before them. NULLs, which hashing skips, become a character no text holds, or a bit of a mask."""
     texts = [isinstance(f.dataType, T.StringType) for f in schema]
     filled = [F.coalesce(x, F.lit("\x00")) if text else x for x, text in zip(cells, texts)]
     numbers = [x for x, text in zip(cells, texts) if not text]
@@ -226,7 +243,7 @@ def _cells_hash(cells: Sequence[Column], schema: T.StructType) -> Column:
         reduce(lambda a, b: a + b, [F.when(x.isNull(), F.lit(1 << i)).otherwise(F.lit(0)).cast("bigint") for i, x in enumerate(part)])
         for part in (numbers[k : k + 60] for k in range(0, len(numbers), 60))
     ]
-    return F.xxhash64(*masks, *filled)
+    return F.xxhash64(*first, *masks, *filled)
 
 
 def _typed_hash(df: DataFrame, spec: DatasetSpec) -> Column:
@@ -247,6 +264,7 @@ def conversion_sums(df: DataFrame, spec: DatasetSpec, keep_one_in: int = 1) -> D
     count all. Both sides of a conversion have equal sums unless a row differs before
     any trimming and rounding.
     """
+    cut_wide_methods(df.sparkSession)
     number = _typed(df, spec.schema[spec.sum_column], spec).cast("double") if spec.sum_column else F.lit(None).cast("double")
     keys = [_comparable(spec.schema[k], spec) for k in spec.key_columns]
     chosen = F.pmod(F.xxhash64(*keys), F.lit(keep_one_in)) == 0 if keep_one_in > 1 else F.lit(True)
@@ -274,6 +292,7 @@ def with_row_hash(typed: DataFrame, spec: DatasetSpec, keep_one_in: int = 1) ->
     Meant to be observed while the rows are written, so that the source is read only once.
     Hashes are summed in parts of 16 bits: no sum overflows below 2^47 rows.
     """
+    cut_wide_methods(typed.sparkSession)
     keys = [_comparable(spec.schema[k], spec) for k in spec.key_columns]
     chosen = F.pmod(F.xxhash64(*keys), F.lit(keep_one_in)) == 0 if keep_one_in > 1 else F.lit(True)
     rows = typed.withColumns({_HASH: F.when(chosen, _cells_hash(cols(spec.columns), spec.schema))})
@@ -326,7 +345,7 @@ def row_differences(
 
     Hash sums per bucket are compared first (``sums``, or computed here). Rows are
     normalised and compared one by one only in buckets that differ: a row that is equal
-    as it stands is never moved. ``keep_one_in`` restricts the comparison to a
+    as it stands is never moved, unless differences are in all buckets. ``keep_one_in`` restricts the comparison to a
     sample of records.
     """
     left, right = sums or [conversion_sums(side, spec, keep_one_in) for side in (source, output)]
@@ -338,6 +357,8 @@ def row_differences(
     off = F.broadcast(spark.createDataFrame([(b,) for b in uneven], "__bucket bigint"))  # SUM_BUCKETS rows at most
 
     def suspects(side: DataFrame) -> DataFrame:
+        if len(uneven) == SUM_BUCKETS:  # no row would be left out, so none is hashed for that
+            return row_fingerprint(_sampled(side, spec, keep_one_in), spec)
         marked = side.withColumn("__bucket", _bucket(_typed_hash(side, spec)))
         return row_fingerprint(_sampled(marked.join(off, "__bucket", "left_semi"), spec, keep_one_in), spec)
 
