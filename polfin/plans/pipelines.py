@@ -59,11 +59,12 @@ def ingest(
     the same sums. Only if these differ are both read again and compared in detail. The raw
     file is also read as lines, to count its records by quotes. Rows are counted in the
     writing stage, whose tasks count once however often one is retried. A compressed file
-    is parsed by one task, so its records are spread right behind the parser. Columns keep
+    is parsed by one task, so its records are spread right behind the parser, unless there are
+    files enough to keep all tasks busy (``readers.lopsided``). Columns keep
     the order of the file.
     """
     text = readers.read_csv_text(spark, source, spec, multi_line, parallel)
-    if parallel is False or not readers.splits(spark, source):
+    if (parallel is False or not readers.splits(spark, source)) and readers.lopsided(spark, source):
         text = text.hint("rebalance")
     typed = readers.cast_columns(readers.mark_nulls(text, spec), spec)
     if not validate:

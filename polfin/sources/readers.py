@@ -50,6 +50,13 @@ def splits(spark: SparkSession, path: str) -> bool:
     return not any(f.endswith(pieces.COMPRESSED) for f in spark.read.text(path).inputFiles())
 
 
+def lopsided(spark: SparkSession, path: str) -> bool:
+    """Whether one file holds more than the share of a task, of those that can run at once."""
+    length = F.col("length")
+    most, total = spark.read.format("binaryFile").load(path).agg(F.max(length), F.sum(length)).first()
+    return most is not None and most * spark.sparkContext.defaultParallelism > total
+
+
 def read_csv_text(
     spark: SparkSession, path: str, spec: DatasetSpec, multi_line: bool | None = None, parallel: bool | None = None
 ) -> DataFrame:

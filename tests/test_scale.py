@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from polfin.plans import quality
+from polfin.plans import pipelines, quality
 from polfin.session import COMPILED_METHOD_BYTES
+from polfin.sources import readers, sinks
 from polfin.sources.specs import RECIPIENTS
 
 LIMIT = "spark.sql.codegen.hugeMethodLimit"
@@ -42,3 +43,16 @@ def test_strip_at_both_ends(spark):
     got = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string").select("i", quality.strip(F.col("t")))
     blanks = " \t\n\r\x0b\x0c\x1c\x1d\x1e\x1f\x85\xa0"
     assert [r[1] for r in got.orderBy("i").collect()] == [t if t is None else t.strip(blanks) for t in texts]
+
+
+def test_even_compressed_files_stay_where_they_are(spark, tmp_path, monkeypatch):
+    asked = []
+    write = sinks.write_parquet
+    monkeypatch.setattr(sinks, "write_parquet", lambda df, path, **more: (asked.append(df._jdf.queryExecution().analyzed().toString()), write(df, path, **more)))
+    options = {"header": True, "encoding": "ISO-8859-1", "quote": '"', "escape": '"', "nullValue": "\\N", "compression": "gzip"}
+    for files, spread in ((1, True), (24, False)):
+        path = f"{tmp_path}/csv-{files}"
+        recipients(spark, 480).repartition(files).write.options(**options).csv(path)
+        assert readers.lopsided(spark, path) == spread
+        assert pipelines.ingest(spark, RECIPIENTS, path, f"{tmp_path}/out-{files}", validate=False).rows == 480
+        assert ("rebalance" in asked[-1].lower()) == spread
