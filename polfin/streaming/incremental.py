@@ -7,8 +7,7 @@ reach them.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator, Mapping
-from contextlib import contextmanager
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,6 +16,7 @@ from pyspark.sql.streaming.query import StreamingQuery
 
 from polfin.functions.columns import c
 from polfin.plans import marts
+from polfin.session import read_small_pieces, settings
 from polfin.sources import snapshots
 from polfin.sources.readers import all_cycles
 from polfin.sources.sinks import ZSTD_LEVEL, merge_sums, write_cycles
@@ -27,22 +27,8 @@ _ROCKSDB = {
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
 }
 ROW_KEY = "__row_key"
-
-
-@contextmanager
-def _settings(spark: SparkSession, values: Mapping[str, str]) -> Iterator[None]:
-    """Settings of the session for what is started inside; a stream keeps those it was started with."""
-    before = {k: spark.conf.get(k, None) for k in values}
-    try:
-        for k, v in values.items():
-            spark.conf.set(k, v)
-        yield
-    finally:
-        for k, v in before.items():
-            if v is None:
-                spark.conf.unset(k)
-            else:
-                spark.conf.set(k, v)
+# A task sorts its rows by cycle before it writes them, so what it reads bounds its memory.
+PIECE_BYTES = 32 << 20
 
 
 def stream_parquet(spark: SparkSession, root: str, schema: T.StructType, files_at_once: int | None = None) -> DataFrame:
@@ -60,8 +46,10 @@ def append_new(
     """Transform new rows one by one and add them to a cycle-partitioned dataset.
 
     The file sink commits each batch with a log, so a batch repeated after a
-    failure does not appear twice.
+    failure does not appear twice. Files are read in pieces of ``PIECE_BYTES`` at most,
+    by a setting of the session.
     """
+    read_small_pieces(stream.sparkSession, PIECE_BYTES)
     return (
         transform(stream)
         .writeStream.format("parquet")
@@ -113,14 +101,14 @@ def append_distinct(
     parts: all runs keep the number of the first, which should grow with the dataset.
     """
     rows = transform(stream)
-    settings = dict(_ROCKSDB)
+    state = dict(_ROCKSDB)
     if partitions:
-        settings["spark.sql.shuffle.partitions"] = str(partitions)
+        state["spark.sql.shuffle.partitions"] = str(partitions)
 
     def distinct(df: DataFrame) -> DataFrame:
         return df.withColumn(ROW_KEY, row_key(df)).dropDuplicates([ROW_KEY]).drop(ROW_KEY)
 
-    with _settings(stream.sparkSession, settings):
+    with settings(stream.sparkSession, state):
         return append_new(rows, distinct, output, checkpoint)
 
 

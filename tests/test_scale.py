@@ -9,8 +9,10 @@ from polfin.plans import pipelines, quality
 from polfin.session import COMPILED_METHOD_BYTES
 from polfin.sources import readers, sinks
 from polfin.sources.specs import RECIPIENTS
+from polfin.streaming import incremental
 
 LIMIT = "spark.sql.codegen.hugeMethodLimit"
+PIECES = "spark.sql.files.maxPartitionBytes"
 
 
 def recipients(spark, n: int):
@@ -56,3 +58,20 @@ def test_even_compressed_files_stay_where_they_are(spark, tmp_path, monkeypatch)
         assert readers.lopsided(spark, path) == spread
         assert pipelines.ingest(spark, RECIPIENTS, path, f"{tmp_path}/out-{files}", validate=False).rows == 480
         assert ("rebalance" in asked[-1].lower()) == spread
+
+
+def test_streams_read_small_pieces(spark, tmp_path, monkeypatch):
+    """One file is written by as many tasks as it has pieces."""
+    source, out = f"{tmp_path}/in", f"{tmp_path}/out"
+    rows = spark.range(0, 60_000, 1, 1).select(F.col("id").cast("string").alias("name"), F.lit(2000).alias("cycle"))
+    rows.write.option("parquet.block.size", 1 << 16).parquet(source)
+    before = spark.conf.get(PIECES)
+    monkeypatch.setattr(incremental, "PIECE_BYTES", 1 << 16)
+    try:
+        stream = incremental.stream_parquet(spark, source, rows.schema)
+        incremental.append_new(stream, lambda df: df, out, f"{tmp_path}/state").awaitTermination()
+        assert int(spark.conf.get(PIECES)) == 1 << 16
+    finally:
+        spark.conf.set(PIECES, before)
+    stored = spark.read.parquet(out)
+    assert stored.count() == 60_000 and len(stored.inputFiles()) > 1
