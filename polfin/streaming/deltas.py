@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from polfin.functions.columns import c, cols
 from polfin.operators.predicates import Organizational
 from polfin.plans.marts import INDIVIDUAL, RECIPIENT_KEY
+from polfin.session import pieces_of
 from polfin.sources import sinks, snapshots
 
 # Buckets of a new dataset; one that exists keeps its number.
@@ -25,6 +26,8 @@ BUCKETS = 32
 WEIGHT, BUCKET, ROWS = "__weight", "__bucket", "rows"
 # Money has six decimals here; a finer amount is rounded to that.
 MONEY = "decimal(24,6)"
+# Stored rows take few bytes each, while a task holds those of a piece as keys, most of them different.
+PIECE_BYTES = 16 << 20
 
 
 class NotThere(ValueError):
@@ -56,6 +59,19 @@ def apply(
     meets another one fails and starts again from the new version. ``buckets``, for new
     sums only, should grow with the number of keys: a bucket is written by one task.
     """
+    with pieces_of(spark, PIECE_BYTES):
+        return _apply(spark, root, changes, keys, measures, note, buckets)
+
+
+def _apply(
+    spark: SparkSession,
+    root: str,
+    changes: DataFrame,
+    keys: Sequence[str],
+    measures: Mapping[str, Column],
+    note: dict,
+    buckets: int | None,
+) -> snapshots.Snapshot:
     base = snapshots.snapshot(spark, root, by=BUCKET)
     n = base.note.get("buckets") or buckets or BUCKETS
     bucket = F.pmod(F.xxhash64(*cols(keys)), F.lit(n)).cast("int").alias(BUCKET)
@@ -156,13 +172,17 @@ def change_summary(spark: SparkSession, root: str, changes: DataFrame, batch: in
     """
     if applied(spark, f"{root}/sums").get("batch", -1) >= batch:
         return
-    gifts = changes.withColumn("politician_id", F.col("recipient_id"))
-    # The donors first: the note of the sums is what says that a batch is in.
-    donors = f"{root}/donors"
-    if applied(spark, donors).get("batch", -1) < batch:
-        apply(spark, donors, gifts, ["politician_id", "industry", "donor_id"], {}, {"batch": batch})
-    measures = {"n_amount": F.when(F.col("amount").isNotNull(), F.lit(1)), "total": F.col("amount").cast("decimal(24,6)")}
-    apply(spark, f"{root}/sums", gifts, ["politician_id", "industry"], measures, {"batch": batch})
+    gifts = changes.select(F.col("recipient_id").alias("politician_id"), "industry", "donor_id", "amount", WEIGHT)
+    gifts = sinks.stored_copy(gifts, "gifts")  # both sums read them
+    try:
+        # The donors first: the note of the sums is what says that a batch is in.
+        donors = f"{root}/donors"
+        if applied(spark, donors).get("batch", -1) < batch:
+            apply(spark, donors, gifts, ["politician_id", "industry", "donor_id"], {}, {"batch": batch})
+        measures = {"n_amount": F.when(F.col("amount").isNotNull(), F.lit(1)), "total": F.col("amount").cast("decimal(24,6)")}
+        apply(spark, f"{root}/sums", gifts, ["politician_id", "industry"], measures, {"batch": batch})
+    finally:
+        sinks.drop_copy(gifts)
 
 
 def changed_summary(spark: SparkSession, root: str) -> DataFrame:

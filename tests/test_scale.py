@@ -9,7 +9,7 @@ from polfin.plans import pipelines, quality
 from polfin.session import COMPILED_METHOD_BYTES
 from polfin.sources import readers, sinks
 from polfin.sources.specs import RECIPIENTS
-from polfin.streaming import incremental
+from polfin.streaming import deltas, incremental
 
 LIMIT = "spark.sql.codegen.hugeMethodLimit"
 PIECES = "spark.sql.files.maxPartitionBytes"
@@ -75,3 +75,18 @@ def test_streams_read_small_pieces(spark, tmp_path, monkeypatch):
         spark.conf.set(PIECES, before)
     stored = spark.read.parquet(out)
     assert stored.count() == 60_000 and len(stored.inputFiles()) > 1
+
+
+def test_changes_are_made_once(spark, tmp_path, monkeypatch):
+    """Both sums read stored rows, in small pieces; the summary follows what came and went."""
+    seen = []
+    run = deltas._apply
+    monkeypatch.setattr(deltas, "_apply", lambda s, root, rows, *rest: (seen.append((len(rows.inputFiles()) > 0, int(s.conf.get(PIECES)))), run(s, root, rows, *rest))[1])
+    kind = "recipient_id string, industry string, donor_id string, amount int, __weight int"
+    gifts = [("p", "A", "d", 1, 1), ("p", "A", "d", 2, 1), ("p", None, None, None, 1), (None, "A", "e", 4, 1)]
+    for batch, rows in enumerate((gifts, [("p", "A", "d", 2, -1)])):
+        for _again in range(2):
+            deltas.change_summary(spark, str(tmp_path), spark.createDataFrame(rows, kind).withColumn("amount", F.col("amount").cast("decimal(14,2)")), batch)
+    assert seen == [(True, deltas.PIECE_BYTES)] * 4
+    found = deltas.changed_summary(spark, str(tmp_path))
+    assert {(r[0], r[1], r[2], r[3] and float(r[3]), r[5]) for r in found.collect()} == {("p", "A", 1, 1.0, 1), ("p", None, 1, None, 0), (None, "A", 1, 4.0, 1)}
