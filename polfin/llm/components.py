@@ -15,16 +15,17 @@ from polfin.llm.common import stored
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
-    both = edges.select("u", "v").unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
+    ends = F.array(F.struct("u", "v"), F.struct(F.col("v").alias("u"), F.col("u").alias("v")))
+    both = edges.select(F.explode(ends).alias("e")).select("e.*")
     least = both.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("m"))
     return both.join(least, "u").where("v > u AND v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
-    """Edges come with u > v."""
+    """Edges come with u > v. Of each node the edge to its least neighbour stays, the other neighbours go to that one."""
     least = edges.groupBy("u").agg(F.min("v").alias("m"))
-    links = edges.join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-    return links.unionByName(least.select("u", F.col("m").alias("v"))).distinct()
+    end = F.when(F.col("v") == F.col("m"), F.col("u")).otherwise(F.col("v"))
+    return edges.join(least, "u").select(end.alias("u"), F.col("m").alias("v")).distinct()
 
 
 def components(edges: DataFrame) -> DataFrame:

@@ -26,7 +26,7 @@ is read; only those that the benchmark has go on.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterable, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -104,6 +104,20 @@ def _window_hashes(words: Column, size: int) -> Column:
     return F.when(F.size(words) >= size, F.transform(F.sequence(F.lit(0), F.size(words) - size), hashed)).otherwise(none)
 
 
+def _placed_hashes(hashes: Column, **fixed: Column) -> Column:
+    """Structs of the ``fixed`` values, the place and the hash of each window."""
+    return F.transform(hashes, lambda h, i: F.struct(*[v.alias(k) for k, v in fixed.items()], i.alias("at"), h.alias("hash")))
+
+
+def _by_size(size: Column, sizes: Iterable[int], of: Callable[[int], Column]) -> Column:
+    """What ``of`` makes of the row's own size, NULL if that is none of ``sizes``.
+
+    One expression, not a union of a frame per size: each frame of a union is a scan of its own, and
+    with each scan and stage the driver sends out settings and code, for all of them at once.
+    """
+    return F.coalesce(*[F.when(size == s, of(s)) for s in sizes])
+
+
 def _anchors(window: Column, literal: Callable[[Column], Column]) -> Column:
     """Hashes of every two literal words side by side in a window, and of every literal word."""
     named = lambda x: F.coalesce(literal(x), F.lit(False))
@@ -168,21 +182,17 @@ def item_windows(benchmark: DataFrame, name: str = _NAME) -> DataFrame:
     """
     items = benchmark.select("item_id", template_only(F.col("text"), name).alias("words")).withColumn("n_words", F.size("words"))
     items = items.where(F.col("n_words") >= MIN_ITEM).distinct()
-    size = F.least(F.col("n_words"), F.lit(WINDOW))
+    items = items.withColumn("size", F.least(F.col("n_words"), F.lit(WINDOW)))
     inside = F.concat(F.array(F.lit(f"{_OPEN}name{_CLOSE}")), F.slice("words", F.lit(2), F.col("n_words")))
-    parts = []
-    for s in range(MIN_ITEM, WINDOW + 1):
-        of_size = items.where(size == s)
-        every = F.posexplode(_window_hashes(F.col("words"), s)).alias("at", "hash")
-        first = F.get(_window_hashes(F.col("inside"), s), F.lit(0)).alias("hash")
-        of_inside = of_size.where(~_is_slot(F.get("words", F.lit(0)))).withColumn("inside", inside)
-        parts.append(of_size.select("item_id", "n_words", "words", F.lit(0).alias("skip"), every).withColumn("size", F.lit(s)))
-        parts.append(of_inside.select("item_id", "n_words", "words", F.lit(1).alias("skip"), F.lit(0).alias("at"), first).withColumn("size", F.lit(s)))
+    hashes = lambda words: _by_size(F.col("size"), range(MIN_ITEM, WINDOW + 1), lambda s: _window_hashes(words, s))
+    every = _placed_hashes(hashes(F.col("words")), skip=F.lit(0))
+    first = _placed_hashes(hashes(F.slice(inside, F.lit(1), F.col("size"))), skip=F.lit(1))
     window = F.slice("words", F.col("at") + 1, F.col("size"))
     places = F.filter(F.transform(window, lambda w, i: F.when(_is_slot(w), i + F.col("at"))), lambda x: x.isNotNull())
     # Windows of short items need fewer literal words, in proportion.
     return (
-        reduce(DataFrame.unionByName, parts)
+        items.withColumn("each", F.explode(F.when(_is_slot(F.get("words", F.lit(0))), every).otherwise(F.concat(every, first))))
+        .select("item_id", "n_words", "words", "each.*", "size")
         .withColumn("slots", places)
         .where((F.col("size") - F.size("slots")) * WINDOW >= MIN_LITERAL * F.col("size"))
         .withColumn("looked", F.slice("words", F.col("at") + F.col("skip") + 1, F.col("size") - F.col("skip")))
@@ -194,10 +204,9 @@ def item_windows(benchmark: DataFrame, name: str = _NAME) -> DataFrame:
 def _document_windows(docs: DataFrame, wanted: DataFrame, sizes: list[int], name: str) -> DataFrame:
     """(doc_id, text_key, start, hash) of windows whose hash is ``wanted``."""
     keyed = docs.select("doc_id", text_key(F.col("text")).alias("text_key"), template_only(F.col("text"), name).alias("words"))
-    parts = [
-        keyed.select("doc_id", "text_key", F.posexplode(_window_hashes(F.col("words"), s)).alias("start", "hash")) for s in sizes
-    ]
-    return reduce(DataFrame.unionByName, parts).join(wanted, "hash", "left_semi")
+    every = F.concat(*[_placed_hashes(_window_hashes(F.col("words"), s)) for s in sizes])
+    placed = keyed.select("doc_id", "text_key", F.explode(every).alias("each"))
+    return placed.select("doc_id", "text_key", F.col("each.at").alias("start"), "each.hash").join(wanted, "hash", "left_semi")
 
 
 def _covered(starts: Column, size: Column) -> Column:
@@ -214,14 +223,10 @@ def plain_words(text: Column) -> Column:
 def verbatim_windows(benchmark: DataFrame) -> DataFrame:
     """(item_id, n_words, size, at, hash, anchors) of every run that is looked for word for word."""
     items = benchmark.select("item_id", plain_words(F.col("text")).alias("words")).withColumn("n_words", F.size("words")).distinct()
-    size = F.least(F.col("n_words"), F.lit(RUN))
-    parts = [
-        items.where(size == s).select(
-            "item_id", "n_words", "words", F.lit(s).alias("size"), F.posexplode(_window_hashes(F.col("words"), s)).alias("at", "hash")
-        )
-        for s in range(1, RUN + 1)
-    ]
-    every = reduce(DataFrame.unionByName, parts).withColumn("looked", F.slice("words", F.col("at") + 1, F.col("size")))
+    items = items.withColumn("size", F.least(F.col("n_words"), F.lit(RUN)))
+    hashes = _by_size(F.col("size"), range(1, RUN + 1), lambda s: _window_hashes(F.col("words"), s))
+    placed = items.select("item_id", "n_words", "words", "size", F.posexplode(hashes).alias("at", "hash"))
+    every = placed.withColumn("looked", F.slice("words", F.col("at") + 1, F.col("size")))
     return every.withColumn("anchors", _anchors(F.col("looked"), lambda x: x.isNotNull())).drop("words", "looked")
 
 

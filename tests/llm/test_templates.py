@@ -5,6 +5,7 @@ from __future__ import annotations
 import random
 import re
 
+from polfin.llm import components
 from polfin.llm import op10_decontaminate as op10
 from tests.llm.tables import frame
 
@@ -69,3 +70,38 @@ def test_runs_and_anchors_against_brute_force(spark, monkeypatch):
     assert got == sorted(map(tuple, op10.leaks(docs, bench).collect()))
     kept = {r.doc_id for r in op10.decontaminate(docs, bench).collect()}
     assert {d for d, *_ in rows} - kept == {r[0] for r in got if r[3] >= op10.MIN_REMOVED}
+
+
+def leaves(df) -> int:
+    return df._jdf.queryExecution().optimizedPlan().collectLeaves().size()
+
+
+def test_windows_of_all_sizes_come_from_one_scan(spark):
+    """Each scan and stage costs the driver memory, and those of a union cost it at once."""
+    texts = {1: "one two cat", 2: "a bird met the fox", 3: "Water is warm near the old town", 4: " ".join(f"w{chr(97 + i)}x" for i in range(16)), 5: None, 6: "7 km and 9 km of road go by"}
+    bench = spark.createDataFrame([*texts.items(), (4, texts[4])], "item_id long, text string")
+    windows, runs = op10.item_windows(bench), op10.verbatim_windows(bench)
+    assert (leaves(windows), leaves(runs)) == (1, 1)
+    wanted = windows.select("hash").distinct()
+    met = op10._document_windows(frame(spark, [(1, texts[4], "en", "a", 1), (2, texts[2], "en", "a", 1)]), wanted, [5, 7, 8], op10._NAME)
+    assert leaves(met) == 1 + leaves(wanted)
+
+    found = sorted((r.item_id, r.n_words, r.size, r["at"], len(r.slots)) for r in windows.collect())
+    # The first window of an item that starts with a word comes with a name there, too.
+    expected = [(2, 5, 5, 0, 0), (2, 5, 5, 0, 0), (3, 7, 7, 0, 0), (3, 7, 7, 0, 0), (4, 16, 8, 0, 0)] + [(4, 16, 8, i, 0) for i in range(9)]
+    assert [r for r in found if r[0] != 6] == expected
+    assert {r.size for r in windows.where("item_id = 6").collect()} == {8} and windows.select("hash").distinct().count() == windows.count()
+    assert sorted((r.item_id, r.size, r["at"]) for r in runs.collect()) == [(1, 3, 0), (2, 5, 0), (3, 7, 0), *((4, 13, i) for i in range(4)), (6, 9, 0)]
+    assert sorted((r.doc_id, r.start) for r in met.collect()) == [*((1, i) for i in range(9)), (2, 0)]
+
+
+def test_rounds_of_components_scan_edges_twice(spark, tmp_path):
+    edges = [(2, 1), (3, 1), (3, 2), (5, 3), (9, 5), (9, 8)]
+    spark.createDataFrame(edges, "u long, v long").write.parquet(f"{tmp_path}/edges")
+    stored = spark.read.parquet(f"{tmp_path}/edges")
+    large, small = components._large_star(stored), components._small_star(stored)
+    assert (leaves(large), leaves(small)) == (2, 2)
+    near = {u: {v for e in edges for v in e if u in e and v != u} for e in edges for u in e}
+    assert {tuple(r) for r in large.collect()} == {(v, m) for u in near for m in [min(u, *near[u])] for v in near[u] if v > u and v != m}
+    below = {u: {v for x, v in edges if x == u} for u, _ in edges}
+    assert sorted(map(tuple, small.collect())) == sorted({(v, m) if v != m else (u, m) for u in below for m in [min(below[u])] for v in below[u]})
