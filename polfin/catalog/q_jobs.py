@@ -114,9 +114,9 @@ def _(spark, sf):
 _PUBLISHED = f"""
     SELECT 'legislators' AS dataset, COUNT(*) AS rows FROM ({sql.DISTINCT_PEOPLE})
     UNION ALL SELECT 'crosswalk', COUNT(*) FROM ({sql.CROSSWALK})
-    UNION ALL SELECT 'organizational', least(5000, COUNT(*)) FROM contributions
+    UNION ALL SELECT 'organizational', COUNT(*) FROM contributions
               WHERE {_GIVEN}
-    UNION ALL SELECT 'recipient_aggregates', least(5000, COUNT(*)) FROM ({sql.AGGREGATES})"""
+    UNION ALL SELECT 'recipient_aggregates', COUNT(*) FROM ({sql.AGGREGATES})"""
 
 
 def _publish(spark, sf, sink) -> DataFrame:
@@ -127,7 +127,7 @@ def _publish(spark, sf, sink) -> DataFrame:
         "organizational": marts.organizational(rows),
         "recipient_aggregates": marts.recipient_aggregates(rows),
     }
-    counts = pipelines.publish(frames, sink, datasets="all", limit=5000)
+    counts = pipelines.publish(frames, sink, datasets="all")
     return spark.createDataFrame(list(counts.items()), "dataset string, rows bigint")
 
 

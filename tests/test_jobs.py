@@ -3,6 +3,7 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
+from polfin.catalog import q_jobs
 from polfin.functions.columns import cols
 from polfin.operators.linking import link_table
 from polfin.operators.predicates import AmountBetween, CycleBetween, CycleIn, federal_races
@@ -215,6 +216,34 @@ def test_publish(spark, facts):
         pipelines.dataset_names(["everything"])
 
 
+def test_publish_query_sends_all_rows(spark, tmp_path):
+    """More rows than the cap that the query had; a cycle may be NULL."""
+    n, day = 12_000, F.lit("1996-05-10").cast("timestamp")
+    tables = {
+        "nation": spark.range(1).select(F.col("id").cast("int").alias("n_nationkey"), F.lit("N").alias("n_name"), F.lit(0).alias("n_regionkey")),
+        "customer": spark.range(1).selectExpr("id AS c_custkey", "'C' AS c_name", "0 AS c_nationkey", "1.0D AS c_acctbal", "'MACHINERY' AS c_mktsegment"),
+        "supplier": spark.range(6_000).selectExpr("id AS s_suppkey", "'S' || id AS s_name", "0 AS s_nationkey", "1.0D AS s_acctbal"),
+        "orders": spark.range(n).select(
+            F.col("id").alias("o_orderkey"), F.lit(0).cast("bigint").alias("o_custkey"), F.lit("O").alias("o_orderstatus"), F.lit(1.0).alias("o_totalprice"),
+            F.when(F.col("id") % 10 > 0, day).alias("o_orderdate"), F.lit("2-HIGH").alias("o_orderpriority"),
+        ),
+        "lineitem": spark.range(n).select(
+            F.col("id").alias("l_orderkey"), F.lit(0).cast("bigint").alias("l_partkey"), (F.col("id") % 6_000).alias("l_suppkey"), F.lit(1).alias("l_linenumber"),
+            F.lit(1.0).alias("l_quantity"), F.lit(2.0).alias("l_extendedprice"), F.lit(0.0).alias("l_discount"), F.lit(0.0).alias("l_tax"),
+            F.lit("N").alias("l_returnflag"), F.lit("O").alias("l_linestatus"), day.alias("l_shipdate"),
+        ),
+        "events": spark.range(20).select(
+            F.col("id").alias("event_id"), day.alias("ts"), F.col("id").alias("user_id"), F.lit("view").alias("event_type"), F.lit(1.0).alias("value"), F.lit("{}").alias("props")
+        ),
+    }
+    for name, rows in tables.items():
+        rows.write.parquet(f"{tmp_path}/{name}.parquet")
+    sent = {}
+    found = q_jobs._publish(spark, str(tmp_path), lambda df, name: sent.update({name: df.count()}))
+    assert {r["dataset"]: r["rows"] for r in found.collect()} == sent
+    assert sent["organizational"] == n and sent["recipient_aggregates"] == 6_000
+
+
 def test_jdbc_options(facts):
     options = sinks.jdbc_options(facts, "jdbc:postgresql://host/db", "t", 100_000, 16)
     assert options["batchsize"] == "100000" and options["numPartitions"] == "16"
